@@ -102,10 +102,10 @@ def q_s11(spark, sf):
 _FIELDS_OUT = X.sorted_map_text(
     "list_filter([{'k': 'title', 'v': title}, {'k': 'year', 'v': year}, "
     "{'k': 'doi', 'v': coalesce(pdoi, doi)}, {'k': 'url', 'v': coalesce(purl, url)}, "
-    "{'k': 'semanticscholarid', 'v': paper_id}], f -> f.v IS NOT NULL)"
+    "{'k': 'semanticscholarid', 'v': paper_id}], lambda f: f.v IS NOT NULL)"
 )
 _UPDATES = X.sorted_map_text(
-    "list_filter([{'k': 'doi', 'v': pdoi}, {'k': 'url', 'v': purl}, {'k': 'semanticscholarid', 'v': paper_id}], f -> f.v IS NOT NULL)"
+    "list_filter([{'k': 'doi', 'v': pdoi}, {'k': 'url', 'v': purl}, {'k': 'semanticscholarid', 'v': paper_id}], lambda f: f.v IS NOT NULL)"
 )
 
 

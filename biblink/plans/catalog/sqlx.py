@@ -46,4 +46,4 @@ def doi_extract(x: str) -> str:
 
 def sorted_map_text(entries_sql: str) -> str:
     """A map given as a list of (k, v) structs rendered ``k=v;k=v`` sorted by key."""
-    return f"array_to_string(list_sort(list_transform({entries_sql}, e -> e.k || '=' || e.v)), ';')"
+    return f"array_to_string(list_sort(list_transform({entries_sql}, lambda e: e.k || '=' || e.v)), ';')"

@@ -164,6 +164,29 @@ class Fixtures:
             "url",
         )
 
+    @cached_property
+    def papers_full(self) -> DataFrame:
+        """All 20 default record fields; counts come from the citation edges."""
+        from biblink.operators.graph import edge_counts
+
+        counts = edge_counts(self.view("fx_papers").select(F.col("paper_id").alias("paperId")),
+                             self.view("fx_citations"), id_col="paperId")
+        base = self.papers.join(counts, "paperId", "left")
+        pk = F.col("corpusId")
+        return base.select(
+            "paperId", "corpusId", "title", "abstract", "venue", "year",
+            F.make_date(F.col("year"), (pk % 12 + 1).cast("int"), (pk % 28 + 1).cast("int")).alias("publicationDate"),
+            "publicationTypes",
+            F.struct(F.col("venue").alias("name")).alias("journal"),
+            F.lit(None).cast("array<struct<authorId:string,name:string>>").alias("authors"),
+            "citationCount", "referenceCount",
+            F.lit(None).cast("long").alias("influentialCitationCount"),
+            "isOpenAccess", "openAccessPdf", "fieldsOfStudy",
+            F.transform("fieldsOfStudy", lambda f: F.struct(f.alias("category"), F.lit("external").alias("source"))).alias("s2FieldsOfStudy"),
+            F.lit(None).cast("struct<model:string,text:string>").alias("tldr"),
+            "externalIds", "url",
+        )
+
     @cached_property
     def entries(self) -> DataFrame:
         """fx_bib as parsed bibliography entries (file, ordinal, entry_type, key, fields)."""

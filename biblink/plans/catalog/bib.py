@@ -161,3 +161,86 @@ def q_j12(spark, sf):
     left = fx.fx_bib.where(F.col("title").isNotNull()).select(F.col("entry_key").alias("lid"), "title")
     right = fx.fx_papers.select(F.col("paper_id").alias("rid"), "title")
     return similarity_join(left, right, "title", "title", 0.9).select("lid", "rid", "ratio")
+
+
+# ---- BibTeX ingest and rendering
+
+from biblink.sources import bibtex as B  # noqa: E402
+
+_ENTRY_LIST = ("list_filter([{'k': 'title', 'v': title}, {'k': 'year', 'v': year}, {'k': 'doi', 'v': doi}, "
+               "{'k': 'url', 'v': url}], lambda f: f.v IS NOT NULL)")
+_LINES = ("list_transform(list_sort(" + _ENTRY_LIST + "), lambda f: '  ' || f.k || ' = {' || "
+          + X.strip_ws("replace(f.v, chr(10), ' ')") + " || '},')")
+
+
+@register("i4_render_bibtex", oracle_with("fx_bib") + f"""
+SELECT entry_key AS key, array_to_string(list_concat(['@article{{' || entry_key || ','], {_LINES}, ['}}']), chr(10)) AS text FROM fx_bib""")
+def q_i4(spark, sf):
+    """I4: rendered text of every entry (fields in name order)."""
+    e = Fixtures(spark, sf).entries
+    return e.select("key", B.render_entry(F.col("entry_type"), F.col("key"), F.col("fields")).alias("text"))
+
+
+def _bib_files(spark, sf):
+    """Render fx_bib into .bib texts of at most 64 entries each, with a comment entry on top."""
+    e = Fixtures(spark, sf).entries
+    text = e.select(
+        F.floor(F.col("ordinal") / 64).cast("long").alias("file_no"), "ordinal",
+        B.render_entry(F.col("entry_type"), F.col("key"), F.col("fields")).alias("text"),
+    )
+    files = text.groupBy("file_no").agg(F.array_sort(F.collect_list(F.struct("ordinal", "text"))).alias("es"))
+    return files.select(
+        F.concat(F.lit("f"), F.col("file_no").cast("string")).alias("file"),
+        F.concat(F.lit("@comment{generated entries}\n% free text is ignored\n\n"),
+                 F.array_join(F.transform("es", lambda x: x["text"]), "\n\n"), F.lit("\n")).alias("value"),
+    )
+
+
+_PARSED = oracle_with("fx_bib") + f""",
+p AS (SELECT 'f' || CAST(CAST(regexp_extract(entry_key, '(\\d+)', 1) AS BIGINT) // 64 AS VARCHAR) AS file,
+             CAST(regexp_extract(entry_key, '(\\d+)', 1) AS BIGINT) % 64 AS ordinal, entry_key AS key,
+             {X.sorted_map_text(_ENTRY_LIST)} AS fields FROM fx_bib)
+"""
+
+
+@register("i3_read_bibtex", _PARSED + "SELECT file, key, 'article' AS entry_type, fields FROM p")
+def q_i3(spark, sf):
+    """Parse rendered bibliography files back (round trip of I4; comments skipped)."""
+    parsed = B.parse_bibtex(_bib_files(spark, sf))
+    return parsed.select("file", "key", "entry_type", map_text("fields").alias("fields"))
+
+
+@register("e5_entry_ordinal", _PARSED + "SELECT file, key, ordinal FROM p")
+def q_e5(spark, sf):
+    """E5: position of every entry in its file (skipped comment entries take no position)."""
+    parsed = B.parse_bibtex(_bib_files(spark, sf))
+    return parsed.select("file", "key", "ordinal")
+
+
+_FIELD_ROWS = """
+SELECT entry_key, 1 AS field_ordinal, 'title' AS name, title AS value FROM {fx_bib} WHERE title IS NOT NULL
+UNION ALL SELECT entry_key, 2, 'YEAR ', year FROM {fx_bib} WHERE year IS NOT NULL
+UNION ALL SELECT entry_key, 3, ' Title', upper(title) FROM {fx_bib} WHERE title IS NOT NULL AND length(title) > 30
+UNION ALL SELECT entry_key, 4, 'doi', doi FROM {fx_bib} WHERE doi IS NOT NULL"""
+
+
+@register("a5_fields_map", oracle_with("fx_bib") + f""",
+r AS ({_FIELD_ROWS.format(fx_bib='fx_bib')}),
+l AS (SELECT entry_key, lower(trim(name)) AS name, arg_max(value, field_ordinal) AS value FROM r GROUP BY 1, 2)
+SELECT entry_key, array_to_string(list_sort(list(name || '=' || value)), ';') AS fields FROM l GROUP BY 1""")
+def q_a5(spark, sf):
+    """A5: field rows with duplicate names (any case, padded) -> one map per entry, last wins."""
+    rows = spark.sql(_FIELD_ROWS, fx_bib=Fixtures(spark, sf).fx_bib)
+    return B.fields_from_rows(rows, ["entry_key"]).select("entry_key", map_text("fields").alias("fields"))
+
+
+_TYPED = "CASE CAST(regexp_extract(entry_key, '(\\\\d+)', 1) AS BIGINT) % 5 WHEN 0 THEN 'Comment' WHEN 1 THEN 'STRING' WHEN 2 THEN 'preamble' ELSE 'article' END"
+
+
+@register("p12_drop_entry_types", oracle_with("fx_bib") + f"""
+SELECT entry_key, t AS entry_type FROM (SELECT entry_key, {_TYPED.replace(chr(92) * 2, chr(92))} AS t FROM fx_bib)
+WHERE lower(t) NOT IN ('comment', 'preamble', 'string')""")
+def q_p12(spark, sf):
+    """Entries typed comment/string/preamble in any case are dropped."""
+    b = Fixtures(spark, sf).fx_bib.select("entry_key", F.expr(_TYPED).alias("entry_type"))
+    return B.drop_entry_types(b)

@@ -1 +1,90 @@
-"""Queries: ranking."""
+"""Ranking queries: L1, L4, P11, J20 (with L5, U5) over documents, authors and embeddings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from biblink.operators import ranking as RK
+from biblink.plans.catalog import register
+from biblink.plans.fixtures import Fixtures, oracle_with
+
+_TK = r"list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '')"
+
+
+def _bm25_sql(table: str, id_col: str, text: str, terms: list[str], limit: int, prefix: str = "") -> str:
+    tk = _TK.format(x=text)
+    tfs = ", ".join(f"len(list_filter(tk, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(terms))
+    dfs = ", ".join(f"count(*) FILTER (WHERE tf{i} > 0) AS df{i}" for i in range(len(terms)))
+    parts = []
+    for i in range(len(terms)):
+        idf = f"CASE WHEN s.df{i} > 0 THEN ln(1 + (s.n - s.df{i} + 0.5) / (s.df{i} + 0.5)) ELSE 0 END"
+        norm = f"{RK.BM25_K1} * ({1 - RK.BM25_B} + {RK.BM25_B} * f.dl / s.avgdl)"
+        parts.append(f"{idf} * f.tf{i} * {RK.BM25_K1 + 1} / (f.tf{i} + {norm})")
+    hit = " OR ".join(f"f.tf{i} > 0" for i in range(len(terms)))
+    return prefix + f"""
+t AS (SELECT {id_col}, {tk} AS tk FROM {table}),
+f AS (SELECT {id_col}, len(tk) AS dl, {tfs} FROM t),
+s AS (SELECT count(*) AS n, avg(dl) AS avgdl, {dfs} FROM f)
+SELECT {id_col}, {' + '.join(parts)} AS score FROM f, s WHERE {hit}
+ORDER BY score DESC, {id_col} LIMIT {limit}"""
+
+
+_L1_QUERY = "the retitioning ouen enier"
+
+
+@register("l1_search", _bm25_sql("documents", "doc_id", "text", RK.query_terms(_L1_QUERY), 100, "WITH"))
+def q_l1(spark, sf):
+    """L1: BM25 top 100 of all documents for a four-term query."""
+    d = Fixtures(spark, sf).documents
+    return RK.search(d, "doc_id", F.col("text"), _L1_QUERY, limit=100)
+
+
+_L4_QUERY = "Supplier#000000007 supplier"
+
+
+@register("l4_search_authors", _bm25_sql("fx_authors", "author_id", "name", RK.query_terms(_L4_QUERY), 100,
+                                         oracle_with("fx_authors") + ","))
+def q_l4(spark, sf):
+    """L4: author name search, L1 ranking, first 100."""
+    return RK.search_authors(Fixtures(spark, sf).fx_authors, _L4_QUERY, limit=100)
+
+
+_P11 = '(ret* OR interp*) AND (the OR "on the") an*'
+
+
+def _p11_sql() -> str:
+    tk = _TK.format(x="text")
+    padded = "(' ' || array_to_string(tk, ' ') || ' ')"
+    pre = lambda p: f"len(list_filter(tk, lambda x: starts_with(x, '{p}'))) > 0"
+    cond = (f"({pre('ret')} OR {pre('interp')}) AND (list_contains(tk, 'the') OR contains({padded}, ' on the ')) "
+            f"AND {pre('an')}")
+    return f"SELECT doc_id FROM (SELECT doc_id, {tk} AS tk FROM documents) WHERE {cond}"
+
+
+@register("p11_boolean_query", _p11_sql())
+def q_p11(spark, sf):
+    """Documents matching a boolean query with prefixes, a phrase and implicit AND."""
+    d = Fixtures(spark, sf).documents
+    t = RK.tokens("text")
+    return d.select("doc_id", t.alias("tk")).where(RK.boolean_query(_P11, F.col("tk"))).select("doc_id")
+
+
+_J20_SQL = """
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda y: y * y))) AS nrm FROM v),
+pos AS (SELECT vec_id, e, nrm FROM n WHERE label = 3 AND nrm > 0),
+neg AS (SELECT vec_id, e, nrm FROM n WHERE label = 7 AND nrm > 0),
+c AS (SELECT vec_id, e, nrm FROM n WHERE vec_id NOT IN (SELECT vec_id FROM pos) AND vec_id NOT IN (SELECT vec_id FROM neg)),
+sp AS (SELECT c.vec_id, avg(list_dot_product(c.e, pos.e) / (c.nrm * pos.nrm)) AS sp FROM c, pos GROUP BY 1),
+sn AS (SELECT c.vec_id, avg(list_dot_product(c.e, neg.e) / (c.nrm * neg.nrm)) AS sn FROM c, neg GROUP BY 1)
+SELECT sp.vec_id, sp.sp - coalesce(sn.sn, 0) AS score FROM sp LEFT JOIN sn USING (vec_id)
+ORDER BY score DESC, vec_id LIMIT 100"""
+
+
+@register("j20_recommend", _J20_SQL)
+def q_j20(spark, sf):
+    """Top 100 vectors by mean cosine to label-3 seeds minus label-7 seeds; seeds excluded."""
+    e = Fixtures(spark, sf).embeddings
+    pos = e.where(F.col("label") == 3).select("vec_id")
+    neg = e.where(F.col("label") == 7).select("vec_id")
+    return RK.recommend(e, pos, neg, limit=100)

@@ -85,6 +85,48 @@ FROM {conversations}""",
 SELECT url AS path, CASE WHEN page_id % 3 = 0 THEN page_id ELSE page_id + 1 END AS mtime FROM {pages} WHERE page_id % 5 <> 0""",
     "fx_inventory": """
 SELECT url AS path, page_id + 1 AS mtime FROM {pages}""",
+    # landed open-access registry answers, one per DOI-carrying record
+    "fx_oa": """
+SELECT '10.' || CAST(1000 + p_partkey % 9000 AS STRING) || '/Ab.' || CAST(p_partkey AS STRING) AS doi, CASE p_partkey % 6
+    WHEN 1 THEN '{{"best_oa_location": {{"url_for_pdf": "https://oa.example.org/' || CAST(p_partkey AS STRING) || '.pdf", "url": "https://oa.example.org/' || CAST(p_partkey AS STRING) || '"}}, "oa_locations": []}}'
+    WHEN 2 THEN '{{"best_oa_location": {{"url_for_pdf": null, "url": "https://oa.example.org/landing/' || CAST(p_partkey AS STRING) || '"}}}}'
+    WHEN 3 THEN '{{"best_oa_location": null, "oa_locations": [{{"url_for_pdf": "https://repo.example.org/' || CAST(p_partkey AS STRING) || '.pdf"}}, {{"url": "https://other.example.org/"}}]}}'
+    WHEN 4 THEN '{{"best_oa_location": {{}}, "oa_locations": [{{"url": "https://repo.example.org/view/' || CAST(p_partkey AS STRING) || '"}}]}}'
+    ELSE '{{"best_oa_location": null, "oa_locations": []}}' END AS body
+FROM {part} WHERE p_partkey % 7 <> 0""",
+    # landed id-converter answers: a PMCID, no record, or an error body
+    "fx_idconv": """
+SELECT '10.' || CAST(1000 + p_partkey % 9000 AS STRING) || '/Ab.' || CAST(p_partkey AS STRING) AS doi, CASE p_partkey % 9
+    WHEN 0 THEN '{{"records": [{{"doi": "x", "pmcid": "PMC' || CAST(p_partkey AS STRING) || '"}}]}}'
+    WHEN 1 THEN '{{"records": []}}'
+    ELSE '{{"status": "error"}}' END AS body
+FROM {part} WHERE p_partkey % 7 <> 0 AND p_partkey % 9 IN (0, 1, 2)""",
+    # landed Atom feeds of a title search, one per record with an arXiv id
+    "fx_feed": """
+SELECT p_partkey AS pk, CASE WHEN p_partkey % 10 = 5 THEN '<feed xmlns="http://www.w3.org/2005/Atom"><title>none</title></feed>'
+  ELSE '<feed xmlns="http://www.w3.org/2005/Atom"><title>q</title><entry><id>http://arxiv.org/abs/2101.' || CAST(10000 + p_partkey % 90000 AS STRING)
+    || 'v' || CAST(p_partkey % 4 + 1 AS STRING) || '</id><title>t</title></entry><entry><id>http://arxiv.org/abs/9999.00001v1</id></entry></feed>' END AS body
+FROM {part} WHERE p_partkey % 5 = 0""",
+    # a landed crawl: first-hop answers for open-access PDFs, landing pages and arXiv PDFs
+    "fx_crawl": """
+SELECT 'https://example.org/pdf/' || CAST(p_partkey AS STRING) || '.pdf' AS url,
+  CASE p_partkey % 8 WHEN 0 THEN 202 WHEN 1 THEN 404 ELSE 200 END AS status, 'application/pdf' AS content_type, CAST(NULL AS STRING) AS body
+FROM {part} WHERE p_partkey % 4 = 0
+UNION ALL
+SELECT 'https://example.org/paper/' || CAST(page_id AS STRING), 200, 'text/html; charset=utf-8', html FROM {fx_link_pages}
+UNION ALL
+SELECT 'https://export.arxiv.org/pdf/2101.' || CAST(10000 + p_partkey % 90000 AS STRING),
+  CASE p_partkey % 3 WHEN 0 THEN 200 ELSE 503 END, 'application/pdf', CAST(NULL AS STRING)
+FROM {part} WHERE p_partkey % 5 = 0""",
+    # per-host request settings, one JSON document per crawled page host
+    "fx_host_config": """
+SELECT page_id, '{{"' || CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '://([^/:?#]+)', 1)
+                               WHEN 1 THEN regexp_extract(url, '([^.]+[.][^./:?#]+)(:[0-9]+)?([/?#]|$)', 1)
+                               WHEN 2 THEN substr(regexp_extract(url, '://([^/:?#]+)', 1), 3)
+                               ELSE 'nomatch.invalid' END
+  || '": {{"headers": {{"X-Rule": "r' || CAST(page_id AS STRING) || '"}}, "cookie": '
+  || CASE WHEN page_id % 3 = 0 THEN '"sid=' || CAST(page_id AS STRING) || '"' ELSE 'null' END || '}}}}' AS body
+FROM {pages}""",
 }
 
 _PLACEHOLDER = re.compile(r"(?<!\{)\{([a-z_]+)\}(?!\})")
@@ -94,10 +136,26 @@ def _tables_of(sql: str) -> list[str]:
     return sorted(set(_PLACEHOLDER.findall(sql)))
 
 
+def _with_deps(names) -> list[str]:
+    out: list[str] = []
+
+    def add(n: str) -> None:
+        if n in out:
+            return
+        for dep in _tables_of(FIXTURE_SQL[n]):
+            if dep in FIXTURE_SQL:
+                add(dep)
+        out.append(n)
+
+    for n in names:
+        add(n)
+    return out
+
+
 def oracle_with(*names: str) -> str:
-    """``WITH`` clause defining the named fixture views for DuckDB."""
+    """``WITH`` clause defining the named fixture views (and the views they read) for DuckDB."""
     parts = []
-    for name in names:
+    for name in _with_deps(names):
         body = FIXTURE_SQL[name]
         body = body.format(**{t: t for t in _tables_of(body)})
         parts.append(f"{name} AS ({body}\n)")
@@ -121,7 +179,8 @@ class Fixtures:
     def view(self, name: str) -> DataFrame:
         if name not in self._views:
             sql = FIXTURE_SQL[name]
-            self._views[name] = self.spark.sql(sql, **{t: self.table(t) for t in _tables_of(sql)})
+            self._views[name] = self.spark.sql(
+                sql, **{t: (self.view(t) if t in FIXTURE_SQL else self.table(t)) for t in _tables_of(sql)})
         return self._views[name]
 
     def __getattr__(self, name: str) -> DataFrame:

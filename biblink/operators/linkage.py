@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, LongType
 
 from biblink.functions.common import ColumnOrName, col_of
 from biblink.functions.ids import doi_norm
@@ -52,38 +52,51 @@ def _min_need(n: Column, t: float) -> Column:
     return F.array_min(F.transform(F.sequence(lo, F.greatest(hi, lo)), lambda m: _need(n, m, t)))
 
 
-@F.pandas_udf(ArrayType(StringType()))
+# A numbered gram is one 64-bit code: two code points (21 bits each) and the
+# occurrence number (low 21 bits); a numbered character likewise.  Keys of
+# 2^21 characters or more are refused rather than silently merged.  Integer
+# arrays keep the join key and the array_intersect checks primitive.
+_OCC_BITS = 21
+_MAX_KEY = (1 << _OCC_BITS) - 1
+
+
+@F.pandas_udf(ArrayType(LongType()))
 def _numbered_grams(keys: pd.Series) -> pd.Series:
     def one(k):
-        seen: dict[str, int] = {}
+        if len(k) > _MAX_KEY:
+            raise ValueError("similarity key longer than 2^21 characters")
+        seen: dict[int, int] = {}
         out = []
         for i in range(len(k) - 1):
-            g = k[i:i + 2]
+            g = (ord(k[i]) << 21) | ord(k[i + 1])
             seen[g] = seen.get(g, 0) + 1
-            out.append(f"{g}#{seen[g]}")
+            out.append((g << _OCC_BITS) | seen[g])
         return out
     return keys.map(lambda k: None if k is None else one(k))
 
 
-@F.pandas_udf(ArrayType(StringType()))
+@F.pandas_udf(ArrayType(LongType()))
 def _numbered_chars(keys: pd.Series) -> pd.Series:
     def one(k):
-        seen: dict[str, int] = {}
+        if len(k) > _MAX_KEY:
+            raise ValueError("similarity key longer than 2^21 characters")
+        seen: dict[int, int] = {}
         out = []
-        for c in k:
+        for ch in k:
+            c = ord(ch)
             seen[c] = seen.get(c, 0) + 1
-            out.append(f"{c}#{seen[c]}")
+            out.append((c << _OCC_BITS) | seen[c])
         return out
     return keys.map(lambda k: None if k is None else one(k))
 
 
 def numbered_grams(key: Column) -> Column:
-    """2-grams of a key, each tagged with its occurrence number (``ab#1``, ``ab#2``)."""
+    """2-grams of a key tagged with their occurrence number, as 64-bit codes (multiset as a set)."""
     return _numbered_grams(key)
 
 
 def numbered_chars(key: Column) -> Column:
-    """Characters of a key tagged with their occurrence number (multiset as a set)."""
+    """Characters of a key tagged with their occurrence number, as 64-bit codes."""
     return _numbered_chars(key)
 
 
@@ -223,13 +236,16 @@ def _record_index(papers: DataFrame) -> DataFrame:
     return ids.groupBy("scheme", "value").agg(F.min("paper_id").alias("paper_id"))
 
 
-def cascade_match(entries: DataFrame, papers: DataFrame, retrieval_threshold: float = 0.9) -> DataFrame:
+def cascade_match(entries: DataFrame, papers: DataFrame, retrieval_threshold: float = 0.9,
+                  titles: bool = True) -> DataFrame:
     """DOI -> URL -> title fallback chain, one row per entry.
 
     DOI present: DOI lookup only; a miss is an ``error`` (never falls back).
     Otherwise URL; a URL miss falls through to the title.  No title ->
     ``missing-title``; a title without a record -> ``title-not-found``.
     Adds ``source``, ``paper_id`` and ``error`` to the entry columns.
+    ``titles=False`` leaves out the entries that need the title lookup (the
+    DOI, URL and missing-title rows come back without any similarity work).
     """
     e = _entry_keys(entries)
     idx = _record_index(papers)
@@ -253,6 +269,14 @@ def cascade_match(entries: DataFrame, papers: DataFrame, retrieval_threshold: fl
         "*", F.lit(None).cast("string").alias("paper_id"), F.lit("missing-title").alias("source"),
         F.lit(None).cast("string").alias("error"),
     )
+    cols = entries.columns + ["_doi", "_title", "paper_id", "source", "error"]
+    decided = (
+        doi_rows.select(*cols)
+        .unionByName(url_hits.select(*cols))
+        .unionByName(no_title.select(*cols))
+    )
+    if not titles:
+        return decided
     wanted = rest.where(F.col("_has_title"))
     tm = title_match(
         wanted.select(F.struct("file", "ordinal").alias("_qid"), F.col("_title").alias("title")),
@@ -264,13 +288,7 @@ def cascade_match(entries: DataFrame, papers: DataFrame, retrieval_threshold: fl
         F.when(F.col("paperId").isNotNull(), F.lit("title")).otherwise(F.lit("title-not-found")).alias("source"),
         F.lit(None).cast("string").alias("error"),
     )
-    cols = entries.columns + ["_doi", "_title", "paper_id", "source", "error"]
-    return (
-        doi_rows.select(*cols)
-        .unionByName(url_hits.select(*cols))
-        .unionByName(no_title.select(*cols))
-        .unionByName(titled.select(*cols))
-    )
+    return decided.unionByName(titled.select(*cols))
 
 
 # ---------------------------------------------------------------- library match
@@ -298,12 +316,16 @@ def library_match(targets: DataFrame, manifest: DataFrame, threshold: float = 0.
     t = targets.withColumn("_d", F.lower("doi"))
     p1 = t.join(m_doi, "_d").select("tid", "path", F.lit("doi").alias("via"))
     rest = targets.join(p1.select("tid"), "tid", "left_anti").where(F.col("title").isNotNull() & (F.col("title") != ""))
-    lib = manifest.where(F.col("title").isNotNull() & (F.col("title") != ""))
+    lib = manifest.where(F.col("title").isNotNull() & (F.col("title") != "")).withColumn("_k", title_key_unicode("title"))
+    rk = rest.withColumn("_k", title_key_unicode("title"))
+    # identical keys score 1.0, the maximum: they settle first (first in manifest order)
+    exact = rk.join(lib.groupBy("_k").agg(F.min("ordinal").alias("ordinal")), "_k").select("tid", "ordinal")
+    resid = rk.join(exact.select("tid"), "tid", "left_anti")
     # ratio on S3 keys; "strictly above" the threshold: join at t, filter > t
-    pairs = similarity_join(rest, lib, "title", "title", threshold, key_fn=title_key_unicode,
+    pairs = similarity_join(resid, lib, "title", "title", threshold, key_fn=title_key_unicode,
                             left_id="tid", right_id="ordinal").where(F.col("ratio") > F.lit(threshold))
-    best = best_match(pairs.select("tid", "ordinal", "ratio"), "tid", "ordinal")
-    p2 = best.join(lib.select("ordinal", "path"), "ordinal").select("tid", "path", F.lit("title").alias("via"))
+    best = best_match(pairs.select("tid", "ordinal", "ratio"), "tid", "ordinal").select("tid", "ordinal")
+    p2 = exact.unionByName(best).join(lib.select("ordinal", "path"), "ordinal").select("tid", "path", F.lit("title").alias("via"))
     return p1.unionByName(p2)
 
 

@@ -17,9 +17,9 @@ def map_text(m):
     return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
 
 
-def _results(spark, sf):
+def _results(spark, sf, titles: bool = True):
     fx = Fixtures(spark, sf)
-    return check_bibliography(fx.entries, fx.papers)
+    return check_bibliography(fx.entries, fx.papers, titles=titles)
 
 
 # sources whose result does not depend on the title ratio
@@ -71,7 +71,7 @@ def q_m6(spark, sf):
 def q_j10(spark, sf):
     """DOI -> URL -> title cascade for every entry not decided by the title ratio."""
     fx = Fixtures(spark, sf)
-    c = cascade_match(fx.entries, fx.papers)
+    c = cascade_match(fx.entries, fx.papers, titles=False)
     return c.where(F.col("source").isin("doi", "error", "url", "missing-title")).select("key", "source", "paper_id")
 
 
@@ -95,7 +95,7 @@ def q_j9_url(spark, sf):
 @register("s11_verdict", _WITH + "SELECT key, source, status, year_matches FROM x")
 def q_s11(spark, sf):
     """S11 on every row whose verdict does not depend on the ratio (DOI, error, missing title)."""
-    r = _results(spark, sf)
+    r = _results(spark, sf, titles=False)
     return r.where(F.col("source").isin(*EXACT_SOURCES)).select("key", "source", "status", "year_matches")
 
 
@@ -111,14 +111,14 @@ _UPDATES = X.sorted_map_text(
 
 @register("s13_updates_map", _WITH + f"SELECT key, {_UPDATES} AS updates FROM x")
 def q_s13(spark, sf):
-    r = _results(spark, sf)
+    r = _results(spark, sf, titles=False)
     return r.where(F.col("source").isin(*EXACT_SOURCES)).select("key", map_text("updates").alias("updates"))
 
 
 @register("u2_apply_updates", _WITH + f"SELECT key, {_FIELDS_OUT} AS fields_out FROM x")
 def q_u2(spark, sf):
     """Enriched fields (updates written on match and mismatch alike)."""
-    r = _results(spark, sf)
+    r = _results(spark, sf, titles=False)
     return r.where(F.col("source").isin(*EXACT_SOURCES)).select("key", map_text("fields_out").alias("fields_out"))
 
 
@@ -128,13 +128,13 @@ SELECT s.status, CAST(coalesce(n, 0) AS BIGINT) AS n, s.pos FROM
   LEFT JOIN (SELECT status, count(*) AS n FROM x GROUP BY status) c ON s.status = c.status""")
 def q_a1(spark, sf):
     """A1: zero-filled status counts (over the ratio-independent rows)."""
-    r = _results(spark, sf)
+    r = _results(spark, sf, titles=False)
     return summarize(r.where(F.col("source").isin(*EXACT_SOURCES)))
 
 
 @register("p13_invalid", _WITH + "SELECT key, status FROM x WHERE status IN ('mismatch', 'not_found', 'error')")
 def q_p13(spark, sf):
-    r = _results(spark, sf)
+    r = _results(spark, sf, titles=False)
     return invalid_list(r.where(F.col("source").isin(*EXACT_SOURCES))).select("key", "status")
 
 
@@ -142,7 +142,7 @@ def q_p13(spark, sf):
 SELECT 'fx_bib' AS file, CAST(regexp_extract(key, '(\\d+)', 1) AS INTEGER) AS ordinal, key, status
 FROM x WHERE status IN ('mismatch', 'not_found', 'error')""")
 def q_a8(spark, sf):
-    r = _results(spark, sf)
+    r = _results(spark, sf, titles=False)
     return invalid_list(r.where(F.col("source").isin(*EXACT_SOURCES)))
 
 

@@ -213,7 +213,9 @@ def crawl(spark, sf):
         F.lit("application/pdf").alias("content_type"), F.lit(None).cast("string").alias("body"))
     hop = hop.groupBy("url").agg(F.min("status").alias("status"), F.first("content_type").alias("content_type"),
                                  F.first("body").alias("body"))
-    return c.unionByName(hop.join(c.select("url"), "url", "left_anti"))
+    # a landed crawl is an input table in production; this derived one is cut from its lineage once
+    # (written to the shared checkpoint folder) so the resolution plan reads it like a table
+    return c.unionByName(hop.join(c.select("url"), "url", "left_anti")).checkpoint(eager=True)
 
 
 @register("j17_resolve_crawl")

@@ -16,7 +16,7 @@ VERIFY_FIELDS = ("paperId", "title", "year", "externalIds", "url")
 
 
 def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similarity: float = 0.9,
-                       retrieval_threshold: float | None = None) -> DataFrame:
+                       retrieval_threshold: float | None = None, titles: bool = True) -> DataFrame:
     """M6: look up, compare and enrich every entry; one result row per entry.
 
     ``entries``: (file, ordinal, entry_type, key, fields map).  ``papers``:
@@ -26,10 +26,11 @@ def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similari
     entry columns, source, status, title_similarity (rounded to 3 places),
     year_matches, updates, paper_id, paper_title, error, and ``fields_out``
     (fields with the updates applied, U2).  A failing entry never stops the
-    batch: a DOI miss is an ``error`` row.
+    batch: a DOI miss is an ``error`` row.  ``titles=False`` checks only the
+    entries settled by DOI, URL or a missing title.
     """
     t_ret = min_title_similarity if retrieval_threshold is None else retrieval_threshold
-    matched = cascade_match(entries, papers, t_ret)
+    matched = cascade_match(entries, papers, t_ret, titles=titles)
     p = papers.select(*VERIFY_FIELDS)
     j = matched.join(p, matched["paper_id"] == p["paperId"], "left")
     has_paper = F.col("paper_id").isNotNull()

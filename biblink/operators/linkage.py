@@ -27,8 +27,12 @@ from biblink.functions.common import ColumnOrName, col_of
 from biblink.functions.ids import doi_norm
 from biblink.functions.similarity import ratio
 from biblink.functions.text import title_key_ascii, title_key_unicode
+from biblink.session import ensure_checkpoint_dir
 
 EPS = 1e-9
+# salting of hot prefix grams: right keys per (gram, bucket), and the most buckets per gram
+SALT_BUCKET = 50_000
+SALT_MAX = 4096
 
 
 def _k_max(n1: Column, n2: Column, t: float) -> Column:
@@ -128,32 +132,38 @@ def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -
             numbered_grams(F.col("key")).alias("grams"), numbered_chars(F.col("key")).alias("chars"),
         )
 
-    # signatures are computed once per distinct key and carried along
-    sig = prep(lk, "L").unionByName(prep(rk, "R"))
+    # signatures are computed once per distinct key and read by several branches below:
+    # they are written once to the shared checkpoint folder (lineage cut, survives executor loss)
+    ensure_checkpoint_dir(lk.sparkSession)
+    sig = prep(lk, "L").unionByName(prep(rk, "R")).checkpoint(eager=True)
     exploded = sig.select("side", "key", F.explode("grams").alias("tok"))
     # global rarest-first order of numbered grams over both sides (partial counts map-side)
-    freq = exploded.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    freq = exploded.groupBy("tok").agg(
+        F.count(F.lit(1)).alias("df"), F.count(F.when(F.col("side") == "R", 1)).alias("df_r"))
+    # hot grams: a gram in many right-side prefixes is split into salt buckets of about
+    # SALT_BUCKET right keys; only that gram's left rows are repeated once per bucket
+    nsalt = F.least(F.lit(SALT_MAX), F.greatest(F.lit(1), F.ceil(F.col("df_r") / SALT_BUCKET))).cast("int")
     order = (
-        exploded.join(freq, "tok")
+        exploded.join(freq.select("tok", "df", nsalt.alias("salts")), "tok")
         .groupBy("side", "key")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("ordered"))
+        .agg(F.array_sort(F.collect_list(F.struct("df", "tok", "salts"))).alias("ordered"))
     )
     pref_len = (F.col("n") - 1) - _min_need(F.col("n"), t) + 1
     prefixed = sig.join(order, ["side", "key"]).select(
-        "side", "key", "n", "grams", "chars",
-        F.transform(F.slice("ordered", 1, pref_len.cast("int")), lambda s: s["tok"]).alias("prefix"),
-    )
+        "side", "key", "n", "grams", "chars", F.slice("ordered", 1, pref_len.cast("int")).alias("pre"),
+    ).checkpoint(eager=True)
 
-    def side_rows(name: str, suffix: str, nname: str) -> DataFrame:
+    def side_rows(name: str, suffix: str, nname: str):
         return prefixed.where(F.col("side") == name).select(
             F.col("key").alias(f"{suffix}key"), F.col("n").alias(nname),
             F.col("grams").alias(f"{suffix}grams"), F.col("chars").alias(f"{suffix}chars"),
-            F.col("prefix").alias(f"{suffix}prefix"), F.explode("prefix").alias("tok"),
-        )
+            F.transform("pre", lambda x: x["tok"]).alias(f"{suffix}prefix"), F.explode("pre").alias("_p"),
+        ).select("*", F.col("_p.tok").alias("tok"), F.col("_p.salts").alias("salts")).drop("_p")
 
-    lp, rp = side_rows("L", "l", "n1"), side_rows("R", "r", "n2")
+    lp = side_rows("L", "l", "n1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    rp = side_rows("R", "r", "n2").withColumn("salt", F.pmod(F.xxhash64("rkey"), F.col("salts")).cast("int")).drop("salts")
     lo, hi = _band(F.col("n1"), t)
-    cand = lp.join(rp, (lp["tok"] == rp["tok"]) & (F.col("n2") >= lo) & (F.col("n2") <= hi))
+    cand = lp.join(rp, (lp["tok"] == rp["tok"]) & (lp["salt"] == rp["salt"]) & (F.col("n2") >= lo) & (F.col("n2") <= hi))
     # emit each pair once: only on its first shared prefix gram (no shuffle needed)
     cand = cand.where(F.element_at(F.array_intersect("lprefix", "rprefix"), 1) == lp["tok"])
     # (c) shared numbered 2-grams, then (b) shared numbered characters

@@ -32,6 +32,7 @@ def load_all() -> None:
     from biblink.plans.catalog import (  # noqa: F401
         bib,
         corpus,
+        io,
         linkage,
         pacing,
         ranking,
@@ -39,3 +40,4 @@ def load_all() -> None:
         resolve,
         text,
     )
+    from biblink.plans.catalog import streams  # noqa: F401  (reuses oracles registered above)

@@ -23,23 +23,26 @@ def id_table(papers: DataFrame) -> DataFrame:
     DOIs are normalised (S5) and lower-cased so that lookups are
     case-insensitive; the other schemes compare exactly.
     """
+    cols = set(papers.columns)
+    ids_col = F.col("externalIds") if "externalIds" in cols else F.create_map().cast("map<string,string>")
     ext = F.map_filter(
-        F.coalesce(F.col("externalIds"), F.create_map().cast("map<string,string>")),
+        F.coalesce(ids_col, F.create_map().cast("map<string,string>")),
         lambda k, v: ~F.lower(k).isin("doi") & v.isNotNull(),
     )
     others = papers.select(
         F.col("paperId").alias("paper_id"),
         F.explode(ext).alias("scheme", "value"),
     ).select(F.lower("scheme").alias("scheme"), "value", "paper_id")
-    base = papers.select(
-        F.col("paperId").alias("paper_id"),
-        F.array(
-            F.struct(F.lit("paperid").alias("scheme"), F.col("paperId").cast("string").alias("value")),
-            F.struct(F.lit("corpusid").alias("scheme"), F.col("corpusId").cast("string").alias("value")),
-            F.struct(F.lit("doi").alias("scheme"), F.lower(record_doi("externalIds")).alias("value")),
-            F.struct(F.lit("url").alias("scheme"), F.col("url").cast("string").alias("value")),
-        ).alias("ids"),
-    ).select("paper_id", F.inline("ids")).select("scheme", "value", "paper_id")
+    # only the schemes whose column the records carry
+    parts = [F.struct(F.lit("paperid").alias("scheme"), F.col("paperId").cast("string").alias("value"))]
+    if "corpusId" in cols:
+        parts.append(F.struct(F.lit("corpusid").alias("scheme"), F.col("corpusId").cast("string").alias("value")))
+    if "externalIds" in cols:
+        parts.append(F.struct(F.lit("doi").alias("scheme"), F.lower(record_doi("externalIds")).alias("value")))
+    if "url" in cols:
+        parts.append(F.struct(F.lit("url").alias("scheme"), F.col("url").cast("string").alias("value")))
+    base = papers.select(F.col("paperId").alias("paper_id"), F.array(*parts).alias("ids")) \
+        .select("paper_id", F.inline("ids")).select("scheme", "value", "paper_id")
     return base.unionByName(others).where(F.col("value").isNotNull() & (F.col("value") != ""))
 
 

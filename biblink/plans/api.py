@@ -70,12 +70,13 @@ def recommendations(vectors: DataFrame, paper_id: str | None = None, positives:
                     negatives: Sequence[str] | None = None, limit: int = 100, pool=None,
                     id_col: str = "vec_id") -> DataFrame:
     """recommendations from one seed paper or seed sets."""
-    if bool(paper_id) == bool(positives):
+    has_seed = paper_id is not None and not (isinstance(paper_id, str) and not paper_id.strip())
+    if has_seed == bool(positives):
         raise ValueError("give exactly one of paper_id and positives")
     if limit is not None and int(limit) > ranking.RECOMMEND_MAX:
         raise ValueError(f"limit must be <= {ranking.RECOMMEND_MAX}")
     spark = vectors.sparkSession
-    pos_ids = [paper_id] if paper_id else list(positives)
+    pos_ids = [paper_id] if has_seed else list(positives)
     id_type = dict(vectors.dtypes)[id_col]
     pos = spark.createDataFrame([(p,) for p in pos_ids], f"{id_col} {id_type}")
     neg = spark.createDataFrame([(n,) for n in negatives], f"{id_col} {id_type}") if negatives else None

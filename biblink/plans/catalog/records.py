@@ -223,3 +223,14 @@ def q_a7(spark, sf):
     papers = f.fx_authorship.select("paper_id").distinct()
     counts = G.edge_counts(papers, f.fx_citations)
     return G.h_index(f.fx_authorship, counts, f.fx_authors)
+
+
+@register("p3_id_table", oracle_with("fx_papers") + """
+SELECT 'paperid' AS scheme, paper_id AS value, paper_id FROM fx_papers
+UNION ALL SELECT 'corpusid', CAST(pk AS VARCHAR), paper_id FROM fx_papers
+UNION ALL SELECT 'doi', lower(doi), paper_id FROM fx_papers WHERE doi IS NOT NULL
+UNION ALL SELECT 'url', url, paper_id FROM fx_papers
+UNION ALL SELECT 'arxiv', arxiv_id, paper_id FROM fx_papers WHERE arxiv_id IS NOT NULL""")
+def q_p3(spark, sf):
+    """Every identifier scheme of every record as a row."""
+    return K.id_table(fx(spark, sf).papers)

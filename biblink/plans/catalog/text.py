@@ -190,3 +190,32 @@ def _sql_title_guess(x: str) -> str:
 def q_s29(spark, sf):
     p = fx(spark, sf).fx_doc_pages
     return p.select("doc_id", "page_no", T.title_guess("text").alias("out"))
+
+
+@register("s17_candidate_url", oracle_with("fx_papers") + """
+SELECT paper_id, CASE WHEN arxiv_id IS NOT NULL THEN 'https://export.arxiv.org/pdf/' || arxiv_id END AS arxiv_url,
+  'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || CAST(pk AS VARCHAR) || '/pdf/' AS pmc_url,
+  CASE WHEN doi IS NOT NULL THEN 'https://mirror.example.org/' || replace(url_encode(doi), '%2F', '/') || ','
+       || 'http://mirror.example.org/' || replace(url_encode(doi), '%2F', '/') END AS landing
+FROM fx_papers""")
+def q_s17(spark, sf):
+    """arXiv, PMC and DOI-mirror locations (host without scheme: https then http)."""
+    p = fx(spark, sf).fx_papers
+    return p.select(
+        "paper_id",
+        F.when(F.col("arxiv_id").isNotNull(), I.arxiv_pdf_url("arxiv_id")).alias("arxiv_url"),
+        I.pmc_pdf_url(F.concat(F.lit("PMC"), F.col("pk").cast("string"))).alias("pmc_url"),
+        F.when(F.col("doi").isNotNull(), F.array_join(I.doi_landing_urls("mirror.example.org", "doi"), ",")).alias("landing"),
+    )
+
+
+@register("s8_title_ratio")
+def q_s8(spark, sf):
+    """Ratio of every bibliography title to its own record's title (S2 keys; rows-only)."""
+    from biblink.functions.similarity import ratio, round3
+
+    f = fx(spark, sf)
+    b = f.fx_bib.join(f.fx_papers.select("pk", F.col("title").alias("ptitle")),
+                      F.concat(F.lit("k"), F.col("pk").cast("string")) == F.col("entry_key"))
+    r = ratio(T.title_key_ascii("title"), T.title_key_ascii("ptitle"))
+    return b.select("entry_key", r.alias("ratio")).select("entry_key", "ratio", round3("ratio").alias("ratio3"))

@@ -94,6 +94,14 @@ def _numbered_chars(keys: pd.Series) -> pd.Series:
     return keys.map(lambda k: None if k is None else one(k))
 
 
+def _min_shared_chars(n: Column, t: float) -> Column:
+    """Smallest bound (b) over every partner length the band allows: ceil(t(n+m)/2)."""
+    lo, hi = _band(n, t)
+    lo = F.greatest(lo, F.lit(1))
+    return F.array_min(F.transform(F.sequence(lo, F.greatest(hi, lo)),
+                                   lambda m: F.ceil(F.lit(t) * (n + m) / 2 - F.lit(EPS))))
+
+
 def numbered_grams(key: Column) -> Column:
     """2-grams of a key tagged with their occurrence number, as 64-bit codes (multiset as a set)."""
     return _numbered_grams(key)
@@ -148,16 +156,25 @@ def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -
         .groupBy("side", "key")
         .agg(F.array_sort(F.collect_list(F.struct("df", "tok", "salts"))).alias("ordered"))
     )
+    # a second, independent prefix over numbered characters (bound b): a pair must share a token
+    # of both prefixes, and the character prefix is short (about (1 - t) of the key)
+    cex = sig.select("side", "key", F.explode("chars").alias("tok"))
+    cfreq = cex.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    corder = cex.join(cfreq, "tok").groupBy("side", "key").agg(
+        F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("cordered"))
     pref_len = (F.col("n") - 1) - _min_need(F.col("n"), t) + 1
-    prefixed = sig.join(order, ["side", "key"]).select(
+    cpref_len = F.col("n") - _min_shared_chars(F.col("n"), t) + 1
+    prefixed = sig.join(order, ["side", "key"]).join(corder, ["side", "key"]).select(
         "side", "key", "n", "grams", "chars", F.slice("ordered", 1, pref_len.cast("int")).alias("pre"),
+        F.transform(F.slice("cordered", 1, cpref_len.cast("int")), lambda x: x["tok"]).alias("cpre"),
     ).checkpoint(eager=True)
 
     def side_rows(name: str, suffix: str, nname: str):
         return prefixed.where(F.col("side") == name).select(
             F.col("key").alias(f"{suffix}key"), F.col("n").alias(nname),
             F.col("grams").alias(f"{suffix}grams"), F.col("chars").alias(f"{suffix}chars"),
-            F.transform("pre", lambda x: x["tok"]).alias(f"{suffix}prefix"), F.explode("pre").alias("_p"),
+            F.transform("pre", lambda x: x["tok"]).alias(f"{suffix}prefix"), F.col("cpre").alias(f"{suffix}cpre"),
+            F.explode("pre").alias("_p"),
         ).select("*", F.col("_p.tok").alias("tok"), F.col("_p.salts").alias("salts")).drop("_p")
 
     lp = side_rows("L", "l", "n1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
@@ -166,6 +183,7 @@ def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -
     cand = lp.join(rp, (lp["tok"] == rp["tok"]) & (lp["salt"] == rp["salt"]) & (F.col("n2") >= lo) & (F.col("n2") <= hi))
     # emit each pair once: only on its first shared prefix gram (no shuffle needed)
     cand = cand.where(F.element_at(F.array_intersect("lprefix", "rprefix"), 1) == lp["tok"])
+    cand = cand.where(F.arrays_overlap("lcpre", "rcpre"))
     # (c) shared numbered 2-grams, then (b) shared numbered characters
     cand = cand.where(F.size(F.array_intersect("lgrams", "rgrams")) >= _need(F.col("n1"), F.col("n2"), t))
     overlap = F.size(F.array_intersect("lchars", "rchars"))

@@ -118,15 +118,15 @@ def pdf_link_candidates(html: ColumnOrName) -> Column:
     h = markup_only(raw)
     metas = F.transform(_tags(h, ("meta",)), lambda t: F.struct(
         F.lower(_attr(t, "name")).alias("n"), F.lower(_attr(t, "property")).alias("p"),
-        F.coalesce(F.when(_attr(t, "content") != "", _attr(t, "content")), F.when(_attr(t, "value") != "", _attr(t, "value"))).alias("u"),
+        F.coalesce(F.nullif(_attr(t, "content"), F.lit("")), F.nullif(_attr(t, "value"), F.lit(""))).alias("u"),
     ))
     keys = F.array(*[F.lit(k) for k in PDF_META_KEYS])
     s1 = F.try_element_at(F.filter(metas, lambda m: (F.array_contains(keys, m["n"]) | F.array_contains(keys, m["p"]))
                                    & m["u"].isNotNull() & ~m["u"].contains("{pdf}")), F.lit(1))["u"]
     links = F.transform(_tags(h, ("link",)), lambda t: F.struct(F.lower(_attr(t, "type")).alias("t"), _attr(t, "href").alias("h")))
     s2 = F.try_element_at(F.filter(links, lambda l: (l["h"] != "") & l["t"].contains("pdf")), F.lit(1))["h"]
-    embeds = F.transform(_tags(h, EMBED_TAGS), lambda t: F.coalesce(F.when(_attr(t, "src") != "", _attr(t, "src")),
-                                                                     F.when(_attr(t, "data") != "", _attr(t, "data"))))
+    embeds = F.transform(_tags(h, EMBED_TAGS), lambda t: F.coalesce(F.nullif(_attr(t, "src"), F.lit("")),
+                                                                     F.nullif(_attr(t, "data"), F.lit(""))))
     e1 = F.try_element_at(F.filter(embeds, lambda s: s.isNotNull() & (s.startswith("//") | F.lower(s).contains(".pdf"))), F.lit(1))
     s3 = F.when(e1.startswith("//"), F.concat(F.lit("https:"), e1)).otherwise(e1)
     hrefs = F.filter(F.transform(_tags(h, ("a",)), lambda t: _attr(t, "href")), lambda x: x != "")

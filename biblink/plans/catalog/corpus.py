@@ -121,3 +121,13 @@ def q_m4r(spark, sf):
     """M4 with the link resolved against the page URL (S19, rows-only)."""
     p = Fixtures(spark, sf).fx_link_pages
     return C.pdf_link(p).select("page_id", "strategy", "raw_link", "pdf_url")
+
+
+@register("s19_url_resolve")
+def q_s19(spark, sf):
+    """The first link of every crawled page resolved against the page URL (urljoin semantics)."""
+    from biblink.functions.similarity import url_resolve
+
+    p = Fixtures(spark, sf).pages
+    link = F.regexp_extract("html", r'href="([^"]*)"', 1)
+    return p.select("page_id", link.alias("link"), url_resolve(F.col("url"), F.nullif(link, F.lit(""))).alias("resolved"))

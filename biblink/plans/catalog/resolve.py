@@ -273,3 +273,26 @@ def q_j19(spark, sf):
         F.when(F.col("pk") % 3 == 1, F.col("title")).when(F.col("pk") % 3 == 2, F.concat(F.lit("Other "), F.col("venue"))).alias("title"),
     )
     return LK.existing_valid(req, art).select("name", "reuse")
+
+
+@register("p14_validate_match")
+def q_p14(spark, sf):
+    """A stored file's DOI (trimmed, lower) or title ratio >= 0.85 against the expected record."""
+    from biblink.functions.similarity import ratio
+    from biblink.functions.text import title_key_unicode
+
+    p = fx(spark, sf).fx_papers
+    found_doi = F.when(F.col("pk") % 3 == 0, F.concat(F.lit(" "), F.upper("doi"))).when(F.col("pk") % 3 == 1, F.lit("10.0/other"))
+    found_title = F.when(F.col("pk") % 2 == 0, F.col("title")).otherwise(F.concat(F.lit("Draft "), F.col("venue")))
+    r = ratio(title_key_unicode("title"), title_key_unicode(found_title))
+    return p.select("paper_id", LK.validate_match(found_doi, found_title, F.col("doi"), F.col("title"), r).alias("valid"))
+
+
+@register("a2_best_match")
+def q_a2(spark, sf):
+    """A2: best record per bibliography title among all pairs reaching 0.9, first record on ties."""
+    f = fx(spark, sf)
+    left = f.fx_bib.where(F.col("title").isNotNull()).select(F.col("entry_key").alias("lid"), "title")
+    right = f.fx_papers.select(F.col("pk").alias("rid"), "title")
+    pairs = LK.similarity_join(left, right, "title", "title", 0.9).select("lid", "rid", "ratio")
+    return LK.best_match(pairs, "lid", "rid").select("lid", "rid", "ratio")

@@ -76,15 +76,16 @@ def q_j18(spark, sf):
 
 
 @register("a9_dedupe_responses", _R + f"""
-SELECT request_key, arg_min(ts, (ts, event_id)) AS ts, arg_min(event_id, (ts, event_id)) AS event_id,
+SELECT request_key, epoch_us(arg_min(ts, (ts, event_id))) AS ts_us, arg_min(event_id, (ts, event_id)) AS event_id,
   arg_min(response, (ts, event_id)) AS response FROM ({_LANDED_SQL}) GROUP BY request_key""")
 def q_a9(spark, sf):
     """One landed response per key: the earliest (ties: smallest event id)."""
-    return P.dedupe_responses(landed(spark, sf), tie="event_id").select("request_key", "ts", "event_id", "response")
+    out = P.dedupe_responses(landed(spark, sf), tie="event_id")
+    return out.select("request_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "response")
 
 
 @register("u4_land", _R + f"""
-SELECT request_key, arg_min(ts, (ts, event_id)) AS ts, arg_min(event_id, (ts, event_id)) AS event_id,
+SELECT request_key, epoch_us(arg_min(ts, (ts, event_id))) AS ts_us, arg_min(event_id, (ts, event_id)) AS event_id,
   arg_min(response, (ts, event_id)) AS response FROM (
     {_LANDED_SQL}
     UNION ALL SELECT request_key, ts, event_id, props FROM r WHERE value <= 50 AND event_type = 'error') GROUP BY request_key""")
@@ -93,7 +94,8 @@ def q_u4(spark, sf):
     r = requests(spark, sf)
     new = r.where((F.col("value") <= 50) & (F.col("event_type") == "error")).select(
         "request_key", "ts", "event_id", F.col("props").alias("response"))
-    return P.land(landed(spark, sf), new, tie="event_id").select("request_key", "ts", "event_id", "response")
+    out = P.land(landed(spark, sf), new, tie="event_id")
+    return out.select("request_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", "response")
 
 
 _BODY = "CASE WHEN value < 5 THEN substr(props, 1, 5) ELSE props END"

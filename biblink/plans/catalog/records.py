@@ -60,11 +60,11 @@ def q_p7(spark, sf):
 
 
 @register("p8_publication_date", _PF + """
-SELECT paper_id, pub_date FROM pf WHERE pub_date BETWEEN DATE '1985-03-01' AND DATE '1990-12-31'""")
+SELECT paper_id, CAST(pub_date AS VARCHAR) AS pub_date FROM pf WHERE pub_date BETWEEN DATE '1985-03-01' AND DATE '1990-12-31'""")
 def q_p8(spark, sf):
     """``1985-03:1990`` wins over the also-given year filter."""
     p = R.search_filter(fx(spark, sf).papers_full, year="2000", publication_date_or_year="1985-03:1990")
-    return p.select(F.col("paperId").alias("paper_id"), F.col("publicationDate").alias("pub_date"))
+    return p.select(F.col("paperId").alias("paper_id"), F.col("publicationDate").cast("string").alias("pub_date"))
 
 
 @register("p9_venue", oracle_with("fx_papers") + "SELECT paper_id FROM fx_papers WHERE venue IN ('Brand#4', 'Brand#19')")

@@ -1,20 +1,26 @@
 """Record linkage: similarity join, title retrieval, cascade match.
 
 Similarity is the Ratcliff-Obershelp ratio ``2M/(n1+n2)`` (S8).  The join
-never compares all pairs: three lossless filters derived from the threshold
-cut the candidates first (length band, q-gram count, prefix filter), and only
-the survivors reach the Python ratio.
+never compares all pairs: lossless filters derived from the threshold cut
+the candidates first, and only the survivors reach the Python ratio.
 
 For ratio >= t with lengths n1, n2 and M matched characters:
   (a) 2*min(n1, n2) >= t*(n1 + n2)                       (M <= min)
   (b) multiset character overlap >= t*(n1 + n2)/2        (M <= overlap)
   (c) indel distance k <= (1-t)(n1+n2), so by the q-gram lemma the two keys
       share at least max(n1, n2) - 1 - 2k numbered 2-grams.
-Prefix filter: order all numbered 2-grams rarest first; two keys sharing at
+Prefix filters: order all numbered 2-grams rarest first; two keys sharing at
 least ``need`` grams must share one of the first ``|G| - need + 1`` grams of
 each key, where ``need`` is the smallest bound over every partner length the
-band allows.  Keys too short to carry a 2-gram (length <= 1) can only reach a
-threshold above 2/3 against an identical key, so they join by equality.
+band allows.  The same argument over numbered characters and bound (b) gives
+a second, short prefix that a candidate must also share.  Keys too short to
+carry a 2-gram (length <= 1) can only reach a threshold above 2/3 against an
+identical key, so they join by equality.
+
+Layout on the cluster: per-key signatures are computed once per distinct key
+(duplicates on either side cost one key) and checkpointed; the prefix join
+emits each pair once (on its first shared prefix gram); grams present in very
+many right-side prefixes are salted so no single task enumerates their pairs.
 """
 
 from __future__ import annotations

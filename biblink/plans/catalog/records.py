@@ -8,7 +8,6 @@ from biblink.operators import graph as G
 from biblink.operators import lookup as K
 from biblink.operators import records as R
 from biblink.plans.catalog import register
-from biblink.plans.catalog import sqlx as X
 from biblink.plans.fixtures import Fixtures, oracle_with
 
 

@@ -52,10 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared file system and is used as is.
     Only when it is unset (local tests) a fresh scratch folder is made.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a classic SparkContext use the setting only
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
         path = tempfile.mkdtemp(prefix="biblink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path

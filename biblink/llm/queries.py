@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, mixing, quality_rules, shards, simhash, suffix_dedup, token_count, url_filter
+from . import chat_format, decontaminate, lbl, mixing, quality_rules, shards, simhash, suffix_dedup, token_count, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,3 +120,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400)
     removed = F.col("n_bytes") - F.octet_length("kept")
     return out.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_lbl_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score(table(spark, sf_dir, "documents"))

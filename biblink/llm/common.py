@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,12 +49,16 @@ def ascii_lower(text: Column) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, read from the session.
 
-    There is no fallback to a machine-local folder: without the setting a job
-    that must cut its lineage fails with this message.
+    Only a session whose tasks run in the driver's own process (master
+    ``local[n]``) gets a temporary folder when the setting is missing; on a
+    cluster that is an error, as executors would not see it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="llm-")
+        spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 

@@ -9,8 +9,8 @@ slots of an item must be refilled consistently, that is, one item value always
 by the same document value.  So a question with other numbers or names is
 caught, and a chance meeting of placeholders is not.
 
-A window must hold ``min_literals`` words that are not placeholders, and a
-document leaks an item when the matched windows of a diagonal cover
+A window must hold ``min_literals`` words that are not placeholders (a shorter
+one as large a share), and a document leaks an item when the matched windows of a diagonal cover
 ``min_words`` words or ``min_share`` of the item.  Items shorter than a window
 are matched as one window of their own length.
 
@@ -66,13 +66,14 @@ def template_words(raw: Column) -> Column:
     return F.filter(F.split(t, " "), lambda w: w != "")
 
 
-def windows(template: Column, size: Column | int, min_literals: int) -> Column:
-    """``array<struct<pos, hash>>`` of the windows with enough words that are no placeholders."""
+def windows(template: Column, size: Column | int, min_literals: int, full: int) -> Column:
+    """``array<struct<pos, hash>>`` of the windows with enough words that are no
+    placeholders: ``min_literals`` of ``full`` words, as large a share of fewer."""
     size = size if isinstance(size, Column) else F.lit(size)
 
     def of(hashes: Column, literal: Column) -> Column:
         spots = F.when(F.size(hashes) >= size, F.sequence(F.lit(0), F.size(hashes) - size)).otherwise(F.array().cast("array<int>"))
-        enough = F.filter(spots, lambda i: F.aggregate(F.slice(literal, i + 1, size), F.lit(0), lambda a, b: a + b) >= F.least(F.lit(min_literals), size))
+        enough = F.filter(spots, lambda i: F.aggregate(F.slice(literal, i + 1, size), F.lit(0), lambda a, b: a + b) >= F.least(F.lit(min_literals), F.ceil(size * min_literals / full)))
         return F.transform(enough, lambda i: F.struct(i.alias("pos"), F.xxhash64(size, F.slice(hashes, i + 1, size)).alias("hash")))
 
     return let(
@@ -91,7 +92,7 @@ def leaks(
     bench = items.select(F.col(item_id).alias("item_id"), plain_words(F.col(item_text)).alias("raw")).where("size(raw) > 0")
     bench = bench.select("item_id", "raw", template_words(F.col("raw")).alias("template"))
     length = F.least(F.lit(window), F.size("template"))
-    keys = bench.select("item_id", "raw", "template", length.alias("size"), F.explode(windows(F.col("template"), length, min_literals)).alias("w"))
+    keys = bench.select("item_id", "raw", "template", length.alias("size"), F.explode(windows(F.col("template"), length, min_literals, window)).alias("w"))
     keys = keys.select("item_id", "size", F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"))
     sizes = sorted(r[0] for r in keys.select("size").distinct().collect()) or [window]  # at most `window` numbers
     small = keys.count() <= broadcast_rows
@@ -99,7 +100,7 @@ def leaks(
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).cast("string").alias("text"))
     found = narrow.select(
         "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.explode(let(template_words(plain_words(F.col("text"))), lambda t: F.concat(*(windows(t, n, min_literals) for n in sizes)))).alias("w"),
+        F.explode(let(template_words(plain_words(F.col("text"))), lambda t: F.concat(*(windows(t, n, min_literals, window) for n in sizes)))).alias("w"),
     ).select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
     met = found.join(F.broadcast(keys) if small else keys, "hash")
     # matched windows per diagonal; repeated windows of an item count once each

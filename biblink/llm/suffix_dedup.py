@@ -222,11 +222,13 @@ def repeated_windows(df: DataFrame, *, length: int = 400, key: str = "doc_id", t
     docs = _documents(df, key, text)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     anchors = written(docs.where(F.octet_length("body") >= length).mapInArrow(_anchor_rows(length), f"doc_id {id_type}, text_hash bigint, p int, first int, last int, h bigint, c bigint"), "anchors")
-    again = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("hh"))
+    # small tables that a join follows are written first: joined straight from their
+    # aggregate, a gram that very many texts share could not be split over tasks
+    again = written(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("hh")), "again")
     candidates = written(anchors.join(again, F.col("h") == F.col("hh"), "left_semi"), "candidates")
     classes = candidates.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "p", "first", "last")).alias("at"))
     classes = written(classes, "classes")
-    contested = classes.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1").select(F.col("h").alias("hh"), "d")
+    contested = written(classes.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1").select(F.col("h").alias("hh"), "d"), "contested")
     contested = classes.join(contested, F.col("h") == F.col("hh"))
 
     wanted = contested.groupBy(F.col("at.doc_id").alias("d_id"), F.col("at.text_hash").alias("d_th")).agg(

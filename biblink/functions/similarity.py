@@ -27,6 +27,24 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+@F.pandas_udf(DoubleType())
+def _ratio_from(a: pd.Series, b: pd.Series, low: pd.Series) -> pd.Series:
+    """The ratio where it can reach ``low``, else null.  The matcher indexes its second
+    string, so rows are taken in the order of ``b``; the cheap upper bounds come first."""
+    out = [None] * len(a)
+    matcher = SequenceMatcher(None)
+    rows = sorted(((y, x, t, i) for i, (x, y, t) in enumerate(zip(a, b, low)) if x is not None and y is not None))
+    last = None
+    for y, x, t, i in rows:
+        if y != last:
+            matcher.set_seq2(y)
+            last = y
+        matcher.set_seq1(x)
+        if matcher.real_quick_ratio() >= t and matcher.quick_ratio() >= t:
+            out[i] = matcher.ratio()
+    return pd.Series(out, dtype="float64")
+
+
 @F.pandas_udf(DoubleType())
 def _round3(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None or v != v else round(float(v), 3)).astype("float64")
@@ -50,6 +68,11 @@ def ratio(left_key: ColumnOrName, right_key: ColumnOrName) -> Column:
     return _ratio(col_of(left_key), col_of(right_key))
 
 
+def ratio_from(left_key: ColumnOrName, right_key: ColumnOrName, low: float) -> Column:
+    """S8 where it is at least ``low``; null (or a smaller ratio) elsewhere."""
+    return _ratio_from(col_of(left_key), col_of(right_key), F.lit(float(low)))
+
+
 def round3(x: ColumnOrName) -> Column:
     """Python-style round to 3 places (half-even on the binary value)."""
     return _round3(col_of(x))
@@ -58,12 +81,18 @@ def round3(x: ColumnOrName) -> Column:
 def url_resolve(base: ColumnOrName, ref: ColumnOrName) -> Column:
     """RFC 3986 join of ``ref`` against ``base``; no base -> ref unchanged.
 
-    A missing base or link never leaves the JVM; the join itself uses the
-    standard library so that dot segments and scheme rules match exactly.
+    Absolute links, ``//host`` links and rooted paths without dot segments are
+    resolved in the JVM; only what is left (relative paths, dot segments, bare
+    queries and fragments, odd bases) goes to the standard library.
     """
     b, r = col_of(base), col_of(ref)
+    plain = ~r.rlike(r"[?#]$|\?#|[\x00-\x20]") & b.rlike(r"^https?://[^/?#\[\]]+")
+    origin = F.regexp_extract(b, r"^(https?://[^/?#]+)", 1)
     return (
         F.when(r.isNull(), F.lit(None).cast("string"))
         .when(b.isNull() | (b == ""), r)
+        .when(plain & r.rlike(r"^https?://[^/?#\[\]]"), r)
+        .when(plain & r.rlike(r"^//[^/?#\[\]]"), F.concat(F.regexp_extract(b, "^(https?:)", 1), r))
+        .when(plain & r.rlike(r"^/(?!/)") & ~r.rlike(r"(^|/)\.\.?([/?#]|$)"), F.concat(origin, r))
         .otherwise(_urljoin(b, r))
     )

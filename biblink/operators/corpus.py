@@ -82,7 +82,7 @@ def extract_text(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 # ---------------------------------------------------------------- M4: PDF link in HTML
 
-# Meta keys, in the order tried per tag; tags of strategy 3.
+# Fixed values (with the three link patterns in ``pdf_link_candidates``): meta keys, in the order tried per tag; tags of strategy 3.
 PDF_META_KEYS = ("citation_pdf_url", "pdf_url")
 EMBED_TAGS = ("embed", "iframe", "object")
 
@@ -95,15 +95,31 @@ def _attr(tag: Column, name: str) -> Column:
     return _unescape(raw)
 
 
+# Named character references that occur in URLs.
+ENTITIES = {"&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&nbsp;": "\u00a0", "&period;": ".", "&sol;": "/", "&amp;": "&"}
+
+
 def _unescape(x: Column) -> Column:
-    for ent, ch in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    """Decimal, hexadecimal and the listed named character references decoded, in one pass."""
+    parts = F.regexp_extract_all(x, F.lit(r"(?is)&#x[0-9a-f]{1,6};|&#[0-9]{1,7};|&[a-z]+;|[^&]+|&"), F.lit(0))
+
+    def decode(p: Column) -> Column:
+        code = (
+            F.when(p.rlike(r"(?i)^&#x[0-9a-f]+;$"), F.conv(F.regexp_extract(p, r"(?i)^&#x([0-9a-f]+);$", 1), 16, 10).cast("int"))
+            .when(p.rlike(r"^&#[0-9]+;$"), F.regexp_extract(p, r"^&#([0-9]+);$", 1).cast("int"))
+        )
+        # a code point as text, through its four-byte encoding
+        out = F.when(code.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        for ent, ch in ENTITIES.items():
+            out = F.when(p == ent, F.lit(ch)).otherwise(out)
+        return F.coalesce(out, p)
+
+    return F.when(x.contains("&"), F.array_join(F.transform(parts, decode), "")).otherwise(x)
 
 
 def _tags(html: Column, names: tuple[str, ...]) -> Column:
     alt = "|".join(names)
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{alt})\b[^>]*>"), F.lit(0))
+    return F.regexp_extract_all(html, F.lit(rf"""(?is)<(?:{alt})\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), F.lit(0))
 
 
 def markup_only(html: ColumnOrName) -> Column:

@@ -13,9 +13,10 @@ Prefix filters: order all numbered 2-grams rarest first; two keys sharing at
 least ``need`` grams must share one of the first ``|G| - need + 1`` grams of
 each key, where ``need`` is the smallest bound over every partner length the
 band allows.  The same argument over numbered characters and bound (b) gives
-a second, short prefix that a candidate must also share.  Keys too short to
-carry a 2-gram (length <= 1) can only reach a threshold above 2/3 against an
-identical key, so they join by equality.
+a second, short prefix that a candidate must also share.  At thresholds where
+(c) does not force a shared 2-gram, the character prefix alone is used.  Keys
+too short to carry a 2-gram can only reach a threshold above 2/3 against an
+identical key, so there they join by equality.
 
 Layout on the cluster: per-key signatures are computed once per distinct key
 (duplicates on either side cost one key) and checkpointed; the prefix join
@@ -25,13 +26,15 @@ many right-side prefixes are salted so no single task enumerates their pairs.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from biblink.functions.common import ColumnOrName, col_of
 from biblink.functions.ids import doi_norm
-from biblink.functions.similarity import ratio
+from biblink.functions.similarity import ratio, ratio_from
 from biblink.functions.text import title_key_ascii, title_key_unicode
 from biblink.session import ensure_checkpoint_dir
 
@@ -63,41 +66,30 @@ def _min_need(n: Column, t: float) -> Column:
 
 
 # A numbered gram is one 64-bit code: two code points (21 bits each) and the
-# occurrence number (low 21 bits); a numbered character likewise.  Keys of
-# 2^21 characters or more are refused rather than silently merged.  Integer
-# arrays keep the join key and the array_intersect checks primitive.
+# occurrence number (low 21 bits); a numbered character likewise.  Higher
+# occurrence numbers (keys of over 2^21 characters) get a negative hash code.
+# Integer arrays keep the join key and the array_intersect checks primitive.
 _OCC_BITS = 21
-_MAX_KEY = (1 << _OCC_BITS) - 1
+
+
+def _numbered(codes) -> list[int]:
+    seen: Counter[int] = Counter()
+    out = []
+    for c in codes:
+        seen[c] += 1
+        n = seen[c]
+        out.append(c << _OCC_BITS | n if n < 1 << _OCC_BITS else ~(hash((c, n)) & ((1 << 62) - 1)))
+    return out
 
 
 @F.pandas_udf(ArrayType(LongType()))
 def _numbered_grams(keys: pd.Series) -> pd.Series:
-    def one(k):
-        if len(k) > _MAX_KEY:
-            raise ValueError("similarity key longer than 2^21 characters")
-        seen: dict[int, int] = {}
-        out = []
-        for i in range(len(k) - 1):
-            g = (ord(k[i]) << 21) | ord(k[i + 1])
-            seen[g] = seen.get(g, 0) + 1
-            out.append((g << _OCC_BITS) | seen[g])
-        return out
-    return keys.map(lambda k: None if k is None else one(k))
+    return keys.map(lambda k: None if k is None else _numbered(ord(a) << 21 | ord(b) for a, b in zip(k, k[1:])))
 
 
 @F.pandas_udf(ArrayType(LongType()))
 def _numbered_chars(keys: pd.Series) -> pd.Series:
-    def one(k):
-        if len(k) > _MAX_KEY:
-            raise ValueError("similarity key longer than 2^21 characters")
-        seen: dict[int, int] = {}
-        out = []
-        for ch in k:
-            c = ord(ch)
-            seen[c] = seen.get(c, 0) + 1
-            out.append((c << _OCC_BITS) | seen[c])
-        return out
-    return keys.map(lambda k: None if k is None else one(k))
+    return keys.map(lambda k: None if k is None else _numbered(map(ord, k)))
 
 
 def _min_shared_chars(n: Column, t: float) -> Column:
@@ -118,30 +110,34 @@ def numbered_chars(key: Column) -> Column:
     return _numbered_chars(key)
 
 
-def _check_threshold(t: float) -> None:
-    if not (2.0 / 3.0 < t <= 1.0):
-        raise ValueError("similarity threshold must be in (2/3, 1] for the lossless candidate filters")
-    # every key of length >= 2 must be forced to share at least one 2-gram
+def _grams_decide(t: float) -> bool:
+    """Whether bound (c) forces every pair of keys of two or more characters to share a
+    2-gram at threshold ``t``; below that the numbered characters alone are the prefix."""
+    if t <= 2.0 / 3.0:
+        return False
     for n in range(2, 400):
         lo = max(2, -(-int(n * t / (2 - t) * 1e6) // 1_000_000))
         hi = int(n * (2 - t) / t + EPS)
-        need = min(max(n, m) - 1 - 2 * int((1 - t) * (n + m) + EPS) for m in range(lo, max(hi, lo) + 1))
-        if need < 1:
-            raise ValueError(f"threshold {t} too low for the prefix filter at key length {n}")
+        if min(max(n, m) - 1 - 2 * int((1 - t) * (n + m) + EPS) for m in range(lo, max(hi, lo) + 1)) < 1:
+            return False
+    return True
 
 
 def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -> DataFrame:
-    """All pairs of *distinct* keys with ratio(lkey, rkey) >= t.
+    """All pairs of *distinct* non-empty keys with ratio(lkey, rkey) >= t, for 0 < t <= 1.
 
     ``left_keys``/``right_keys``: one column ``key`` each (duplicates are
-    collapsed here).  Returns (lkey, rkey, ratio).
+    collapsed here).  Returns (lkey, rkey, ratio).  An empty key says nothing
+    about its title, so it pairs with nothing.
     """
-    _check_threshold(t)
-    lk = left_keys.select(F.col("key")).where(F.col("key").isNotNull()).distinct()
-    rk = right_keys.select(F.col("key")).where(F.col("key").isNotNull()).distinct()
+    if not 0.0 < t <= 1.0:
+        raise ValueError("similarity threshold must be in (0, 1]")
+    grams = _grams_decide(t)
+    lk = left_keys.select(F.col("key")).where(F.col("key") != "").distinct()
+    rk = right_keys.select(F.col("key")).where(F.col("key") != "").distinct()
 
     def prep(df: DataFrame, side: str) -> DataFrame:
-        return df.where(F.length("key") >= 2).select(
+        return df.where(F.length("key") >= (2 if grams else 1)).select(
             F.lit(side).alias("side"), "key", F.length("key").alias("n"),
             numbered_grams(F.col("key")).alias("grams"), numbered_chars(F.col("key")).alias("chars"),
         )
@@ -150,7 +146,7 @@ def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -
     # they are written once to the shared checkpoint folder (lineage cut, survives executor loss)
     ensure_checkpoint_dir(lk.sparkSession)
     sig = prep(lk, "L").unionByName(prep(rk, "R")).checkpoint(eager=True)
-    exploded = sig.select("side", "key", F.explode("grams").alias("tok"))
+    exploded = sig.select("side", "key", F.explode("grams" if grams else "chars").alias("tok"))
     # global rarest-first order of numbered grams over both sides (partial counts map-side)
     freq = exploded.groupBy("tok").agg(
         F.count(F.lit(1)).alias("df"), F.count(F.when(F.col("side") == "R", 1)).alias("df_r"))
@@ -168,7 +164,7 @@ def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -
     cfreq = cex.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     corder = cex.join(cfreq, "tok").groupBy("side", "key").agg(
         F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("cordered"))
-    pref_len = (F.col("n") - 1) - _min_need(F.col("n"), t) + 1
+    pref_len = F.col("n") - (_min_need if grams else _min_shared_chars)(F.col("n"), t) + (0 if grams else 1)
     cpref_len = F.col("n") - _min_shared_chars(F.col("n"), t) + 1
     prefixed = sig.join(order, ["side", "key"]).join(corder, ["side", "key"]).select(
         "side", "key", "n", "grams", "chars", F.slice("ordered", 1, pref_len.cast("int")).alias("pre"),
@@ -191,14 +187,17 @@ def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -
     cand = cand.where(F.element_at(F.array_intersect("lprefix", "rprefix"), 1) == lp["tok"])
     cand = cand.where(F.arrays_overlap("lcpre", "rcpre"))
     # (c) shared numbered 2-grams, then (b) shared numbered characters
-    cand = cand.where(F.size(F.array_intersect("lgrams", "rgrams")) >= _need(F.col("n1"), F.col("n2"), t))
+    if grams:
+        cand = cand.where(F.size(F.array_intersect("lgrams", "rgrams")) >= _need(F.col("n1"), F.col("n2"), t))
     overlap = F.size(F.array_intersect("lchars", "rchars"))
     cand = cand.where(overlap * 2 >= F.lit(t) * (F.col("n1") + F.col("n2")) - F.lit(EPS))
     pairs = cand.select("lkey", "rkey").withColumn(
-        "ratio", F.when(F.col("lkey") == F.col("rkey"), F.lit(1.0)).otherwise(ratio("lkey", "rkey"))
+        "ratio", F.when(F.col("lkey") == F.col("rkey"), F.lit(1.0)).otherwise(ratio_from("lkey", "rkey", t))
     ).where(F.col("ratio") >= F.lit(t))
+    if not grams:
+        return pairs
 
-    # keys of length 0 or 1: only an identical key reaches t > 2/3
+    # keys of length 1: only an identical key reaches t > 2/3
     short_l = lk.where(F.length("key") <= 1).select(F.col("key").alias("lkey"))
     short_r = rk.where(F.length("key") <= 1).select(F.col("key").alias("rkey"))
     short = short_l.join(short_r, short_l["lkey"] == short_r["rkey"]).select("lkey", "rkey", F.lit(1.0).alias("ratio"))
@@ -220,31 +219,47 @@ def similarity_join(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     )
 
 
-def title_match(queries: DataFrame, papers: DataFrame, t: float, query_id: str = "qid",
-                query_title: str = "title", key_fn=title_key_ascii) -> DataFrame:
+def retrieval_key(title: ColumnOrName) -> Column:
+    """Key that titles are retrieved by: S2, or S3 where S2 is empty (no ASCII letter or digit)."""
+    k = title_key_ascii(title)
+    return F.when(k != "", k).otherwise(title_key_unicode(title))
+
+
+def title_match(queries: DataFrame, papers: DataFrame, near: float = 0.9, floor: float = 0.6, query_id: str = "qid",
+                query_title: str = "title", key_fn=retrieval_key) -> DataFrame:
     """Best single record per query title (ours: the service ranks remotely).
 
-    Best = highest S8 ratio among records reaching ``t``, ties to the smallest
-    paperId; no record reaching ``t`` -> no row.  Duplicate titles on either
-    side are collapsed to one key before the join, so a title held by a third
-    of all records costs one key, not a third of all pairs.
+    Candidates are all records whose ratio reaches ``near`` (lossless join J12)
+    and all records that share the title's rarest word; the best S8 ratio of at
+    least ``floor`` wins, ties go to the smallest paperId, and without a
+    candidate there is no row.  So a title that is close but not close enough
+    for a check is still found and can be judged.  Titles whose key is empty
+    retrieve nothing.  Duplicate titles on either side are collapsed to one key
+    first, so a title held by a third of all records costs one key.
     """
-    q = queries.select(F.col(query_id).alias("qid"), key_fn(F.col(query_title)).alias("lkey"))
-    r = papers.where(F.col("title").isNotNull() & (F.col("title") != "")).select("paperId", key_fn(F.col("title")).alias("rkey"))
+    q = queries.select(F.col(query_id).alias("qid"), key_fn(F.col(query_title)).alias("lkey")).where(F.col("lkey") != "")
+    r = papers.where(F.col("title") != "").select("paperId", key_fn(F.col("title")).alias("rkey")).where(F.col("rkey") != "")
     rep = r.groupBy("rkey").agg(F.min("paperId").alias("paperId"))
     qkeys = q.select("lkey").distinct()
     # ratio 1.0 is the maximum and only an identical key reaches it: equal keys settle first
     exact = qkeys.join(rep, qkeys["lkey"] == rep["rkey"]).select("lkey", "paperId", F.lit(1.0).alias("ratio"))
     residual = qkeys.join(rep.select(F.col("rkey").alias("lkey")), "lkey", "left_anti")
-    kp = similarity_key_join(residual.select(F.col("lkey").alias("key")), rep.select(F.col("rkey").alias("key")), t)
-    near = (
-        kp.join(rep, "rkey")
+    close = similarity_key_join(residual.select(F.col("lkey").alias("key")), rep.select(F.col("rkey").alias("key")), near)
+    # the rarest word of a title among those that records hold
+    lwords = residual.select("lkey", F.explode(F.array_distinct(F.split("lkey", " "))).alias("word"))
+    rwords = rep.select("rkey", F.explode(F.array_distinct(F.split("rkey", " "))).alias("word"))
+    df = rwords.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    rarest = lwords.join(df, "word").groupBy("lkey").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
+    shared = rarest.join(rwords, "word").select("lkey", "rkey").where(
+        2 * F.least(F.length("lkey"), F.length("rkey")) >= F.lit(floor) * (F.length("lkey") + F.length("rkey")) - F.lit(EPS))
+    shared = shared.withColumn("ratio", ratio_from("lkey", "rkey", floor)).where(F.col("ratio") >= F.lit(floor))
+    best = (
+        close.unionByName(shared).join(rep, "rkey")
         .groupBy("lkey")
         .agg(F.min_by(F.struct("paperId", "ratio"), F.struct(-F.col("ratio"), F.col("paperId"))).alias("b"))
         .select("lkey", F.col("b.paperId").alias("paperId"), F.col("b.ratio").alias("ratio"))
     )
-    best = exact.unionByName(near)
-    return q.join(best, "lkey").select(F.col("qid").alias(query_id), "paperId", "ratio")
+    return q.join(exact.unionByName(best), "lkey").select(F.col("qid").alias(query_id), "paperId", "ratio")
 
 
 # ---------------------------------------------------------------- cascade
@@ -270,59 +285,37 @@ def _record_index(papers: DataFrame) -> DataFrame:
     return ids.groupBy("scheme", "value").agg(F.min("paper_id").alias("paper_id"))
 
 
-def cascade_match(entries: DataFrame, papers: DataFrame, retrieval_threshold: float = 0.9,
-                  titles: bool = True) -> DataFrame:
+def cascade_match(entries: DataFrame, papers: DataFrame, near: float = 0.9, floor: float = 0.6) -> DataFrame:
     """DOI -> URL -> title fallback chain, one row per entry.
 
     DOI present: DOI lookup only; a miss is an ``error`` (never falls back).
     Otherwise URL; a URL miss falls through to the title.  No title ->
     ``missing-title``; a title without a record -> ``title-not-found``.
-    Adds ``source``, ``paper_id`` and ``error`` to the entry columns.
-    ``titles=False`` leaves out the entries that need the title lookup (the
-    DOI, URL and missing-title rows come back without any similarity work).
+    Adds ``source``, ``paper_id``, ``error`` and ``degenerate_key`` (the title
+    has no ASCII letter or digit, so its S2 key is empty) to the entry columns.
     """
     e = _entry_keys(entries)
     idx = _record_index(papers)
-    # one join resolves both DOI and URL branches: the lookup key depends on the branch
-    e = e.withColumn(
-        "_scheme", F.when(F.col("_doi").isNotNull(), F.lit("doi")).when(F.col("_url").isNotNull(), F.lit("url"))
-    ).withColumn(
-        "_value", F.when(F.col("_doi").isNotNull(), F.lower("_doi")).otherwise(F.col("_url"))
-    )
+    by_doi, by_url = F.col("_doi").isNotNull(), F.col("_url").isNotNull()
+    # one join resolves both branches; entries with neither get a key of their own, so
+    # they spread over all tasks instead of meeting at the null key
+    e = e.withColumn("_scheme", F.when(by_doi, "doi").when(by_url, "url").otherwise("none")).withColumn(
+        "_value", F.when(by_doi, F.lower("_doi")).when(by_url, F.col("_url")).otherwise(F.concat_ws(":", "file", "ordinal")))
     looked = e.join(idx, (e["_scheme"] == idx["scheme"]) & (e["_value"] == idx["value"]), "left").drop("scheme", "value")
-    doi_rows = looked.where(F.col("_scheme") == "doi").select(
-        "*",
-        F.when(F.col("paper_id").isNotNull(), F.lit("doi")).otherwise(F.lit("error")).alias("source"),
-        F.when(F.col("paper_id").isNull(), F.concat(F.lit("paper not found: DOI:"), F.col("_doi"))).alias("error"),
-    )
-    url_hits = looked.where((F.col("_scheme") == "url") & F.col("paper_id").isNotNull()).select(
-        "*", F.lit("url").alias("source"), F.lit(None).cast("string").alias("error")
+    looked = looked.withColumn("_ask", F.col("paper_id").isNull() & (F.col("_scheme") != "doi") & F.col("_has_title"))
+    asked = looked.where("_ask").select(F.struct("file", "ordinal").alias("_qid"), F.col("_title").alias("title"))
+    found = title_match(asked, papers, near, floor, query_id="_qid").select("_qid", F.col("paperId").alias("_by_title"))
+    out = looked.join(found, F.struct("file", "ordinal") == F.col("_qid"), "left")
+    hit, doi = F.col("paper_id").isNotNull(), F.col("_scheme") == "doi"
+    source = (
+        F.when(doi, F.when(hit, "doi").otherwise("error")).when(hit, "url").when(~F.col("_has_title"), "missing-title")
+        .when(F.col("_by_title").isNotNull(), "title").otherwise("title-not-found")
     )
-    rest = looked.where(F.col("_scheme").isNull() | ((F.col("_scheme") == "url") & F.col("paper_id").isNull())).drop("paper_id")
-    no_title = rest.where(~F.col("_has_title")).select(
-        "*", F.lit(None).cast("string").alias("paper_id"), F.lit("missing-title").alias("source"),
-        F.lit(None).cast("string").alias("error"),
+    return out.select(
+        *entries.columns, "_doi", "_title", F.coalesce("paper_id", "_by_title").alias("paper_id"), source.alias("source"),
+        F.when(doi & ~hit, F.concat(F.lit("paper not found: DOI:"), F.col("_doi"))).alias("error"),
+        (F.col("_has_title") & (title_key_ascii("_title") == "")).alias("degenerate_key"),
     )
-    cols = entries.columns + ["_doi", "_title", "paper_id", "source", "error"]
-    decided = (
-        doi_rows.select(*cols)
-        .unionByName(url_hits.select(*cols))
-        .unionByName(no_title.select(*cols))
-    )
-    if not titles:
-        return decided
-    wanted = rest.where(F.col("_has_title"))
-    tm = title_match(
-        wanted.select(F.struct("file", "ordinal").alias("_qid"), F.col("_title").alias("title")),
-        papers, retrieval_threshold, query_id="_qid",
-    )
-    titled = wanted.withColumn("_qid", F.struct("file", "ordinal")).join(tm, "_qid", "left").select(
-        *[c for c in wanted.columns],
-        F.col("paperId").alias("paper_id"),
-        F.when(F.col("paperId").isNotNull(), F.lit("title")).otherwise(F.lit("title-not-found")).alias("source"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    return decided.unionByName(titled.select(*cols))
 
 
 # ---------------------------------------------------------------- library match
@@ -334,6 +327,14 @@ def best_match(pairs: DataFrame, target: str, candidate_ordinal: str, score: str
     ).select("_b.*")
 
 
+def library_by_doi(targets: DataFrame, manifest: DataFrame) -> DataFrame:
+    """J13, first pass: (tid, path) by equal lower-case DOI, first manifest row in manifest order."""
+    by_doi = (
+        manifest.where(F.col("doi") != "").groupBy(F.lower("doi").alias("_d")).agg(F.min_by("path", "ordinal").alias("path"))
+    )
+    return targets.withColumn("_d", F.lower("doi")).join(by_doi, "_d").select("tid", "path")
+
+
 def library_match(targets: DataFrame, manifest: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Match targets (tid, doi, title) to a PDF manifest (ordinal, path, doi, title).
 
@@ -342,23 +343,19 @@ def library_match(targets: DataFrame, manifest: DataFrame, threshold: float = 0.
     the threshold on the S3 key, first in manifest order on ties.
     Returns (tid, path, via) for matched targets.
     """
-    m_doi = (
-        manifest.where(F.col("doi").isNotNull() & (F.col("doi") != ""))
-        .groupBy(F.lower("doi").alias("_d"))
-        .agg(F.min_by("path", "ordinal").alias("path"))
-    )
-    t = targets.withColumn("_d", F.lower("doi"))
-    p1 = t.join(m_doi, "_d").select("tid", "path", F.lit("doi").alias("via"))
+    p1 = library_by_doi(targets, manifest).withColumn("via", F.lit("doi"))
     rest = targets.join(p1.select("tid"), "tid", "left_anti").where(F.col("title").isNotNull() & (F.col("title") != ""))
     lib = manifest.where(F.col("title").isNotNull() & (F.col("title") != "")).withColumn("_k", title_key_unicode("title"))
-    rk = rest.withColumn("_k", title_key_unicode("title"))
+    # one row per key on both sides: a title held by many files costs one key
+    first = lib.where(F.col("_k") != "").groupBy(F.col("_k").alias("rkey")).agg(F.min("ordinal").alias("ordinal"))
+    rk = rest.withColumn("_k", title_key_unicode("title")).where(F.col("_k") != "").select("tid", F.col("_k").alias("lkey"))
     # identical keys score 1.0, the maximum: they settle first (first in manifest order)
-    exact = rk.join(lib.groupBy("_k").agg(F.min("ordinal").alias("ordinal")), "_k").select("tid", "ordinal")
-    resid = rk.join(exact.select("tid"), "tid", "left_anti")
-    # ratio on S3 keys; "strictly above" the threshold: join at t, filter > t
-    pairs = similarity_join(resid, lib, "title", "title", threshold, key_fn=title_key_unicode,
-                            left_id="tid", right_id="ordinal").where(F.col("ratio") > F.lit(threshold))
-    best = best_match(pairs.select("tid", "ordinal", "ratio"), "tid", "ordinal").select("tid", "ordinal")
+    exact = rk.join(first, rk["lkey"] == first["rkey"]).select("tid", "ordinal")
+    resid = rk.join(first.select(F.col("rkey").alias("lkey")), "lkey", "left_anti")
+    # "strictly above" the threshold: join at t, filter > t
+    pairs = similarity_key_join(resid.select(F.col("lkey").alias("key")), first.select(F.col("rkey").alias("key")), threshold)
+    pairs = pairs.where(F.col("ratio") > F.lit(threshold)).join(first, "rkey").select("lkey", "ordinal", "ratio")
+    best = best_match(pairs, "lkey", "ordinal").join(resid, "lkey").select("tid", "ordinal")
     p2 = exact.unionByName(best).join(lib.select("ordinal", "path"), "ordinal").select("tid", "path", F.lit("title").alias("via"))
     return p1.unionByName(p2)
 

@@ -108,7 +108,12 @@ def land(existing: DataFrame, new: DataFrame, key: str = "request_key", ts: str
 
 
 def read_responses(landed: DataFrame, schema: str, body: str = "response") -> DataFrame:
-    """Decode landed bodies; an unreadable body is a miss (row dropped)."""
-    parsed = landed.withColumn("parsed", F.from_json(F.col(body), schema, {"mode": "PERMISSIVE"}))
-    # a malformed body decodes to a struct of nulls in PERMISSIVE mode
-    return parsed.where(F.col("parsed").isNotNull() & (F.to_json("parsed") != "{}"))
+    """Decode landed bodies; an unreadable body is a miss (row dropped).
+
+    Readable bodies stay, also those with none of the wanted fields: only a
+    body that the parser reports as corrupt, or a null one, is a miss.
+    """
+    bad = "_corrupt"
+    parsed = F.from_json(F.col(body), f"{schema}, {bad} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    kept = landed.withColumn("parsed", parsed).where(F.col("parsed").isNotNull() & F.col(f"parsed.{bad}").isNull())
+    return kept.withColumn("parsed", F.col("parsed").dropFields(bad))

@@ -54,25 +54,21 @@ def bm25(docs: DataFrame, id_col: str, text: ColumnOrName, query: str) -> DataFr
     only global work is one pass for N, the mean length and df.
     """
     terms = query_terms(query)
-    toks = docs.select(id_col, tokens(text).alias("_t"))
-    tf = toks.select(id_col, F.size("_t").alias("_dl"),
-                     *[F.size(F.filter("_t", _equals(q))).alias(f"_tf{i}") for i, q in enumerate(terms)])
-    stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("_dl").alias("avgdl"),
-                   *[F.count(F.when(F.col(f"_tf{i}") > 0, 1)).alias(f"df{i}") for i in range(len(terms))]).collect()[0]
-    n, avgdl = stats["n"], stats["avgdl"] or 0.0
+    hits = [F.size(F.filter("_t", _equals(q))) for q in terms]
+    # a generator keeps the token array from being computed again for every term
+    counted = docs.select(id_col, F.explode(F.array(tokens(text))).alias("_t")).select(
+        id_col, F.size("_t").alias("_dl"), F.explode(F.array(F.array(*hits))).alias("_tf"))
+    tf = [F.get("_tf", F.lit(i)) for i in range(len(terms))]
+    stats = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("_dl").alias("avgdl"), F.array(*[F.count_if(x > 0) for x in tf]).alias("df"))
+    idf = F.transform("df", lambda d: F.ln(F.lit(1.0) + (F.col("n") - d + 0.5) / (d + 0.5)))
+    stats = stats.select(F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(F.lit(1.0)).alias("_avg"), idf.alias("_idf"))
+    hit = F.exists("_tf", lambda x: x > 0)
     score = F.lit(0.0)
-    for i in range(len(terms)):
-        df_i = stats[f"df{i}"]
-        if not df_i:
-            continue
-        idf = math.log(1.0 + (n - df_i + 0.5) / (df_i + 0.5))
-        tfc = F.col(f"_tf{i}").cast("double")
-        norm = F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("_dl") / F.lit(avgdl if avgdl else 1.0))
-        score = score + F.lit(idf) * tfc * F.lit(BM25_K1 + 1.0) / (tfc + norm)
-    hit = F.lit(False)
-    for i in range(len(terms)):
-        hit = hit | (F.col(f"_tf{i}") > 0)
-    return tf.where(hit).select(id_col, score.alias("score"))
+    for i, x in enumerate(tf):
+        norm = F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("_dl") / F.col("_avg"))
+        score = score + F.when(x > 0, F.get("_idf", F.lit(i)) * x * F.lit(BM25_K1 + 1.0) / (x + norm)).otherwise(F.lit(0.0))
+    # the statistics are one row
+    return counted.where(hit).join(F.broadcast(stats)).select(id_col, score.alias("score"))
 
 
 def search(docs: DataFrame, id_col: str, text: ColumnOrName, query: str, offset: int = 0,
@@ -176,9 +172,8 @@ def boolean_query(expr: str, toks: Column) -> Column:
 
 # ---- J20 / L5 / U5: recommendations
 
-def _unit(v: Column) -> Column:
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.when(norm > 0, F.transform(v, lambda x: x / norm))
+def _norm(v: Column) -> Column:
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
 def recommend(vectors: DataFrame, positives: DataFrame, negatives: DataFrame | None = None,
@@ -196,32 +191,24 @@ def recommend(vectors: DataFrame, positives: DataFrame, negatives: DataFrame | N
         limit = RECOMMEND_DEFAULT
     if int(limit) > RECOMMEND_MAX:
         raise ValueError(f"limit must be <= {RECOMMEND_MAX}")
-    v = vectors.select(id_col, F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
-
-    def centroid(seeds: DataFrame | None):
-        if seeds is None:
-            return None
-        s = v.join(seeds.select(F.col(seeds.columns[0]).alias(id_col)).distinct(), id_col, "left_semi")
-        u = s.select(_unit(F.col("_v")).alias("u")).where(F.col("u").isNotNull())
-        row = u.select(F.posexplode("u").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("s")).agg(
-            F.sort_array(F.collect_list(F.struct("i", "s"))).alias("sums")).collect()
-        cnt = u.count()
-        if not row or row[0]["sums"] is None or cnt == 0:
-            return None
-        return [r["s"] / cnt for r in row[0]["sums"]]
-
-    wp = centroid(positives)
-    if wp is None:
+    # one pass over the seeds gives both centroids, summed per side and dimension
+    sides = [(positives, 1)] + ([(negatives, -1)] if negatives is not None else [])
+    seeds = sides[0][0].select(F.col(sides[0][0].columns[0]).alias(id_col), F.lit(1).alias("_side"))
+    for df, sign in sides[1:]:
+        seeds = seeds.unionByName(df.select(F.col(df.columns[0]).alias(id_col), F.lit(sign).alias("_side")))
+    seeds = seeds.distinct()
+    norms = _norm(F.col(vec_col).cast("array<double>"))
+    units = vectors.join(seeds, id_col).select("_side", norms.alias("_n"), F.posexplode(F.col(vec_col).cast("array<double>")).alias("i", "x"))
+    sums = units.where("_n > 0").groupBy("_side", "i").agg(F.avg(F.col("x") / F.col("_n")).alias("m")).collect()  # 2 x dimensions
+    if not any(r["_side"] == 1 for r in sums):
         raise ValueError("positive seeds have no vectors")
-    wn = centroid(negatives)
-    w = [a - (wn[i] if wn else 0.0) for i, a in enumerate(wp)]
-    wcol = F.array(*[F.lit(float(x)) for x in w])
-    dot = F.aggregate(F.zip_with("_v", wcol, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x * x))
-    cand = v if pool is None else v.join(vectors.where(pool).select(id_col), id_col, "left_semi")
-    seeds = positives.select(F.col(positives.columns[0]).alias(id_col))
-    if negatives is not None:
-        seeds = seeds.unionByName(negatives.select(F.col(negatives.columns[0]).alias(id_col)))
-    cand = cand.join(seeds, id_col, "left_anti")
+    w = [0.0] * (1 + max(r["i"] for r in sums))
+    for r in sums:
+        w[r["i"]] += r["_side"] * r["m"]
+    v = F.col("_v")
+    dot = F.aggregate(F.zip_with(v, F.array(*[F.lit(x) for x in w]), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    norm = _norm(v)
+    cand = vectors if pool is None else vectors.where(pool)
+    cand = cand.join(seeds.select(id_col), id_col, "left_anti").select(id_col, F.col(vec_col).cast("array<double>").alias("_v"))
     scored = cand.select(id_col, F.when(norm > 0, dot / norm).otherwise(F.lit(0.0)).alias("score"))
     return scored.orderBy(F.col("score").desc(), F.col(id_col)).limit(int(limit))

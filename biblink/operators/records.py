@@ -154,9 +154,12 @@ def page_per_key(df: DataFrame, key: str, order: Sequence[str | Column], offset:
 
 
 def bulk_search(papers: DataFrame, sort: str | None = None, token: tuple | None = None,
-                page_size: int = 1000, **filters) -> DataFrame:
+                page_size: int = 1000, query: str | None = None, text_cols: Sequence[str] = ("title", "abstract"),
+                **filters) -> DataFrame:
     """L3: unranked filtered listing in keyset pages of up to 1000 rows.
 
+    ``query`` is a boolean text query (P11) over ``text_cols``.
+
     ``sort`` is ``field:asc|desc`` (default ``paperId:asc``); rows are ordered
     by (field, paperId) and ``token`` is the (value, paperId) of the last row
     of the previous page.  Filters are those of ``search_filter``.
@@ -164,14 +167,19 @@ def bulk_search(papers: DataFrame, sort: str | None = None, token: tuple | None
     field, direction = (sort or "paperId:asc").split(":") if ":" in (sort or "") else ((sort or "paperId"), "asc")
     desc = direction.strip().lower() == "desc"
     df = search_filter(papers, **filters)
+    if query is not None and query.strip():
+        from biblink.operators.ranking import boolean_query, tokens
+
+        df = df.where(boolean_query(query, tokens(F.concat_ws(" ", *[F.col(c) for c in text_cols]))))
     v, pid = F.col(field), F.col("paperId")
     if token is not None:
         tv, tid = token
         if field == "paperId":
             df = df.where(pid < F.lit(tid) if desc else pid > F.lit(tid))
-        elif desc:
-            df = df.where((v < F.lit(tv)) | ((v == F.lit(tv)) & (pid > F.lit(tid))))
         else:
-            df = df.where((v > F.lit(tv)) | ((v == F.lit(tv)) & (pid > F.lit(tid))))
-    order = [v.desc() if desc else v.asc()] + ([] if field == "paperId" else [pid.asc()])
+            # null sort values come last in both directions
+            after = F.lit(False) if tv is None else v.isNull() | (v < F.lit(tv) if desc else v > F.lit(tv))
+            tie = v.isNull() if tv is None else v == F.lit(tv)
+            df = df.where(F.coalesce(after, F.lit(False)) | (F.coalesce(tie, F.lit(False)) & (pid > F.lit(tid))))
+    order = [v.desc_nulls_last() if desc else v.asc_nulls_last()] + ([] if field == "paperId" else [pid.asc()])
     return df.orderBy(*order).limit(clamp(page_size, LIST_LIMIT, 1000))

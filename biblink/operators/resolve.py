@@ -54,7 +54,9 @@ def parse_oa_locations(landed: DataFrame, body: str = "body") -> DataFrame:
     j = F.from_json(F.col(body), f"best_oa_location {loc}, oa_locations ARRAY<{loc}>")
     best = j["best_oa_location"]
     first = F.try_element_at(j["oa_locations"], F.lit(1))
-    pick = F.when(best["url_for_pdf"].isNotNull() | best["url"].isNotNull(), best).otherwise(first)
+    # a best location that is given but holds neither URL yields none; only an absent or empty one falls back
+    given = F.size(F.coalesce(F.json_object_keys(F.get_json_object(F.col(body), "$.best_oa_location")), F.array())) > 0
+    pick = F.when(given, best).otherwise(first)
     url = F.coalesce(_truthy(pick["url_for_pdf"]), _truthy(pick["url"]))
     return landed.select("*", url.alias("oa_url"))
 
@@ -228,6 +230,8 @@ def resolve_papers(requests: DataFrame, papers: DataFrame, crawl: DataFrame, pag
     from biblink.operators.linkage import existing_valid, library_match
     from biblink.operators.lookup import get_batch
 
+    # every distinct id is resolved once; repeated requests get the answer back at the end
+    asked, requests = requests, requests.select("request_id").distinct()
     req = requests.select("request_id", F.col("request_id").alias("ordinal"))
     found = get_batch(papers, req)
     ids = resolve_ids(found.where(F.col("paperId").isNotNull()).drop("ordinal"), input_col="request_id")
@@ -240,7 +244,7 @@ def resolve_papers(requests: DataFrame, papers: DataFrame, crawl: DataFrame, pag
         chk = existing_valid(base.select("name", F.col("doi").alias("expected_doi"), F.col("title").alias("expected_title")), artifacts)
         reuse = chk.where("reuse").select("name")
         parts.append(base.join(reuse, "name", "left_semi").select("request_id", "name", F.lit("existing").alias("source"),
-                                                                   F.lit(None).cast("string").alias("pdf_url"), F.lit(None).cast("string").alias("strategy")))
+                                                                   F.col("name").alias("pdf_url"), F.lit(None).cast("string").alias("strategy")))
         todo = todo.join(reuse, "name", "left_anti")
     if library is not None:
         lm = library_match(todo.select(F.col("request_id").alias("tid"), "doi", "title"), library)
@@ -266,5 +270,7 @@ def resolve_papers(requests: DataFrame, papers: DataFrame, crawl: DataFrame, pag
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    texts = extract_text(page_text.withColumnRenamed("url", "pdf_url"), doc="pdf_url")
-    return out.join(texts, "pdf_url", "left")
+    # only the pages of chosen files are cleaned
+    chosen = out.where(F.col("pdf_url").isNotNull()).select("pdf_url").distinct()
+    texts = extract_text(page_text.withColumnRenamed("url", "pdf_url").join(chosen, "pdf_url", "left_semi"), doc="pdf_url")
+    return asked.select("request_id").join(out, "request_id").join(texts, "pdf_url", "left")

@@ -33,7 +33,6 @@ def load_all() -> None:
         bib,
         corpus,
         io,
-        linkage,
         pacing,
         ranking,
         records,

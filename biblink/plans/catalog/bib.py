@@ -17,49 +17,85 @@ def map_text(m):
     return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
 
 
-def _results(spark, sf, titles: bool = True):
+def _results(spark, sf):
     fx = Fixtures(spark, sf)
-    return check_bibliography(fx.entries, fx.papers, titles=titles)
+    return check_bibliography(fx.entries, fx.papers)
 
 
-# sources whose result does not depend on the title ratio
-EXACT_SOURCES = ("doi", "error", "missing-title")
-
 _E = f"""
 e AS (SELECT entry_key, title, year, doi, url, {X.doi_norm('doi')} AS ndoi,
         nullif({X.strip_ws('url')}, '') AS nurl,
-        {X.strip_ws("coalesce(title, '')")} <> '' AS has_title FROM fx_bib),
+        {X.strip_ws("coalesce(title, '')")} <> '' AS has_title,
+        {X.retrieval_key('title')} AS k FROM fx_bib),
 d AS (SELECT lower(doi) AS k, min(paper_id) AS paper_id FROM fx_papers WHERE doi IS NOT NULL GROUP BY 1),
 u AS (SELECT url AS k, min(paper_id) AS paper_id FROM fx_papers GROUP BY 1),
-c AS (
-  SELECT e.*, CASE WHEN d.paper_id IS NOT NULL THEN 'doi' ELSE 'error' END AS source, d.paper_id
-  FROM e LEFT JOIN d ON lower(e.ndoi) = d.k WHERE e.ndoi IS NOT NULL
-  UNION ALL
-  SELECT e.*, 'url' AS source, u.paper_id FROM e JOIN u ON e.nurl = u.k WHERE e.ndoi IS NULL
-  UNION ALL
-  SELECT e.*, 'missing-title' AS source, NULL AS paper_id FROM e LEFT JOIN u ON e.nurl = u.k
-  WHERE e.ndoi IS NULL AND u.paper_id IS NULL AND NOT e.has_title
+c0 AS (
+  SELECT e.*, CASE WHEN ndoi IS NOT NULL THEN CASE WHEN d.paper_id IS NOT NULL THEN 'doi' ELSE 'error' END
+                   WHEN u.paper_id IS NOT NULL THEN 'url' WHEN NOT has_title THEN 'missing-title' ELSE 'title' END AS src,
+    CASE WHEN ndoi IS NOT NULL THEN d.paper_id ELSE u.paper_id END AS pid
+  FROM e LEFT JOIN d ON lower(e.ndoi) = d.k LEFT JOIN u ON e.nurl = u.k
 ),
+"""
+
+
+def title_match_ctes(asked: str, near: float = 0.9, floor: float = 0.6) -> str:
+    """CTEs ending in ``tm`` (k, paper_id, ratio): J11 for the keys ``k`` of ``asked``."""
+    return f"""
+rep AS MATERIALIZED (SELECT {X.retrieval_key('title')} AS b, min(paper_id) AS paper_id FROM fx_papers WHERE title <> '' GROUP BY 1 HAVING b <> ''),
+ask AS (SELECT DISTINCT k FROM {asked} WHERE k <> ''),
+res AS MATERIALIZED (SELECT k AS a FROM ask WHERE k NOT IN (SELECT b FROM rep)),
+{X.near_pairs('res', 'rep', near)},
+rw AS MATERIALIZED (SELECT DISTINCT b, unnest(string_split(b, ' ')) AS w FROM rep),
+df AS (SELECT w, count(*) AS n FROM rw GROUP BY w),
+lw AS (SELECT a, arg_min(w, struct_pack(n := n, w := w)) AS w FROM (SELECT DISTINCT a, unnest(string_split(a, ' ')) AS w FROM res) JOIN df USING (w) GROUP BY a),
+sp AS (SELECT a, b FROM lw JOIN rw USING (w)),
+cp AS MATERIALIZED (SELECT a, b, false AS by_word FROM np UNION ALL SELECT a, b, true FROM sp),
+{X.ratio_ctes('cp')},
+bt AS (SELECT cp.a, arg_min(struct_pack(p := rep.paper_id, r := ratio), struct_pack(r := -ratio, p := rep.paper_id)) AS best
+       FROM cp JOIN rt ON rt.a = cp.a AND rt.b = cp.b JOIN rep ON rep.b = cp.b
+       WHERE ratio >= {near} OR (by_word AND ratio >= {floor}) GROUP BY cp.a),
+tm AS MATERIALIZED (SELECT b AS k, paper_id, CAST(1.0 AS DOUBLE) AS ratio FROM rep WHERE b IN (SELECT k FROM ask)
+       UNION ALL SELECT a, best.p, best.r FROM bt)"""
+
+
+_FULL = _E + title_match_ctes("(SELECT k FROM c0 WHERE src = 'title')") + f""",
+c AS (SELECT c0.* EXCLUDE (src, pid), coalesce(pid, tm.paper_id) AS paper_id,
+        CASE WHEN src = 'title' AND tm.paper_id IS NULL THEN 'title-not-found' ELSE src END AS source
+      FROM c0 LEFT JOIN tm ON src = 'title' AND tm.k = c0.k),
 r AS (
   SELECT c.*, p.title AS ptitle, p.year AS pyear, p.doi AS pdoi, p.url AS purl,
+    {X.title_key_ascii('c.title')} AS ka, {X.title_key_ascii('p.title')} AS kb,
     ({X.squash('c.year')} = '' OR {X.squash('CAST(p.year AS VARCHAR)')} = ''
-      OR {X.squash('c.year')} = {X.squash('CAST(p.year AS VARCHAR)')}) AS yok
+      OR {X.squash('c.year')} = {X.squash('CAST(p.year AS VARCHAR)')}) AS yok,
+    coalesce(lower({X.doi_norm('c.doi')}) = lower({X.doi_norm('p.doi')}), true) AS dok
   FROM c LEFT JOIN fx_papers p ON p.paper_id = c.paper_id
 ),
+vp AS (SELECT ka AS a, kb AS b FROM r WHERE paper_id IS NOT NULL AND title <> '' AND ptitle <> ''),
+{X.ratio_ctes('vp', 'vr')},
 x AS (
-  SELECT r.*, entry_key AS key,
+  SELECT r.*, entry_key AS key, coalesce(vr.ratio, 0.0) AS sim,
     CASE WHEN source = 'error' THEN 'error' WHEN paper_id IS NULL THEN 'not_found'
-         WHEN source = 'doi' AND yok THEN 'matched' ELSE 'mismatch' END AS status,
+         WHEN yok AND dok AND (source = 'doi' OR coalesce(vr.ratio, 0.0) >= 0.9) THEN 'matched' ELSE 'mismatch' END AS status,
     coalesce(paper_id IS NOT NULL AND yok, false) AS year_matches
-  FROM r WHERE source IN ('doi', 'error', 'missing-title')
+  FROM r LEFT JOIN vr ON r.paper_id IS NOT NULL AND r.title <> '' AND vr.a = ka AND vr.b = kb
 )
 """
-_WITH = oracle_with("fx_bib", "fx_papers") + "," + _E
+_WITH = oracle_with("fx_bib", "fx_papers") + "," + _E.rstrip().rstrip(",") + " "
+_WITHX = (oracle_with("fx_bib", "fx_papers") + "," + _FULL).replace("WITH", "WITH RECURSIVE", 1)
+_FIELDS_OUT = X.sorted_map_text(
+    "list_filter([{'k': 'title', 'v': title}, {'k': 'year', 'v': year}, "
+    "{'k': 'doi', 'v': coalesce(pdoi, doi)}, {'k': 'url', 'v': coalesce(purl, url)}, "
+    "{'k': 'semanticscholarid', 'v': paper_id}], lambda f: f.v IS NOT NULL)"
+)
+_UPDATES = X.sorted_map_text(
+    "list_filter([{'k': 'doi', 'v': pdoi}, {'k': 'url', 'v': purl}, {'k': 'semanticscholarid', 'v': paper_id}], lambda f: f.v IS NOT NULL)"
+)
 
 
-@register("m6_check_bibliography")
+@register("m6_check_bibliography", _WITHX + f"""SELECT key, source, status, CAST(printf('%.3f', sim) AS DOUBLE) AS title_similarity,
+  year_matches, paper_id, {_UPDATES} AS updates, {_FIELDS_OUT} AS fields_out FROM x""")
 def q_m6(spark, sf):
-    """M6 flagship: every entry, all result columns (title rows depend on S8: rows-only check)."""
+    """M6 flagship: every entry, all result columns."""
     r = _results(spark, sf)
     return r.select(
         "key", "source", "status", "title_similarity", "year_matches", "paper_id",
@@ -67,12 +103,11 @@ def q_m6(spark, sf):
     )
 
 
-@register("j10_cascade_match", _WITH + "SELECT entry_key AS key, source, paper_id FROM c")
+@register("j10_cascade_match", _WITHX + "SELECT entry_key AS key, source, paper_id FROM c")
 def q_j10(spark, sf):
-    """DOI -> URL -> title cascade for every entry not decided by the title ratio."""
+    """DOI -> URL -> title cascade for every entry."""
     fx = Fixtures(spark, sf)
-    c = cascade_match(fx.entries, fx.papers, titles=False)
-    return c.where(F.col("source").isin("doi", "error", "url", "missing-title")).select("key", "source", "paper_id")
+    return cascade_match(fx.entries, fx.papers).select("key", "source", "paper_id")
 
 
 @register("j9_match_doi", _WITH + "SELECT e.entry_key AS key, d.paper_id FROM e LEFT JOIN d ON lower(e.ndoi) = d.k WHERE e.ndoi IS NOT NULL")
@@ -92,69 +127,61 @@ def q_j9_url(spark, sf):
     return match_url(e, fx.papers, url).select("key", "paper_id")
 
 
-@register("s11_verdict", _WITH + "SELECT key, source, status, year_matches FROM x")
+@register("s11_verdict", _WITHX + "SELECT key, source, status, year_matches FROM x")
 def q_s11(spark, sf):
-    """S11 on every row whose verdict does not depend on the ratio (DOI, error, missing title)."""
-    r = _results(spark, sf, titles=False)
-    return r.where(F.col("source").isin(*EXACT_SOURCES)).select("key", "source", "status", "year_matches")
-
-
-_FIELDS_OUT = X.sorted_map_text(
-    "list_filter([{'k': 'title', 'v': title}, {'k': 'year', 'v': year}, "
-    "{'k': 'doi', 'v': coalesce(pdoi, doi)}, {'k': 'url', 'v': coalesce(purl, url)}, "
-    "{'k': 'semanticscholarid', 'v': paper_id}], lambda f: f.v IS NOT NULL)"
-)
-_UPDATES = X.sorted_map_text(
-    "list_filter([{'k': 'doi', 'v': pdoi}, {'k': 'url', 'v': purl}, {'k': 'semanticscholarid', 'v': paper_id}], lambda f: f.v IS NOT NULL)"
-)
+    """S11 on every entry."""
+    return _results(spark, sf).select("key", "source", "status", "year_matches")
 
 
-@register("s13_updates_map", _WITH + f"SELECT key, {_UPDATES} AS updates FROM x")
+@register("s13_updates_map", _WITHX + f"SELECT key, {_UPDATES} AS updates FROM x")
 def q_s13(spark, sf):
-    r = _results(spark, sf, titles=False)
-    return r.where(F.col("source").isin(*EXACT_SOURCES)).select("key", map_text("updates").alias("updates"))
+    return _results(spark, sf).select("key", map_text("updates").alias("updates"))
 
 
-@register("u2_apply_updates", _WITH + f"SELECT key, {_FIELDS_OUT} AS fields_out FROM x")
+@register("u2_apply_updates", _WITHX + f"SELECT key, {_FIELDS_OUT} AS fields_out FROM x")
 def q_u2(spark, sf):
     """Enriched fields (updates written on match and mismatch alike)."""
-    r = _results(spark, sf, titles=False)
-    return r.where(F.col("source").isin(*EXACT_SOURCES)).select("key", map_text("fields_out").alias("fields_out"))
+    return _results(spark, sf).select("key", map_text("fields_out").alias("fields_out"))
 
 
-@register("a1_summarize", _WITH + """
+@register("a1_summarize", _WITHX + """
 SELECT s.status, CAST(coalesce(n, 0) AS BIGINT) AS n, s.pos FROM
   (SELECT * FROM (VALUES ('matched', 0), ('mismatch', 1), ('not_found', 2), ('error', 3)) v(status, pos)) s
-  LEFT JOIN (SELECT status, count(*) AS n FROM x GROUP BY status) c ON s.status = c.status""")
+  LEFT JOIN (SELECT status, count(*) AS n FROM x GROUP BY status) t ON s.status = t.status""")
 def q_a1(spark, sf):
-    """A1: zero-filled status counts (over the ratio-independent rows)."""
-    r = _results(spark, sf, titles=False)
-    return summarize(r.where(F.col("source").isin(*EXACT_SOURCES)))
+    """A1: zero-filled status counts over every entry."""
+    return summarize(_results(spark, sf))
 
 
-@register("p13_invalid", _WITH + "SELECT key, status FROM x WHERE status IN ('mismatch', 'not_found', 'error')")
+@register("p13_invalid", _WITHX + "SELECT key, status FROM x WHERE status IN ('mismatch', 'not_found', 'error')")
 def q_p13(spark, sf):
-    r = _results(spark, sf, titles=False)
-    return invalid_list(r.where(F.col("source").isin(*EXACT_SOURCES))).select("key", "status")
+    return invalid_list(_results(spark, sf)).select("key", "status")
 
 
-@register("a8_invalid_list", _WITH + """
+@register("a8_invalid_list", _WITHX + """
 SELECT 'fx_bib' AS file, CAST(regexp_extract(key, '(\\d+)', 1) AS INTEGER) AS ordinal, key, status
 FROM x WHERE status IN ('mismatch', 'not_found', 'error')""")
 def q_a8(spark, sf):
-    r = _results(spark, sf, titles=False)
-    return invalid_list(r.where(F.col("source").isin(*EXACT_SOURCES)))
+    return invalid_list(_results(spark, sf))
 
 
-@register("j11_title_match")
+@register("j11_title_match", (oracle_with("fx_bib", "fx_papers") + f""",
+q AS (SELECT entry_key, {X.retrieval_key('title')} AS k FROM fx_bib WHERE title IS NOT NULL),"""
+          + title_match_ctes("q")).replace("WITH", "WITH RECURSIVE", 1)
+          + " SELECT entry_key AS key, paper_id, ratio FROM q JOIN tm USING (k)")
 def q_j11(spark, sf):
-    """Best record per title (ratio >= 0.9) for every titled bibliography entry."""
+    """Best record per title for every titled bibliography entry."""
     fx = Fixtures(spark, sf)
     q = fx.fx_bib.where(F.col("title").isNotNull()).select(F.col("entry_key").alias("qid"), "title")
-    return title_match(q, fx.papers, 0.9).select(F.col("qid").alias("key"), F.col("paperId").alias("paper_id"), "ratio")
+    return title_match(q, fx.papers).select(F.col("qid").alias("key"), F.col("paperId").alias("paper_id"), "ratio")
 
 
-@register("j12_similarity_join")
+@register("j12_similarity_join", (oracle_with("fx_bib", "fx_papers") + f""",
+lk AS (SELECT entry_key AS lid, {X.title_key_ascii('title')} AS a FROM fx_bib WHERE title IS NOT NULL),
+rk AS (SELECT paper_id AS rid, {X.title_key_ascii('title')} AS b FROM fx_papers),
+la AS (SELECT DISTINCT a FROM lk WHERE a <> ''), rb AS (SELECT DISTINCT b FROM rk WHERE b <> ''),
+{X.near_pairs('la', 'rb', 0.9)}, {X.ratio_ctes('np')}""").replace("WITH", "WITH RECURSIVE", 1)
+          + " SELECT lid, rid, ratio FROM rt JOIN lk USING (a) JOIN rk USING (b) WHERE ratio >= 0.9")
 def q_j12(spark, sf):
     """All (entry, record) title pairs with S2-key ratio >= 0.9."""
     fx = Fixtures(spark, sf)

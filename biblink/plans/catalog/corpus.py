@@ -116,18 +116,30 @@ def q_m4(spark, sf):
     return C.pdf_link(p).select("page_id", F.col("strategy").cast("int").alias("strategy"), "raw_link")
 
 
-@register("m4_pdf_link_resolved")
+@register("m4_pdf_link_resolved", oracle_with("fx_link_pages") + f""",
+c AS (SELECT page_id, url, {_sql_pdf_candidates('html')}[1] AS c FROM fx_link_pages)
+SELECT page_id, c.rank AS strategy, c.link AS raw_link,
+  CASE WHEN c.link IS NULL THEN NULL WHEN c.rank = 5 OR (c.rank = 3 AND starts_with(c.link, 'https:')) THEN c.link
+       ELSE {X.url_join('url', 'c.link')} END AS pdf_url FROM c""")
 def q_m4r(spark, sf):
-    """M4 with the link resolved against the page URL (S19, rows-only)."""
+    """M4 with the link resolved against the page URL."""
     p = Fixtures(spark, sf).fx_link_pages
     return C.pdf_link(p).select("page_id", "strategy", "raw_link", "pdf_url")
 
 
-@register("s19_url_resolve")
+_S19_REFS = "list_concat(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1), ['//cdn.example.org/a', '../up/' || page_id, './x/../y?q=/../z', 'rel.html#f', '?only=query', '#frag', 'https://other.example.org/abs', '/a/./b/../c/..'])"
+
+
+@register("s19_url_resolve", f"""
+SELECT page_id, n, link, {X.url_join('url', 'link')} AS resolved FROM (
+  SELECT page_id, url, unnest(range(1, len(refs) + 1)) AS n, unnest(refs) AS link FROM (SELECT page_id, url, {_S19_REFS} AS refs FROM pages))
+WHERE link <> ''""")
 def q_s19(spark, sf):
-    """The first link of every crawled page resolved against the page URL (urljoin semantics)."""
+    """Every link of every crawled page, and one of each other kind, resolved against the page URL."""
     from biblink.functions.similarity import url_resolve
 
     p = Fixtures(spark, sf).pages
-    link = F.regexp_extract("html", r'href="([^"]*)"', 1)
-    return p.select("page_id", link.alias("link"), url_resolve(F.col("url"), F.nullif(link, F.lit(""))).alias("resolved"))
+    more = ["'//cdn.example.org/a'", "'../up/' || page_id", "'./x/../y?q=/../z'", "'rel.html#f'", "'?only=query'", "'#frag'", "'https://other.example.org/abs'", "'/a/./b/../c/..'"]
+    refs = F.concat(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), F.lit(1)), F.array(*map(F.expr, more)))
+    links = p.select("page_id", "url", F.posexplode(refs).alias("n", "link")).where("link <> ''")
+    return links.select("page_id", (F.col("n") + 1).cast("long").alias("n"), "link", url_resolve(F.col("url"), F.col("link")).alias("resolved"))

@@ -245,7 +245,21 @@ def _library(spark, sf):
                     F.when(F.col("pk") % 3 == 0, F.col("doi")).alias("doi"), alnum(F.col("title")).alias("title"))
 
 
-@register("j13_library_match")
+_LIB_SQL = f"""
+lib AS (SELECT pk AS ordinal, 'lib/' || paper_id || '.pdf' AS path, CASE WHEN pk % 3 = 0 THEN doi END AS doi, {X.alnum('title')} AS title FROM fx_papers),
+tg AS (SELECT entry_key AS tid, {X.doi_norm('doi')} AS doi, title FROM fx_bib),
+p1 AS (SELECT tid, arg_min(path, ordinal) AS path FROM tg JOIN lib ON lower(lib.doi) = lower(tg.doi) AND lib.doi <> '' GROUP BY tid),
+rk AS (SELECT tid, {X.title_key_unicode('title')} AS a FROM tg WHERE title <> '' AND tid NOT IN (SELECT tid FROM p1) AND a <> ''),
+fk AS (SELECT {X.title_key_unicode('title')} AS b, min(ordinal) AS ordinal FROM lib WHERE title <> '' GROUP BY 1 HAVING b <> ''),
+la AS (SELECT DISTINCT a FROM rk WHERE a NOT IN (SELECT b FROM fk)), rb AS (SELECT b FROM fk),
+{X.near_pairs('la', 'rb', 0.85)}, {X.ratio_ctes('np')},
+bk AS (SELECT a, arg_min(ordinal, struct_pack(r := -ratio, o := ordinal)) AS ordinal FROM rt JOIN fk USING (b) WHERE ratio > 0.85 GROUP BY a
+       UNION ALL SELECT b, ordinal FROM fk)
+SELECT tid, path, 'doi' AS via FROM p1
+UNION ALL SELECT tid, path, 'title' FROM rk JOIN bk USING (a) JOIN lib USING (ordinal)"""
+
+
+@register("j13_library_match", oracle_with("fx_bib", "fx_papers").replace("WITH", "WITH RECURSIVE", 1) + "," + _LIB_SQL)
 def q_j13(spark, sf):
     """Bibliography entries matched to a local PDF library: by DOI, else best title above 0.85."""
     b = fx(spark, sf).fx_bib
@@ -258,11 +272,27 @@ SELECT b.entry_key AS tid, arg_min('lib/' || p.paper_id || '.pdf', p.pk) AS path
 JOIN fx_papers p ON p.pk % 3 = 0 AND lower(p.doi) = lower({X.doi_norm('b.doi')}) GROUP BY 1""")
 def q_j13d(spark, sf):
     """J13 pass 1 alone: equal DOI, first library row in library order."""
-    out = q_j13(spark, sf)
-    return out.where(F.col("via") == "doi").select("tid", "path")
-
-
-@register("j19_existing_valid")
+    b = fx(spark, sf).fx_bib
+    return LK.library_by_doi(b.select(F.col("entry_key").alias("tid"), doi_norm("doi").alias("doi")), _library(spark, sf))
+
+
+def _valid_sql(found_doi: str, found_title: str, tail: str) -> str:
+    """Oracle of P14 over fx_papers: ``ok`` per record for the given found values."""
+    return oracle_with("fx_papers").replace("WITH", "WITH RECURSIVE", 1) + f""",
+v AS (SELECT paper_id, doi, title, {found_doi} AS fdoi, {found_title} AS ftitle FROM fx_papers),
+k AS (SELECT *, {X.title_key_unicode('title')} AS a, {X.title_key_unicode('ftitle')} AS b FROM v),
+kp AS (SELECT a, b FROM k WHERE title <> '' AND ftitle <> ''),
+{X.ratio_ctes('kp')},
+ok AS (SELECT k.*, coalesce(lower(trim(fdoi)) = lower(trim(doi)) AND doi <> '' AND fdoi <> '', false)
+         OR (coalesce(title <> '' AND ftitle <> '', false) AND coalesce(ratio >= 0.85, false)) AS valid
+       FROM k LEFT JOIN rt ON title <> '' AND ftitle <> '' AND rt.a = k.a AND rt.b = k.b)
+{tail}"""
+
+
+@register("j19_existing_valid", _valid_sql(
+    "CASE WHEN pk % 3 = 0 THEN upper(doi) END",
+    "CASE WHEN pk % 3 = 1 THEN title WHEN pk % 3 = 2 THEN 'Other ' || venue END",
+    "SELECT paper_id AS name, (fdoi IS NOT NULL OR ftitle IS NOT NULL) AND valid AS reuse FROM ok"))
 def q_j19(spark, sf):
     """Stored artifacts reused only when their DOI or title (ratio >= 0.85) still matches."""
     p = fx(spark, sf).fx_papers
@@ -275,7 +305,9 @@ def q_j19(spark, sf):
     return LK.existing_valid(req, art).select("name", "reuse")
 
 
-@register("p14_validate_match")
+@register("p14_validate_match", _valid_sql(
+    "CASE WHEN pk % 3 = 0 THEN ' ' || upper(doi) WHEN pk % 3 = 1 THEN '10.0/other' END",
+    "CASE WHEN pk % 2 = 0 THEN title ELSE 'Draft ' || venue END", "SELECT paper_id, valid FROM ok"))
 def q_p14(spark, sf):
     """A stored file's DOI (trimmed, lower) or title ratio >= 0.85 against the expected record."""
     from biblink.functions.similarity import ratio
@@ -288,7 +320,13 @@ def q_p14(spark, sf):
     return p.select("paper_id", LK.validate_match(found_doi, found_title, F.col("doi"), F.col("title"), r).alias("valid"))
 
 
-@register("a2_best_match")
+@register("a2_best_match", (oracle_with("fx_bib", "fx_papers") + f""",
+lk AS (SELECT entry_key AS lid, {X.title_key_ascii('title')} AS a FROM fx_bib WHERE title IS NOT NULL),
+rk AS (SELECT pk AS rid, {X.title_key_ascii('title')} AS b FROM fx_papers),
+la AS (SELECT DISTINCT a FROM lk WHERE a <> ''), rb AS (SELECT DISTINCT b FROM rk WHERE b <> ''),
+{X.near_pairs('la', 'rb', 0.9)}, {X.ratio_ctes('np')},
+pr AS (SELECT lid, rid, ratio FROM rt JOIN lk USING (a) JOIN rk USING (b) WHERE ratio >= 0.9)
+SELECT lid, arg_min(rid, struct_pack(r := -ratio, o := rid)) AS rid, max(ratio) AS ratio FROM pr GROUP BY lid""").replace("WITH", "WITH RECURSIVE", 1))
 def q_a2(spark, sf):
     """A2: best record per bibliography title among all pairs reaching 0.9, first record on ties."""
     f = fx(spark, sf)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from biblink.plans.catalog import register
+from biblink.plans.catalog.bib import _WITHX
 from biblink.plans.catalog.pacing import _R, requests
 from biblink.plans.catalog.resolve import _page_text
 from biblink.plans.fixtures import Fixtures
@@ -36,10 +37,10 @@ def q_t1(spark, sf):
     stream = spark.readStream.schema("path string, mtime bigint").parquet(src)
     q = T.stream_inventory(stream, _page_text(spark, sf), manifest, T.scratch_dir(spark, "inventory-ck"))
     q.awaitTermination()
-    return spark.read.parquet(manifest).select("path", "mtime", "doi", "title", "preview")
+    return T.read_manifest_version(spark, manifest).select("path", "mtime", "doi", "title", "preview")
 
 
-@register("t3_stream_check")
+@register("t3_stream_check", _WITHX + "SELECT key, source, status, paper_id FROM x")
 def q_t3(spark, sf):
     """Bibliography entries streamed against the static records; same rows as the batch check (M6)."""
     f = Fixtures(spark, sf)

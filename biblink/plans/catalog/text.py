@@ -209,9 +209,13 @@ def q_s17(spark, sf):
     )
 
 
-@register("s8_title_ratio")
+@register("s8_title_ratio", oracle_with("fx_bib", "fx_papers").replace("WITH", "WITH RECURSIVE", 1) + f""",
+v AS (SELECT entry_key, {X.title_key_ascii('b.title')} AS a, {X.title_key_ascii('p.title')} AS b
+      FROM fx_bib b JOIN fx_papers p ON 'k' || CAST(p.pk AS VARCHAR) = entry_key),
+{X.ratio_ctes('v')}
+SELECT entry_key, ratio, CAST(printf('%.3f', ratio) AS DOUBLE) AS ratio3 FROM v JOIN rt ON rt.a = v.a AND rt.b = v.b""")
 def q_s8(spark, sf):
-    """Ratio of every bibliography title to its own record's title (S2 keys; rows-only)."""
+    """Ratio of every bibliography title to its own record's title (S2 keys), and S26."""
     from biblink.functions.similarity import ratio, round3
 
     f = fx(spark, sf)

@@ -16,21 +16,21 @@ VERIFY_FIELDS = ("paperId", "title", "year", "externalIds", "url")
 
 
 def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similarity: float = 0.9,
-                       retrieval_threshold: float | None = None, titles: bool = True) -> DataFrame:
+                       retrieval_floor: float = 0.6) -> DataFrame:
     """M6: look up, compare and enrich every entry; one result row per entry.
 
     ``entries``: (file, ordinal, entry_type, key, fields map).  ``papers``:
     nested records (paperId, title, year, externalIds, url).  The title
-    lookup retrieves the best record whose S8 ratio reaches
-    ``retrieval_threshold`` (default: the check threshold).  Result columns:
-    entry columns, source, status, title_similarity (rounded to 3 places),
+    lookup (J11) retrieves the best record with an S8 ratio of at least
+    ``retrieval_floor``; ``min_title_similarity`` (any value in [0, 1]) then
+    judges it, so a near miss is a ``mismatch``, not ``not_found``.  Result
+    columns: entry columns, source, status, title_similarity (rounded to 3 places),
     year_matches, updates, paper_id, paper_title, error, and ``fields_out``
     (fields with the updates applied, U2).  A failing entry never stops the
-    batch: a DOI miss is an ``error`` row.  ``titles=False`` checks only the
-    entries settled by DOI, URL or a missing title.
+    batch: a DOI miss is an ``error`` row.  ``degenerate_key`` flags titles
+    without ASCII letters or digits, whose similarity says nothing.
     """
-    t_ret = min_title_similarity if retrieval_threshold is None else retrieval_threshold
-    matched = cascade_match(entries, papers, t_ret, titles=titles)
+    matched = cascade_match(entries, papers, floor=retrieval_floor)
     p = papers.select(*VERIFY_FIELDS)
     j = matched.join(p, matched["paper_id"] == p["paperId"], "left")
     has_paper = F.col("paper_id").isNotNull()
@@ -45,7 +45,7 @@ def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similari
     d_ok = doi_ok(F.col("_doi"), rdoi)
     return j.select(
         *entries.columns,
-        "source", "paper_id", "error",
+        "source", "paper_id", "error", "degenerate_key",
         sim.alias("_sim"), y_ok.alias("_y"), d_ok.alias("_d"),
         F.when(has_paper, updates_map(F.col("paperId"), rdoi, F.col("url")))
         .otherwise(F.create_map().cast("map<string,string>")).alias("updates"),
@@ -55,7 +55,7 @@ def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similari
         verdict(F.col("source"), F.col("paper_id"), F.col("_sim"), F.col("_y"), F.col("_d"), min_title_similarity).alias("status"),
         F.when(F.col("paper_id").isNotNull(), round3("_sim")).otherwise(F.lit(0.0)).alias("title_similarity"),
         (F.col("paper_id").isNotNull() & F.col("_y")).alias("year_matches"),
-        "updates", "paper_id", "paper_title", "error",
+        "updates", "paper_id", "paper_title", "error", "degenerate_key",
         apply_updates(F.col("fields"), F.col("updates")).alias("fields_out"),
     )
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,19 +50,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, read from the session.
 
-    On a cluster the setting names a shared file system and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is made.
+    Only a session whose tasks run inside the driver (master ``local[n]``: tests
+    and single-machine use) gets a temporary folder, removed when the process
+    ends, if the setting is missing.  On a cluster that is an error: executors
+    would write to their own disks.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a classic SparkContext use the setting only
-        sc = None
-    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="biblink-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None and not sc.getCheckpointDir():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path

@@ -20,27 +20,46 @@ def stream_inventory(inventory_stream: DataFrame, page_text: DataFrame, manifest
     """New inventory rows (path, mtime) refresh the manifest table at ``manifest_path``.
 
     Each micro-batch: J14 against the current manifest, M1 for the changed
-    files, U3 merge, and the merged manifest replaces the table.  The stream's
-    own checkpoint records which inventory files were consumed.
+    files, U3 merge, and the result becomes a new version of the table, a
+    folder ``version=<epoch>``.  A version counts once its ``_SUCCESS`` file is
+    there, so a job that dies while writing loses nothing, and a replayed batch
+    writes the same version again.  ``read_manifest_version`` reads the newest.
     """
     spark = inventory_stream.sparkSession
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        try:
-            current = spark.read.parquet(manifest_path)
-        except Exception:  # noqa: BLE001 - no manifest yet
+        current = read_manifest_version(spark, manifest_path, before=epoch)
+        if current is None:
             current = spark.createDataFrame([], "path string, mtime bigint, doi string, title string, preview string")
         changed = changed_files(batch.select("path", "mtime").dropDuplicates(["path", "mtime"]), current)
         pages = page_text.join(changed.select("path"), "path", "left_semi")
         fresh = changed.join(document_metadata(pages, doc="path"), "path", "left")
-        merged = merge_manifest(current, fresh).checkpoint(eager=True)
-        merged.write.mode("overwrite").parquet(manifest_path)
+        merge_manifest(current, fresh).write.mode("overwrite").parquet(f"{manifest_path}/version={epoch:012d}")
 
     w = inventory_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def read_manifest_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The newest complete version of a manifest table (older than ``before``); a plain
+    parquet folder is the version before all.  None if there is no table; any other
+    failure to read it is an error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    versions = sorted(n for n in names if n.startswith("version=") and (before is None or int(n[8:]) < before))
+    for n in reversed(versions):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")):
+            return spark.read.parquet(f"{path}/{n}")
+    if any(n.endswith(".parquet") for n in names):
+        return spark.read.parquet(f"{path}/*.parquet")
+    return None
+
+
 def stream_dedupe_requests(requests: DataFrame, delay: str = "1 hour", key: str = "request_key",
                            ts: str = "ts") -> DataFrame:
     """Each request key once; duplicates within the watermark delay are dropped.
@@ -56,13 +75,14 @@ def stream_check(entries_stream: DataFrame, papers: DataFrame, output: str, chec
     """Bibliography entries arriving as a stream, checked against the static record table.
 
     Every micro-batch runs the batch check (M6: joins for DOI/URL, the
-    similarity join for titles) and appends its results to ``output``.
+    similarity join for titles) and writes its results to the partition
+    ``epoch=<n>`` of ``output``; a replayed batch replaces its own partition.
     """
     from biblink.plans.check import check_bibliography
 
     def apply(batch: DataFrame, epoch: int) -> None:
         res = check_bibliography(batch, papers, min_title_similarity)
-        res.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(output)
+        res.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
 
     w = entries_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,6 +1,7 @@
 """Argument rules of the user-facing calls."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from biblink.plans import api
 
@@ -30,9 +31,52 @@ def test_calls(spark, fx):
     assert api.get(fx.papers_full, "DOI:10.1001/AB.1").count() == 1
     assert len(api.get(fx.papers_full, "p1", None).columns) == 20
     rel = api.relations(fx.fx_citations, fx.fx_papers.withColumnRenamed("paper_id", "paperId"), " p1 ", " References ")
-    assert rel.count() >= 0
+    cited = {r.cited_id for r in fx.fx_citations.where("citing_id = 'p1'").collect()}
+    assert {r.paperId for r in rel.collect()} == cited and rel.count() == min(len(cited), 100)
     assert api.author(fx.fx_authors, author_id="a1").count() == 1
     top = api.recommendations(fx.embeddings, paper_id=0, limit=5).collect()
     assert len(top) == 5 and all(r.vec_id != 0 for r in top)
     res = api.search(fx.papers_full, "brand", fields="paperId,title", text_cols=("title",), limit=3).collect()
     assert len(res) == 3
+
+
+def test_bulk_search_pages_through_null_sort_keys(spark):
+    from biblink.operators.records import bulk_search
+
+    rows = [("a", 2001, "red fox"), ("b", None, "blue whale"), ("c", 1999, "red deer"), ("d", None, "red kite"), ("e", 2001, "grey owl")]
+    papers = spark.createDataFrame(rows, "paperId string, year int, title string").withColumn("abstract", F.lit(None).cast("string"))
+    for sort, want in (("year:asc", "caebd"), ("year:desc", "aecbd")):
+        got, token = "", None
+        while True:
+            page = bulk_search(papers, sort=sort, token=token, page_size=1).collect()
+            if not page:
+                break
+            got, token = got + page[0].paperId, (page[0].year, page[0].paperId)
+        assert got == want
+    assert {r.paperId for r in bulk_search(papers, query="red (fox OR kit*)").collect()} == {"a", "d"}
+
+
+def test_readable_bodies_stay(spark):
+    from biblink.operators.pacing import read_responses
+
+    df = spark.createDataFrame([(1, '{"k": 3}'), (2, '{"other": 5}'), (3, "{}"), (4, '{"k": '), (5, None)], "id int, response string")
+    assert {r.id: r.parsed.k for r in read_responses(df, "k INT").collect()} == {1: 3, 2: None, 3: None}
+
+
+def test_best_location_without_urls_gives_none(spark):
+    from biblink.operators.resolve import parse_oa_locations
+
+    listed = '"oa_locations": [{"url": "https://l.org/1.pdf"}]'
+    rows = [(1, '{"best_oa_location": {"url": "https://b.org/2.pdf"}, %s}' % listed), (2, '{"best_oa_location": {"host": "x"}, %s}' % listed),
+            (3, '{"best_oa_location": {}, %s}' % listed), (4, '{"best_oa_location": null, %s}' % listed), (5, "{%s}" % listed)]
+    got = {r.id: r.oa_url for r in parse_oa_locations(spark.createDataFrame(rows, "id int, body string")).collect()}
+    assert got == {1: "https://b.org/2.pdf", 2: None, 3: "https://l.org/1.pdf", 4: "https://l.org/1.pdf", 5: "https://l.org/1.pdf"}
+
+
+def test_repeated_requests_are_answered_once_each(spark, fx):
+    from biblink.operators.resolve import resolve_papers
+
+    req = spark.createDataFrame([("p1",), ("p1",), ("p2",)], "request_id string")
+    crawl = spark.createDataFrame([], "url string, status int, content_type string, body string")
+    text = spark.createDataFrame([], "url string, page_no int, text string")
+    assert sorted(r.request_id for r in resolve_papers(req, fx.papers, crawl, text).collect()) == ["p1", "p1", "p2"]

@@ -3,49 +3,79 @@
 from pyspark.sql import functions as F
 
 import golden as G
-from biblink.operators.linkage import library_match, similarity_join, title_match
-from biblink.functions.text import title_key_unicode
+from biblink.functions.text import title_key_ascii, title_key_unicode
+from biblink.operators.linkage import library_match, retrieval_key, similarity_join, title_match
 
 
-def _brute(left, right, key, t, strict=False):
-    out = set()
-    for a, ta in left:
-        for b, tb in right:
-            r = G.ratio(key(ta), key(tb))
-            if (r > t) if strict else (r >= t):
-                out.add((a, b, round(r, 9)))
-    return out
+def _keyed(df, key):
+    """(id, key) rows of a frame (id, title); the keys are those test_expressions.py checks."""
+    return [(r[0], r[1]) for r in df.select(df.columns[0], key(F.col("title"))).collect()]
 
 
-def test_similarity_join_equals_brute_force(spark, fx):
+def _brute(left, right, t):
+    return {(a, b, round(r, 9)) for a, ka in left for b, kb in right if ka and kb and (r := G.ratio(ka, kb)) >= t}
+
+
+def _sides(fx):
     left = fx.fx_bib.where("title is not null").select(F.col("entry_key").alias("lid"), "title")
-    right = fx.fx_papers.select(F.col("paper_id").alias("rid"), "title")
+    return left, fx.fx_papers.select(F.col("paper_id").alias("rid"), "title")
+
+
+def test_similarity_join_equals_brute_force(spark, fx):
+    left, right = _sides(fx)
+    sides = _keyed(left, title_key_ascii), _keyed(right, title_key_ascii)
     for t in (0.9, 0.85):
         got = {(r.lid, r.rid, round(r.ratio, 9)) for r in similarity_join(left, right, "title", "title", t).collect()}
-        L = [(r.lid, r.title) for r in left.collect()]
-        R = [(r.rid, r.title) for r in right.collect()]
-        assert got == _brute(L, R, G.key_ascii, t)
+        assert got == _brute(*sides, t)
+
+
+def test_low_thresholds_equal_brute_force(spark, fx):
+    left, right = _sides(fx)
+    left, right = left.where("length(lid) = 3"), right.where("length(rid) = 4")
+    sides = _keyed(left, title_key_ascii), _keyed(right, title_key_ascii)
+    for t in (0.6, 0.8):
+        got = {(r.lid, r.rid, round(r.ratio, 9)) for r in similarity_join(left, right, "title", "title", t).collect()}
+        assert got == _brute(*sides, t)
 
 
-def test_similarity_join_degenerate_keys(spark):
-    left = spark.createDataFrame([(1, "???"), (2, "a"), (3, "深層"), (4, "ab")], "lid int, title string")
-    right = spark.createDataFrame([(10, "!!"), (11, "A"), (12, "b"), (13, "ab!")], "rid int, title string")
+def test_empty_keys_pair_with_nothing(spark):
+    left = spark.createDataFrame([(1, "???"), (2, "a"), (3, "深層"), (4, "ab"), (5, None)], "lid int, title string")
+    right = spark.createDataFrame([(10, "!!"), (11, "A"), (12, "b"), (13, "ab!"), (14, "量子"), (15, None)], "rid int, title string")
     got = {(r.lid, r.rid) for r in similarity_join(left, right, "title", "title", 0.9).collect()}
-    want = {(a, b) for a, ta in left.collect() for b, tb in right.collect() if G.ratio(G.key_ascii(ta), G.key_ascii(tb)) >= 0.9}
-    assert got == want and (1, 10) in got and (3, 10) in got
+    assert got == {(2, 11), (4, 13)}
+
+
+def test_salted_prefix_join_equals_brute_force(spark, fx, monkeypatch):
+    """Force hot-gram salting (tiny buckets) and check that no pair is lost or duplicated."""
+    import biblink.operators.linkage as LKmod
 
+    monkeypatch.setattr(LKmod, "SALT_BUCKET", 3)
+    left, right = _sides(fx)
+    got = [(r.lid, r.rid, round(r.ratio, 9)) for r in similarity_join(left, right, "title", "title", 0.9).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == _brute(_keyed(left, title_key_ascii), _keyed(right, title_key_ascii), 0.9)
 
-def test_title_match_is_argmax(spark, fx):
+
+def test_title_match_is_the_best_candidate(spark, fx):
     q = fx.fx_bib.where("title is not null").select(F.col("entry_key").alias("qid"), "title")
-    got = {r.qid: (r.paperId, round(r.ratio, 9)) for r in title_match(q, fx.papers, 0.9).collect()}
-    papers = [(r.paper_id, r.title) for r in fx.fx_papers.collect()]
-    for qid, title in [(r.qid, r.title) for r in q.collect()]:
-        best = None
-        for pid, pt in papers:
-            r = G.ratio(G.key_ascii(title), G.key_ascii(pt))
-            if r >= 0.9 and (best is None or r > best[1] or (r == best[1] and pid < best[0])):
-                best = (pid, r)
-        assert got.get(qid) == (None if best is None else (best[0], round(best[1], 9)))
+    got = {r.qid: (r.paperId, round(r.ratio, 9)) for r in title_match(q, fx.papers).collect()}
+    papers = _keyed(fx.fx_papers.select("paper_id", "title"), retrieval_key)
+    words = {p: set(k.split()) for p, k in papers}
+    df = {}
+    for w in {k: w for _, k in papers for w in [set(k.split())]}.values():
+        for x in w:
+            df[x] = df.get(x, 0) + 1
+    for qid, key in _keyed(q, retrieval_key):
+        known = sorted((df[w], w) for w in set(key.split()) if w in df)
+        rare = known[0][1] if known else None
+        scored = [(-r, p) for p, k in papers for r in [G.ratio(key, k)] if r >= 0.9 or (r >= 0.6 and rare in words[p])]
+        assert got.get(qid) == ((min(scored)[1], round(-min(scored)[0], 9)) if scored else None), qid
+
+
+def test_titles_without_ascii_letters_retrieve_by_their_unicode_key(spark):
+    q = spark.createDataFrame([(1, "深度学习 方法"), (2, "量子力学"), (3, "???"), (4, " ")], "qid int, title string")
+    papers = spark.createDataFrame([("p1", "深度学习 方法!"), ("p2", "量子力学入门教程大全"), ("p3", "!!"), ("p4", "")], "paperId string, title string")
+    assert {r.qid: r.paperId for r in title_match(q, papers).collect()} == {1: "p1"}
 
 
 def test_library_match(spark, fx):
@@ -53,29 +83,8 @@ def test_library_match(spark, fx):
                               F.when(F.col("pk") % 3 == 0, F.col("doi")).alias("doi"), "title")
     targets = fx.fx_bib.select(F.col("entry_key").alias("tid"), F.lit(None).cast("string").alias("doi"), "title")
     got = {r.tid: r.path for r in library_match(targets, lib).collect()}
-    L = sorted((r.ordinal, r.path, r.title) for r in lib.collect())
-    for tid, title in [(r.tid, r.title) for r in targets.collect()]:
-        best, score = None, 0.0
-        if title:
-            for _, path, lt in L:
-                if not lt:
-                    continue
-                s = G.ratio(G.key_unicode(title), G.key_unicode(lt))
-                if s > 0.85 and s > score:
-                    best, score = path, s
-        assert got.get(tid) == best, tid
-
-
-def test_salted_prefix_join_equals_brute_force(spark, fx, monkeypatch):
-    """Force hot-gram salting (tiny buckets) and check that no pair is lost or duplicated."""
-    import biblink.operators.linkage as LKmod
-
-    monkeypatch.setattr(LKmod, "SALT_BUCKET", 3)
-    left = fx.fx_bib.where("title is not null").select(F.col("entry_key").alias("lid"), "title")
-    right = fx.fx_papers.select(F.col("paper_id").alias("rid"), "title")
-    rows = similarity_join(left, right, "title", "title", 0.9).collect()
-    got = [(r.lid, r.rid, round(r.ratio, 9)) for r in rows]
-    assert len(got) == len(set(got))
-    L = [(r.lid, r.title) for r in left.collect()]
-    R = [(r.rid, r.title) for r in right.collect()]
-    assert set(got) == _brute(L, R, G.key_ascii, 0.9)
+    files = sorted(_keyed(lib.select("ordinal", "title"), title_key_unicode))
+    paths = {r.ordinal: r.path for r in lib.collect()}
+    for tid, key in _keyed(targets.select("tid", "title"), title_key_unicode):
+        scored = [(-r, o) for o, k in files if key and k for r in [G.ratio(key, k)] if r > 0.85]
+        assert got.get(tid) == (paths[min(scored)[1]] if scored else None), tid

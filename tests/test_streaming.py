@@ -15,3 +15,35 @@ def test_stream_twins(spark):
     t3 = sorted(tuple(r) for r in q["t3_stream_check"](spark, SF001).collect())
     m6 = sorted((r.key, r.source, r.status, r.paper_id) for r in q["m6_check_bibliography"](spark, SF001).collect())
     assert t3 == m6
+
+
+def test_inventory_manifest_versions(spark, tmp_path):
+    """No table: an empty start; an unreadable table: an error, never an empty start."""
+    import pytest
+
+    from biblink.streaming import jobs as T
+
+    path = str(tmp_path / "manifest")
+    assert T.read_manifest_version(spark, path) is None
+    rows = spark.createDataFrame([("a", 1)], "path string, mtime bigint")
+    rows.write.parquet(f"{path}/version=000000000001")
+    rows.union(rows).write.parquet(f"{path}/version=000000000002")
+    assert T.read_manifest_version(spark, path).count() == 2
+    assert T.read_manifest_version(spark, path, before=2).count() == 1
+    (tmp_path / "manifest/version=000000000002/_SUCCESS").unlink()
+    assert T.read_manifest_version(spark, path).count() == 1
+    for p in (tmp_path / "manifest/version=000000000001").glob("*.parquet"):
+        p.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        T.read_manifest_version(spark, path).count()
+
+
+def test_replayed_check_batch_writes_once(spark, tmp_path, fx):
+    from biblink.streaming import jobs as T
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    fx.entries.limit(20).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    for ck in ("ck1", "ck2"):  # a lost stream checkpoint replays batch 0
+        T.stream_check(spark.readStream.schema(schema).parquet(src), fx.papers, out, str(tmp_path / ck)).awaitTermination()
+    assert spark.read.parquet(out).count() == 20

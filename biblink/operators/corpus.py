@@ -165,8 +165,9 @@ def pdf_link(pages: DataFrame, html: str = "html", base: str = "url") -> DataFra
     strategy 5 returns its match unchanged; every other link is resolved
     against the page URL.  Pages without a link keep null columns.
     """
-    # the candidate array is one projection of its own: its (large) expression is evaluated once per page
-    found = pages.select("*", F.try_element_at(pdf_link_candidates(F.col(html)), F.lit(1)).alias("_best"))
+    # a generator of one row: no filter on the result is pushed below it, which would
+    # evaluate the (large) candidate expression again for every use of the link
+    found = pages.select("*", F.explode(F.array(F.try_element_at(pdf_link_candidates(F.col(html)), F.lit(1)))).alias("_best"))
     out = found.select(*pages.columns, F.col("_best.rank").alias("strategy"), F.col("_best.link").alias("raw_link"))
     keep_raw = (F.col("strategy") == 5) | ((F.col("strategy") == 3) & F.col("raw_link").startswith("https:"))
     return out.withColumn("pdf_url", F.when(keep_raw, F.col("raw_link")).otherwise(url_resolve(F.col(base), F.col("raw_link"))))

@@ -160,9 +160,9 @@ def first_success(attempts: DataFrame, key: str = "paper_id", rank: str = "rank"
     key with very many attempts never gathers in one task.
     """
     cols = [c for c in attempts.columns if c not in (key, ok)]
-    won = attempts.where(F.col(ok)).groupBy(key).agg(F.min_by(F.struct(*cols), F.col(rank)).alias("_w"))
-    keys = attempts.select(key).distinct()
-    return keys.join(won, key, "left").select(key, F.col("_w").isNotNull().alias("found"), "_w.*")
+    # rows with a null ordering value never win: one pass finds winners and failures
+    won = F.min_by(F.struct(*cols), F.when(F.col(ok), F.col(rank)))
+    return attempts.groupBy(key).agg(won.alias("_w")).select(key, F.col("_w").isNotNull().alias("found"), "_w.*")
 
 
 def changed_files(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -195,25 +195,21 @@ def resolve_crawl(candidates: DataFrame, crawl: DataFrame) -> DataFrame:
     (or a URL never landed) skips the candidate; an HTML answer is searched
     for a PDF link (M4, resolved against the candidate URL) and that link is
     looked up once more with the same rules; anything else is a success.
-    Only the narrow (url, status, content_type) columns take part in the
-    joins; HTML bodies are read once per distinct landing URL.
+    What a URL leads to is decided once per URL, on narrow columns; the body of
+    a landing page is read once, and only if some candidate points there.
     """
-    head = crawl.select("url", "status", F.lower(F.coalesce("content_type", F.lit(""))).alias("ctype"))
-    ok_status = (F.col("status") >= 200) & (F.col("status") < 300) & (F.col("status") != 202)
-    c1 = candidates.where(F.col("url").isNotNull()).join(head, "url", "left")
-    is_html = ok_status & F.col("ctype").contains("text/html")
-    direct = c1.where(ok_status & ~F.col("ctype").contains("text/html")).select(
-        "paper_id", "rank", "strategy", "url", F.col("url").alias("pdf_url"))
-    html_urls = c1.where(is_html).select("url").distinct()
-    bodies = crawl.join(html_urls, "url", "left_semi").select("url", F.col("body").alias("html"))
-    links = pdf_link(bodies, html="html", base="url").select("url", F.col("pdf_url").alias("link"))
-    hop = c1.where(is_html).select("paper_id", "rank", "strategy", "url").join(links, "url").where(F.col("link").isNotNull())
-    h2 = head.select(F.col("url").alias("link"), F.col("status"), F.col("ctype"))
-    second = hop.join(h2, "link", "left").where(ok_status & ~F.col("ctype").contains("text/html")).select(
-        "paper_id", "rank", "strategy", "url", F.col("link").alias("pdf_url"))
-    wins = direct.unionByName(second).withColumn("ok", F.lit(True))
-    everyone = candidates.select("paper_id", "rank", "strategy", "url").withColumn("pdf_url", F.lit(None).cast("string")).withColumn("ok", F.lit(False))
-    return first_success(wins.unionByName(everyone), "paper_id", "rank", "ok")
+    ctype = F.lower(F.coalesce("content_type", F.lit("")))
+    answered = crawl.where((F.col("status") >= 200) & (F.col("status") < 300) & (F.col("status") != 202))
+    files = answered.where(~ctype.contains("text/html")).select("url").distinct()
+    wanted = candidates.where(F.col("url").isNotNull()).select("url").distinct()
+    landing = answered.where(ctype.contains("text/html")).join(wanted, "url", "left_semi").select("url", F.col("body").alias("html"))
+    links = pdf_link(landing, html="html", base="url").where(F.col("pdf_url").isNotNull()).select("url", "pdf_url")
+    hop = links.join(files.select(F.col("url").alias("pdf_url")), "pdf_url", "left_semi").select("url", "pdf_url")
+    leads = files.select("url", F.col("url").alias("pdf_url")).unionByName(hop)
+    # candidates without a URL keep a key of their own, so they do not meet at the null key
+    tries = candidates.select("paper_id", "rank", "strategy", "url", F.coalesce("url", F.concat(F.lit(" "), "paper_id")).alias("_at"))
+    tries = tries.join(leads.withColumnRenamed("url", "_at"), "_at", "left").drop("_at").withColumn("ok", F.col("pdf_url").isNotNull())
+    return first_success(tries, "paper_id", "rank", "ok")
 
 
 def resolve_papers(requests: DataFrame, papers: DataFrame, crawl: DataFrame, page_text: DataFrame,

@@ -12,8 +12,8 @@ from biblink.operators import resolve as RS
 from biblink.plans.catalog import register
 from biblink.plans.catalog import sqlx as X
 from biblink.plans.catalog.bib import map_text
-from biblink.plans.catalog.corpus import _MT, _PV
-from biblink.plans.catalog.text import _sql_title_guess
+from biblink.plans.catalog.corpus import _MT, _PV, _sql_pdf_candidates
+from biblink.plans.catalog.text import _sql_clean, _sql_title_guess
 from biblink.plans.fixtures import Fixtures, oracle_with
 
 DOMAIN = "mirror.example.org"
@@ -218,7 +218,24 @@ def crawl(spark, sf):
     return c.unionByName(hop.join(c.select("url"), "url", "left_anti")).checkpoint(eager=True)
 
 
-@register("j17_resolve_crawl")
+_J17_SQL = _U1_SQL.replace(oracle_with("fx_papers", "fx_oa", "fx_idconv"), oracle_with("fx_papers", "fx_oa", "fx_idconv", "fx_crawl", "fx_doc_pages")) + f""",
+lp AS (SELECT url, status, {_sql_pdf_candidates('body')}[1] AS c FROM fx_crawl WHERE starts_with(content_type, 'text/html')),
+lk AS (SELECT url, status, CASE WHEN c.link IS NULL THEN NULL WHEN c.rank = 5 OR (c.rank = 3 AND starts_with(c.link, 'https:')) THEN c.link
+         ELSE {X.url_join('url', 'c.link')} END AS pdf_url FROM lp),
+cr AS (SELECT url, status, lower(content_type) AS ctype FROM fx_crawl
+       UNION ALL SELECT pdf_url, min(CASE WHEN CAST(regexp_extract(url, '(\\d+)$', 1) AS BIGINT) % 2 = 0 THEN 200 ELSE 404 END), 'application/pdf'
+       FROM lk WHERE pdf_url IS NOT NULL AND pdf_url NOT IN (SELECT url FROM fx_crawl) GROUP BY pdf_url),
+fl AS (SELECT DISTINCT url FROM cr WHERE status BETWEEN 200 AND 299 AND status <> 202 AND NOT contains(ctype, 'text/html')),
+ld AS (SELECT url, url AS pdf_url FROM fl
+       UNION ALL SELECT url, pdf_url FROM lk WHERE status BETWEEN 200 AND 299 AND status <> 202 AND pdf_url IN (SELECT url FROM fl)),
+tr AS (SELECT u1.*, ld.pdf_url FROM u1 LEFT JOIN ld ON ld.url = u1.url AND u1.strategy <> 'doi_landing'),
+jx AS (SELECT paper_id, count(pdf_url) > 0 AS found, min(rank) FILTER (WHERE pdf_url IS NOT NULL) AS rank,
+         arg_min(strategy, rank) FILTER (WHERE pdf_url IS NOT NULL) AS strategy, arg_min(pdf_url, rank) FILTER (WHERE pdf_url IS NOT NULL) AS pdf_url
+       FROM tr GROUP BY paper_id)
+"""
+
+
+@register("j17_resolve_crawl", _J17_SQL + "SELECT paper_id, found, rank, strategy, pdf_url FROM jx")
 def q_j17(spark, sf):
     """First working candidate per record over the landed crawl, following HTML landing pages once."""
     f = fx(spark, sf)
@@ -227,7 +244,12 @@ def q_j17(spark, sf):
     return out.select("paper_id", "found", "rank", "strategy", "pdf_url")
 
 
-@register("m7_resolve_papers")
+@register("m7_resolve_papers", _J17_SQL + f""",
+tx AS (SELECT 'https://example.org/pdf/' || CAST(doc_id * 4 AS VARCHAR) || '.pdf' AS pdf_url,
+         length({_sql_clean("string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY page_no)")}) AS text_chars FROM fx_doc_pages GROUP BY doc_id)
+SELECT CASE WHEN p.doi IS NOT NULL THEN 'DOI:' || p.doi ELSE p.paper_id END AS request_id, p.paper_id AS name,
+  CASE WHEN found THEN 'crawl' ELSE 'failed' END AS source, jx.strategy, jx.pdf_url, tx.text_chars
+FROM fx_papers p JOIN jx USING (paper_id) LEFT JOIN tx ON tx.pdf_url = jx.pdf_url""")
 def q_m7(spark, sf):
     """M7: every record requested by DOI (or bare id) resolved to a PDF source and its cleaned text."""
     f = fx(spark, sf)

@@ -46,30 +46,47 @@ def get(papers: DataFrame, paper_id: str, fields: Sequence[str] | str | None = N
 
 
 def relations(edges: DataFrame, papers: DataFrame, paper_id: str, relation: str = "citations",
-              offset: int = 0, limit: int = 100) -> DataFrame:
-    """citing (``citations``) or cited (``references``) records of a paper, paged."""
+              offset: int = 0, limit: int = 100, fields: Sequence[str] | str | None = None) -> DataFrame:
+    """citing (``citations``) or cited (``references``) records of a paper, paged.
+
+    With ``fields`` (P1) only these record fields and ``rank`` are returned."""
     _required(paper_id, "paper_id")
     rel = (relation or "").strip().lower()
     if rel not in ("citations", "references"):
         raise ValueError("relation must be 'citations' or 'references'")
     fn = graph.citations if rel == "citations" else graph.references
-    return fn(edges, papers, [paper_id], offset, records.clamp(limit, records.LIST_LIMIT, 100))
+    out = fn(edges, papers, [paper_id], offset, records.clamp(limit, records.LIST_LIMIT, 100))
+    return out if not fields else records.select_fields(out, [*records._field_list(fields, ()), "rank"])
 
 
 def author(authors: DataFrame, author_id: str | None = None, query: str | None = None, offset: int = 0,
-           limit: int = 100, id_col: str = "author_id") -> DataFrame:
-    """one author by id (J4) or an author search (L4): exactly one of the two."""
+           limit: int = 100, id_col: str = "author_id", fields: Sequence[str] | str | None = None) -> DataFrame:
+    """one author by id (J4) or an author search (L4): exactly one of the two.
+
+    With ``fields`` (P1) the author records hold these fields only, search
+    results in rank order."""
     if bool(author_id and author_id.strip()) == bool(query and query.strip()):
         raise ValueError("give exactly one of author_id and query")
     if author_id:
-        return lookup.get_author(authors, author_id, id_col)
-    return ranking.search_authors(authors, query, offset, limit, id_col=id_col)
+        one = lookup.get_author(authors, author_id, id_col)
+        return one if not fields else records.select_fields(one, fields)
+    hits = ranking.search_authors(authors, query, offset, limit, id_col=id_col)
+    if not fields:
+        return hits
+    wanted = records._field_list(fields, ())
+    records.select_fields(authors, wanted)  # validates the mask
+    return hits.join(authors, id_col).orderBy(F.col("score").desc(), id_col).select(*wanted)
 
 
 def recommendations(vectors: DataFrame, paper_id: str | None = None, positives: Sequence[str] | None = None,
                     negatives: Sequence[str] | None = None, limit: int = 100, pool=None,
-                    id_col: str = "vec_id") -> DataFrame:
-    """recommendations from one seed paper or seed sets."""
+                    id_col: str = "vec_id", papers: DataFrame | None = None, fields: Sequence[str] | str | None = None) -> DataFrame:
+    """recommendations from one seed paper or seed sets.
+
+    ``pool`` is a condition on the vector rows that candidates must meet (for
+    the "recent" pool of the service: a condition on a date column); none means
+    all.  With ``papers`` (holding ``id_col``) and ``fields`` (P1) the records
+    are returned in rank order, with these fields and ``score``."""
     has_seed = paper_id is not None and not (isinstance(paper_id, str) and not paper_id.strip())
     if has_seed == bool(positives):
         raise ValueError("give exactly one of paper_id and positives")
@@ -80,7 +97,11 @@ def recommendations(vectors: DataFrame, paper_id: str | None = None, positives:
     id_type = dict(vectors.dtypes)[id_col]
     pos = spark.createDataFrame([(p,) for p in pos_ids], f"{id_col} {id_type}")
     neg = spark.createDataFrame([(n,) for n in negatives], f"{id_col} {id_type}") if negatives else None
-    return ranking.recommend(vectors, pos, neg, limit, pool, id_col=id_col)
+    top = ranking.recommend(vectors, pos, neg, limit, pool, id_col=id_col)
+    if papers is None or not fields:
+        return top
+    out = top.join(papers, id_col).orderBy(F.col("score").desc(), id_col)
+    return records.select_fields(out, [*records._field_list(fields, ()), "score"])
 
 
 def resolve_and_extract(spark: SparkSession, ids: Sequence[str] | DataFrame, papers: DataFrame, crawl: DataFrame,

@@ -39,4 +39,4 @@ def load_all() -> None:
         resolve,
         text,
     )
-    from biblink.plans.catalog import streams  # noqa: F401  (reuses oracles registered above)
+    from biblink.plans.catalog import calls, streams  # noqa: F401  (reuse oracles registered above)

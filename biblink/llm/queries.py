@@ -50,6 +50,18 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.union(added), template), template)
 
 
+ORACLE["op1_chat_format"] = rf"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '{ADDED_CONVERSATION}'), (-7, 1, 'assistant', '{ADDED_CONVERSATION}'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + 2 * length(role) - length(regexp_replace(role, '[\\#<:]', '', 'g')) + 2 * length(text) - length(regexp_replace(text, '[\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars,
+  0 AS rewritten
+FROM r GROUP BY conv_id"""
+
+
 def quality_list(spark: SparkSession, sf_dir: str, featured: DataFrame) -> quality_rules.DecisionList:
     labels = table(spark, sf_dir, "labels")
     return quality_rules.learn(featured, labels, F.col("quality") == 0)

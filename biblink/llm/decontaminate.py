@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, let
+from .common import fresh, let, written
 
 #: Unit words, fixed values; they count as units only after a number.
 UNITS = (
@@ -66,20 +66,28 @@ def template_words(raw: Column) -> Column:
     return F.filter(F.split(t, " "), lambda w: w != "")
 
 
-def windows(template: Column, size: Column | int, min_literals: int, full: int) -> Column:
-    """``array<struct<pos, hash>>`` of the windows with enough words that are no
-    placeholders: ``min_literals`` of ``full`` words, as large a share of fewer."""
+def windows(template: Column, size: Column | int) -> Column:
+    """``array<struct<pos, hash>>`` of all windows of ``size`` template words."""
     size = size if isinstance(size, Column) else F.lit(size)
 
-    def of(hashes: Column, literal: Column) -> Column:
+    def of(hashes: Column) -> Column:
         spots = F.when(F.size(hashes) >= size, F.sequence(F.lit(0), F.size(hashes) - size)).otherwise(F.array().cast("array<int>"))
-        enough = F.filter(spots, lambda i: F.aggregate(F.slice(literal, i + 1, size), F.lit(0), lambda a, b: a + b) >= F.least(F.lit(min_literals), F.ceil(size * min_literals / full)))
-        return F.transform(enough, lambda i: F.struct(i.alias("pos"), F.xxhash64(size, F.slice(hashes, i + 1, size)).alias("hash")))
+        return F.transform(spots, lambda i: F.struct(i.alias("pos"), F.xxhash64(size, F.slice(hashes, i + 1, size)).alias("hash")))
 
-    return let(
-        F.struct(F.transform(template, lambda w: F.xxhash64(w)).alias("h"), F.transform(template, lambda w: (~w.isin(*PLACEHOLDERS)).cast("int")).alias("l")),
-        lambda s: of(s["h"], s["l"]),
-    )
+    return let(F.transform(template, lambda w: F.xxhash64(w)), of)
+
+
+def item_windows(template: Column, size: Column, min_literals: int, full: int) -> Column:
+    """The same, without windows that hold too few words that are no placeholders:
+    ``min_literals`` of ``full`` words are asked, as large a share of fewer.  A
+    document window that matches one of them is the same template, so documents
+    need no such check."""
+    asked = F.least(F.lit(min_literals), F.ceil(size * min_literals / full))
+
+    def literals(w: Column) -> Column:
+        return F.size(F.filter(F.slice(template, w["pos"] + 1, size), lambda x: ~x.isin(*PLACEHOLDERS)))
+
+    return F.filter(windows(template, size), lambda w: literals(w) >= asked)
 
 
 def leaks(
@@ -92,7 +100,7 @@ def leaks(
     bench = items.select(F.col(item_id).alias("item_id"), plain_words(F.col(item_text)).alias("raw")).where("size(raw) > 0")
     bench = bench.select("item_id", "raw", template_words(F.col("raw")).alias("template"))
     length = F.least(F.lit(window), F.size("template"))
-    keys = bench.select("item_id", "raw", "template", length.alias("size"), F.explode(windows(F.col("template"), length, min_literals, window)).alias("w"))
+    keys = bench.select("item_id", "raw", "template", length.alias("size"), F.explode(item_windows(F.col("template"), length, min_literals, window)).alias("w"))
     keys = keys.select("item_id", "size", F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"))
     sizes = sorted(r[0] for r in keys.select("size").distinct().collect()) or [window]  # at most `window` numbers
     small = keys.count() <= broadcast_rows
@@ -100,13 +108,15 @@ def leaks(
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).cast("string").alias("text"))
     found = narrow.select(
         "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.explode(let(template_words(plain_words(F.col("text"))), lambda t: F.concat(*(windows(t, n, min_literals, window) for n in sizes)))).alias("w"),
+        F.explode(let(template_words(plain_words(F.col("text"))), lambda t: F.concat(*(windows(t, n) for n in sizes)))).alias("w"),
     ).select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
     met = found.join(F.broadcast(keys) if small else keys, "hash")
-    # matched windows per diagonal; repeated windows of an item count once each
+    # matched windows per diagonal; repeated windows of an item count once each.  Read
+    # twice below, so written once: the pass over all texts runs once
     diagonals = met.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.count_distinct("item_pos").alias("hits"), F.min("item_pos").alias("lo"), F.max(F.col("item_pos") + F.col("size")).alias("hi")
     )
+    diagonals = written(diagonals, "diagonals")
     # one copy of each text that met an item, cut to its words
     wanted = diagonals.select("doc_id", "text_hash").distinct()
     texts = narrow.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))

@@ -25,6 +25,8 @@ empty results.  Other columns of the inputs are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,45 +46,71 @@ NUMBER, UNIT, NAME = "{n}", "{u}", "{x}"
 PLACEHOLDERS = (NUMBER, UNIT, NAME)
 
 
+def either(words: list[str]) -> str:
+    """A pattern for any of the words, factored by common prefixes so that few
+    alternatives are tried at a place (longer words first)."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        heads.setdefault(w[:1], []).append(w[1:])
+    last = "?" if heads.pop("", None) else ""
+    parts = [re.escape(h) + either(sorted(set(rest))) for h, rest in sorted(heads.items())]
+    return f"(?:{'|'.join(parts)}){last}" if parts else ""
+
+
 def plain_words(text: Column) -> Column:
     """Words that hold a letter or digit, as written."""
-    text = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    return F.filter(F.split(text, " "), lambda w: w.rlike(r"[\p{L}\p{N}]"))
+    text = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x09-\x0D]", " ")
+    return F.filter(F.split(text, " "), lambda w: w.rlike(r"[0-9A-Za-z]|[\p{L}\p{N}]"))
 
 
 def template_words(raw: Column) -> Column:
     """The template word of every word of an array, in place.
 
-    Works on the joined text: a word never holds a space, so marks can be
-    placed by look-around and the words stay aligned.
+    Works on the joined text: a word never holds a space, so words stay aligned.
+    Every pattern starts with a space or a character range, which the regex
+    engine rejects quickly elsewhere.
     """
     t = F.concat(F.lit(" "), F.array_join(raw, " "), F.lit(" "))
+    t = F.replace(F.replace(t, F.lit("{"), F.lit("")), F.lit("}"), F.lit(""))
     # names: capitalised, not all capitals, and the word before does not end a sentence
-    t = F.regexp_replace(t, r"(?<=[^\s.!?:] )[^\p{L}\p{N}\s]*\p{Lu}[\p{Ll}\p{M}]+(?:['’-]\p{L}+)*[^\p{L}\p{N}\s]*(?= )", NAME)
+    t = F.regexp_replace(t, r" (?<=[^\s.!?:] )[^\p{L}\p{N}\s]*\p{Lu}[\p{Ll}\p{M}]+(?:['’-]\p{L}+)*[^\p{L}\p{N}\s]*(?= )", " " + NAME)
     t = F.lower(t)
-    t = F.regexp_replace(t, rf" [^\p{{L}}\p{{N}}\s]*(?:\p{{N}}[\p{{N}}.,:/]*(?:st|nd|rd|th)?|{'|'.join(NUMBER_WORDS)})[^\p{{L}}\p{{N}}\s]*(?= )", " " + NUMBER)
-    t = F.regexp_replace(t, rf"(?<= \{{n\}}) [^\p{{L}}\p{{N}}\s]*(?:{'|'.join(UNITS)})[^\p{{L}}\p{{N}}\s]*(?= )", " " + UNIT)
-    t = F.regexp_replace(t, r"[^\p{L}\p{M}\p{N} {}]+|\{(?![nux]\} )|(?<! \{[nux])\}", "")
+    t = F.regexp_replace(t, rf" [^\p{{L}}\p{{N}}\s]*(?:\p{{N}}[\p{{N}}.,:/]*(?:st|nd|rd|th)?|{either(NUMBER_WORDS)})[^\p{{L}}\p{{N}}\s]*(?= )", " " + NUMBER)
+    t = F.regexp_replace(t, rf" \{{n\}} [^\p{{L}}\p{{N}}\s]*{either(UNITS)}[^\p{{L}}\p{{N}}\s]*(?= )", f" {NUMBER} {UNIT}")
+    # punctuation goes: ASCII first, then what else is no letter, mark or digit
+    t = F.regexp_replace(t, r"[\x00-\x1F!-/:-@\[-`|~\x7F]+|[^\x00-\x7F\p{L}\p{M}\p{N}]+", "")
     return F.filter(F.split(t, " "), lambda w: w != "")
 
 
-def windows(template: Column, size: Column | int) -> Column:
-    """``array<struct<pos, hash>>`` of all windows of ``size`` template words."""
-    size = size if isinstance(size, Column) else F.lit(size)
+def run_hashes(hashes: Column, size: int) -> Column:
+    """Hash of every ``size`` consecutive hashes of an array with at least so many,
+    built by doubling: log2(size) steps per element instead of ``size``."""
+    if size == 1:
+        return hashes
+    back = size // 2 if size % 2 == 0 else 1
 
+    def join(a: Column) -> Column:
+        n = F.size(hashes) - (size - 1)
+        return F.zip_with(F.slice(a, 1, n), F.slice(hashes if size % 2 else a, size - back + 1, n), lambda x, y: F.xxhash64(x, y))
+
+    return let(run_hashes(hashes, size - back), join)
+
+
+def windows(template: Column, size: int) -> Column:
+    """``array<struct<pos, hash>>`` of all windows of ``size`` template words."""
     def of(hashes: Column) -> Column:
-        spots = F.when(F.size(hashes) >= size, F.sequence(F.lit(0), F.size(hashes) - size)).otherwise(F.array().cast("array<int>"))
-        return F.transform(spots, lambda i: F.struct(i.alias("pos"), F.xxhash64(size, F.slice(hashes, i + 1, size)).alias("hash")))
+        runs = F.when(F.size(hashes) >= size, run_hashes(hashes, size)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(runs, lambda v, i: F.struct(i.alias("pos"), F.xxhash64(v, F.lit(size)).alias("hash")))
 
     return let(F.transform(template, lambda w: F.xxhash64(w)), of)
 
 
-def item_windows(template: Column, size: Column, min_literals: int, full: int) -> Column:
+def item_windows(template: Column, size: int, min_literals: int, full: int) -> Column:
     """The same, without windows that hold too few words that are no placeholders:
     ``min_literals`` of ``full`` words are asked, as large a share of fewer.  A
     document window that matches one of them is the same template, so documents
     need no such check."""
-    asked = F.least(F.lit(min_literals), F.ceil(size * min_literals / full))
+    asked = min(min_literals, -(-size * min_literals // full))
 
     def literals(w: Column) -> Column:
         return F.size(F.filter(F.slice(template, w["pos"] + 1, size), lambda x: ~x.isin(*PLACEHOLDERS)))
@@ -99,10 +127,12 @@ def leaks(
     ``reparameterised``.  ``text_hash`` tells repeated ids with other texts apart."""
     bench = items.select(F.col(item_id).alias("item_id"), plain_words(F.col(item_text)).alias("raw")).where("size(raw) > 0")
     bench = bench.select("item_id", "raw", template_words(F.col("raw")).alias("template"))
-    length = F.least(F.lit(window), F.size("template"))
-    keys = bench.select("item_id", "raw", "template", length.alias("size"), F.explode(item_windows(F.col("template"), length, min_literals, window)).alias("w"))
+    bench = bench.withColumn("size", F.least(F.lit(window), F.size("template")))
+    sizes = sorted(r[0] for r in bench.select("size").distinct().collect()) or [window]  # at most `window` numbers
+    none = F.array().cast("array<struct<pos:int,hash:bigint>>")
+    of_size = [F.when(F.col("size") == n, item_windows(F.col("template"), n, min_literals, window)).otherwise(none) for n in sizes]
+    keys = bench.select("item_id", "size", F.explode(F.concat(*of_size)).alias("w"))
     keys = keys.select("item_id", "size", F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"))
-    sizes = sorted(r[0] for r in keys.select("size").distinct().collect()) or [window]  # at most `window` numbers
     small = keys.count() <= broadcast_rows
 
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).cast("string").alias("text"))

@@ -3,9 +3,9 @@
 The pacer's loop ``a_i = max(t_i, a_{i-1} + s)`` (first call free) has the
 closed form ``a_i = i*s + max_{j<=i}(t_j - j*s)`` with i counted from 0 in
 (t, id) order per endpoint class.  A class can hold most of the log, so the
-scan is not a window over the class: rows are range-partitioned on (class,
-t, id), each partition computes local indexes and maxima, and a small table
-of per-partition totals carries the prefix across partition borders.
+scan is not a window over the class: rows are cut into time buckets of fixed
+width, each bucket computes local indexes and maxima, and a table of bucket
+totals carries the prefix across bucket borders.
 """
 
 from __future__ import annotations
@@ -19,32 +19,16 @@ def _micros(ts_col: str):
     return F.unix_micros(F.col(ts_col).cast("timestamp"))
 
 
-def _range_scan(df: DataFrame, key: str, t: str, tie: str, partitions: int | None = None) -> DataFrame:
-    """Add ``_pid`` (time bucket inside the key) and ``_k`` (0-based index inside (key, bucket)) in (t, tie) order.
-
-    Buckets are cut at approximate quantiles of ``t`` per key, computed once
-    and fixed as literals, so every branch of the plan assigns the same
-    bucket to a row (a sampled range shuffle would not).  The summary holds
-    (keys x buckets) numbers; the key here is a configured endpoint class.
-    """
-    n = max(1, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    qs = [i / n for i in range(1, n)]
-    bounds: dict = {}
-    if qs:
-        for row in df.groupBy(key).agg(F.percentile_approx(t, qs, 10_000).alias("b")).collect():
-            bounds[row[key]] = sorted(set(int(x) for x in row["b"]))
-    if bounds:
-        m = F.create_map(*[x for k, b in bounds.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in b]).cast("array<long>"))])
-        pid = F.size(F.filter(F.coalesce(F.element_at(m, F.col(key)), F.array().cast("array<long>")), lambda b: b <= F.col(t)))
-    else:
-        pid = F.lit(0)
-    ranged = df.withColumn("_pid", pid.cast("int"))
+def _bucket_scan(df: DataFrame, key: str, t: str, tie: str, bucket_s: int) -> DataFrame:
+    """Add ``_pid`` (time bucket of ``bucket_s`` seconds) and ``_k`` (0-based index inside
+    (key, bucket)) in (t, tie) order; ``t`` is in microseconds."""
+    cut = df.withColumn("_pid", F.floor(F.col(t) / F.lit(bucket_s * 1_000_000)))
     w = Window.partitionBy(key, "_pid").orderBy(t, tie)
-    return ranged.withColumn("_k", (F.row_number().over(w) - 1).cast("long"))
+    return cut.withColumn("_k", (F.row_number().over(w) - 1).cast("long"))
 
 
 def paced_schedule(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoint", rid: str = "event_id",
-                   partitions: int | None = None) -> DataFrame:
+                   bucket_s: int = 3600) -> DataFrame:
     """Earliest allowed send time of every request under the per-class spacing.
 
     Adds ``endpoint_class``, ``seq`` (0-based position in its class),
@@ -52,10 +36,10 @@ def paced_schedule(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoin
     """
     base = requests.select("*", endpoint_class(F.col(endpoint)).alias("endpoint_class"), _micros(ts).alias("t_us"))
     base = base.withColumn("_s", (min_spacing(F.col("endpoint_class")) * F.lit(1_000_000)).cast("long"))
-    scanned = _range_scan(base, "endpoint_class", "t_us", rid, partitions)
+    scanned = _bucket_scan(base, "endpoint_class", "t_us", rid, bucket_s)
     wl = Window.partitionBy("endpoint_class", "_pid").orderBy("t_us", rid).rowsBetween(Window.unboundedPreceding, 0)
     scanned = scanned.withColumn("_lmax", F.max(F.col("t_us") - F.col("_k") * F.col("_s")).over(wl))
-    # one row per (partition, class): row count and local maximum
+    # one row per (bucket, class): row count and local maximum
     tot = scanned.groupBy("_pid", "endpoint_class").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_lmax").alias("_m"), F.first("_s").alias("_ss")
     )
@@ -63,8 +47,7 @@ def paced_schedule(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoin
     tot = tot.withColumn("_off", F.coalesce(F.sum("_n").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
     tot = tot.withColumn("_adj", F.col("_m") - F.col("_off") * F.col("_ss"))
     tot = tot.withColumn("_prev", F.max("_adj").over(wp.rowsBetween(Window.unboundedPreceding, -1)))
-    # the totals table has one row per (shuffle partition, class): its size is bounded by configuration
-    j = scanned.join(F.broadcast(tot.select("_pid", "endpoint_class", "_off", "_prev")), ["_pid", "endpoint_class"])
+    j = scanned.join(tot.select("_pid", "endpoint_class", "_off", "_prev"), ["_pid", "endpoint_class"])
     seq = F.col("_off") + F.col("_k")
     best = F.greatest(F.col("_lmax") - F.col("_off") * F.col("_s"), F.coalesce(F.col("_prev"), F.col("_lmax") - F.col("_off") * F.col("_s")))
     out = j.select(*requests.columns, "endpoint_class", seq.alias("seq"), "t_us", (seq * F.col("_s") + best).alias("send_us"))
@@ -72,23 +55,23 @@ def paced_schedule(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoin
 
 
 def spacing_violations(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoint", rid: str = "event_id",
-                       partitions: int | None = None) -> DataFrame:
+                       bucket_s: int = 3600) -> DataFrame:
     """Every request with the gap to the previous call of its class (null for the first) and a flag.
 
     ``violates`` is true when the gap is below the class spacing.  The
-    previous call of a partition's first row comes from the last row of the
-    partitions before it (a small per-partition table), not from a window
-    over the whole class.
+    previous call of a bucket's first row comes from the last row of the
+    buckets before it (a table of bucket ends), not from a window over the
+    whole class.
     """
     base = requests.select("*", endpoint_class(F.col(endpoint)).alias("endpoint_class"), _micros(ts).alias("t_us"))
     base = base.withColumn("_s", (min_spacing(F.col("endpoint_class")) * F.lit(1_000_000)).cast("long"))
-    scanned = _range_scan(base, "endpoint_class", "t_us", rid, partitions)
+    scanned = _bucket_scan(base, "endpoint_class", "t_us", rid, bucket_s)
     w = Window.partitionBy("endpoint_class", "_pid").orderBy("t_us", rid)
     scanned = scanned.withColumn("_lag", F.lag("t_us").over(w))
     last = scanned.groupBy("_pid", "endpoint_class").agg(F.max_by("t_us", F.struct("t_us", rid)).alias("_last"))
     wp = Window.partitionBy("endpoint_class").orderBy("_pid")
     last = last.withColumn("_before", F.last("_last").over(wp.rowsBetween(Window.unboundedPreceding, -1)))
-    j = scanned.join(F.broadcast(last.select("_pid", "endpoint_class", "_before")), ["_pid", "endpoint_class"])
+    j = scanned.join(last.select("_pid", "endpoint_class", "_before"), ["_pid", "endpoint_class"])
     prev = F.when(F.col("_k") == 0, F.col("_before")).otherwise(F.col("_lag"))
     gap = F.col("t_us") - prev
     return j.select(*requests.columns, "endpoint_class", "t_us", gap.alias("gap_us"),

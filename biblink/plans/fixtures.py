@@ -194,7 +194,7 @@ class Fixtures:
 
     @cached_property
     def papers(self) -> DataFrame:
-        """fx_papers in the nested paper-record shape (see ``schemas.PAPER_FIELDS``)."""
+        """fx_papers in the nested paper-record shape (fields of ``records.PAPER_FIELDS``)."""
         fx = self.view("fx_papers")
         ids = F.map_from_entries(
             F.filter(

@@ -23,8 +23,8 @@ def _spacing_us(cls):
 def test_paced_schedule_equals_loop(spark, fx):
     import golden as G
 
-    for parts in (1, 3, 8):
-        out = {r.event_id: r.send_us for r in paced_schedule(fx.fx_requests, partitions=parts).collect()}
+    for width in (600, 3600, 10**9):
+        out = {r.event_id: r.send_us for r in paced_schedule(fx.fx_requests, bucket_s=width).collect()}
         groups = defaultdict(list)
         for r in fx.fx_requests.collect():
             us = int(r.ts.timestamp() * 1_000_000) if r.ts.tzinfo else None
@@ -37,7 +37,7 @@ def test_paced_schedule_equals_loop(spark, fx):
 
 
 def test_spacing_violations(spark, fx):
-    out = {r.event_id: r for r in spacing_violations(fx.fx_requests, partitions=4).collect()}
+    out = {r.event_id: r for r in spacing_violations(fx.fx_requests, bucket_s=7200).collect()}
     t_of = {r.event_id: (r.t, r.endpoint) for r in fx.fx_requests.selectExpr("event_id", "endpoint", "unix_micros(CAST(ts AS TIMESTAMP)) AS t").collect()}
     groups = defaultdict(list)
     for eid, (t, e) in t_of.items():

@@ -47,3 +47,26 @@ def test_replayed_check_batch_writes_once(spark, tmp_path, fx):
     for ck in ("ck1", "ck2"):  # a lost stream checkpoint replays batch 0
         T.stream_check(spark.readStream.schema(schema).parquet(src), fx.papers, out, str(tmp_path / ck)).awaitTermination()
     assert spark.read.parquet(out).count() == 20
+
+
+def test_dedupe_expires_and_drops_late_rows(spark, tmp_path):
+    """Several micro-batches with a delay of one hour: a repeat within the delay goes, a late
+    row goes (one batch after the watermark passed it), and a key comes again once its
+    state has expired."""
+    import os
+
+    from biblink.streaming import jobs as T
+
+    batches = [[("k1", "10:00")], [("k1", "10:20"), ("k2", "12:30")], [("k2", "12:40")], [("k1", "13:00"), ("k3", "10:30")]]
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for i, rows in enumerate(batches):
+        f = src / f"{i}.json"
+        f.write_text("\n".join('{"request_key": "%s", "ts": "2024-01-01 %s:00"}' % r for r in rows))
+        os.utime(f, (1_000_000 + i, 1_000_000 + i))
+    stream = spark.readStream.schema("request_key string, ts timestamp").option("maxFilesPerTrigger", 1).json(str(src))
+    q = (T.stream_dedupe_requests(stream, "1 hour").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.request_key, str(r.ts)[11:16]) for r in spark.read.parquet(out).collect())
+    assert got == [("k1", "10:00"), ("k1", "13:00"), ("k2", "12:30")]

@@ -145,12 +145,14 @@ def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
 def token_counts(df: DataFrame, pieces: Iterable[bytes], id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_words, n_tokens``: A-Z lower-cased words between ASCII white space."""
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(build(pieces))
+    built = build(pieces)
+    # plain arrays: executors need no class of this package to read them
+    shared = spark.sparkContext.broadcast((built.keys, built.targets, built.fail, built.pops))
     narrow = df.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, n_words bigint, n_tokens bigint"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a = shared.value
+        a = Automaton(*shared.value)
         for batch in batches:
             number: dict[bytes, int] = {}
             each = []

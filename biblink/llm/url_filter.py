@@ -33,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, written
 
 #: (verdict, host, path)
 Rule = tuple[str, str, str]
@@ -85,10 +85,12 @@ def templates(
         .groupBy("host", "segments")
         .agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
-    prior = shapes.agg(((F.sum("labelled") - F.sum("bad") + 1) / (F.sum("labelled") + 1)).alias("prior"))
-    tree = shapes.withColumn("node", F.array().cast("array<string>"))
+    # every level reads the one above three times: each is written once, so the plan
+    # does not grow with the depth
+    tree = written(shapes.withColumn("node", F.array().cast("array<string>")), "tree")
     for level in range(depth):
-        tree = _grow(tree, level, max_children, z)
+        tree = written(_grow(tree, level, max_children, z), "tree")
+    prior = tree.agg(((F.sum("labelled") - F.sum("bad") + 1) / (F.sum("labelled") + 1)).alias("prior"))
     total = tree.groupBy(F.col("host").alias("h"), F.col("node").alias("t")).agg(F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
     purity = (F.col("all_labelled") - F.col("all_bad") + m * F.coalesce("prior", F.lit(1.0))) / (F.col("all_labelled") + m)
     judged = total.join(F.broadcast(prior))  # one row

@@ -83,9 +83,11 @@ def mix(
     tokens = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     coded = df.withColumn(n_tokens, tokens)
     for axis, (expr, targets) in zip(axes, margins.values(), strict=True):
+        # a generator of one row: the category is computed once, not once per target
+        coded = coded.select("*", F.explode(F.array(expr)).alias(axis))
         index = F.lit(len(targets))
         for i, v in enumerate(targets):
-            index = F.when(expr == v, F.lit(i)).otherwise(index)
+            index = F.when(F.col(axis) == v, F.lit(i)).otherwise(index)
         coded = coded.withColumn(axis, index)
     place = F.lit(0)
     for axis, v in zip(axes, values, strict=True):

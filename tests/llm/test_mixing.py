@@ -49,3 +49,58 @@ def test_nulls_repeats_and_empty(spark):
     same = [r.sampled for r in out.collect() if r.doc_id == 1]
     assert same[0] == same[1]
     assert _mix(spark.createDataFrame([], SCHEMA), 0.5).count() == 0
+
+
+def production_targets():
+    from biblink.llm import queries as q
+
+    return [np.array([*t.values(), 1 - sum(t.values())]) for t in (q.SOURCE_TARGETS, q.LANG_TARGETS, q.TOPIC_TARGETS)]
+
+
+def scarce_and_plenty():
+    """Cells where src0 has under half of its target (as in sf0.1), and where it has far more."""
+    rng = np.random.default_rng(6)
+    for src0 in (0.048, 0.33):
+        source = np.array([src0, *[(0.999 - src0) / 19] * 19, 0.001])
+        cells = source[:, None, None] * np.array([0.6, 0.14, 0.14, 0.1, 0.02])[:, None] * np.array([0.9, 0.04, 0.04, 0.02])
+        yield np.round(cells * rng.uniform(0.7, 1.3, cells.shape) * 1e7)
+
+
+def test_production_targets_are_met_at_the_production_budgets():
+    from biblink.llm import queries as q
+    import corpus_pipeline
+
+    targets = production_targets()
+    for cells in scarce_and_plenty():
+        for budget in (q.TOKEN_BUDGET, corpus_pipeline.MIX_BUDGET):
+            weights, kept = m.fit(cells, targets, budget)
+            p = m.probabilities(cells, weights, kept)
+            assert (p <= 1).all() and 0 < kept <= budget
+            assert np.isclose((p * cells).sum(), kept * cells.sum())
+            for got, want in zip(m.margins_of(p * cells), targets, strict=True):
+                assert np.abs(got - want).max() < 1e-4
+            # no cut beyond need: some cell gives all it has, or the budget is used
+            assert kept > budget - 1e-9 or p.max() > 0.999
+
+
+def test_a_reachable_budget_is_kept_by_raking_again():
+    # 1 / largest free weight is below the budget, yet weights within the bound fit
+    cells = np.array([[10.0, 90.0], [90.0, 210.0]])
+    targets = [np.array([0.45, 0.55]), np.array([0.4, 0.6])]
+    budget = 0.54
+    assert budget * m.rake(cells, targets).max() > 1
+    weights, kept = m.fit(cells, targets, budget)
+    assert kept == budget and (weights * budget <= 1 + 1e-9).all()
+    for got, want in zip(m.margins_of(weights * cells), targets, strict=True):
+        assert np.abs(got - want).max() < 1e-4
+
+
+def test_report_holds_reached_shares_beside_targets(spark):
+    rows = [(i, "w " * 5, "a" if i % 10 == 0 else "b", "en", "x") for i in range(2000)]
+    margins = {"source": (F.col("source"), {"a": 0.4, "b": 0.6})}
+    out, report = m.mix_and_report(spark.createDataFrame(rows, SCHEMA), margins, budget=0.8, into=("n_tokens", "w", "p", "sampled"))
+    assert report.budget == 0.8 and abs(report.kept - 0.25) < 1e-3
+    got = {s.value: s for s in report.shares}
+    assert abs(got["a"].reached - 0.4) < 1e-4 and abs(got["a"].data - 0.1) < 1e-9 and got["a"].target == 0.4
+    kept = {r.source: r["count"] for r in out.where("sampled").groupBy("source").count().collect()}
+    assert kept["a"] == 200 and abs(kept["a"] / sum(kept.values()) - 0.4) < 0.05

@@ -9,11 +9,16 @@ slots of an item must be refilled consistently, that is, one item value always
 by the same document value.  So a question with other numbers or names is
 caught, and a chance meeting of placeholders is not.
 
-A window must hold ``min_literals`` words that are not placeholders (a shorter
+A template window must hold ``min_literals`` words that are not placeholders (a shorter
 one as large a share), and a document leaks an item when the matched windows of a diagonal cover
 ``min_words`` words or ``min_share`` of the item.  Items shorter than a window
 are matched as one window of their own length.
 
+Beside them the windows of the plain words, lower-cased and without punctuation
+but with no placeholders, take part in the same join, and none of them is left
+out.  So a copy word for word is found whatever its share of numbers, units and
+names, and whatever the case on either side.
+
 The benchmark windows are counted first: up to ``broadcast_rows`` of them are
 broadcast, more are joined by a shuffle of the document windows' hashes.
 
@@ -77,7 +82,18 @@ def template_words(raw: Column) -> Column:
     t = F.lower(t)
     t = F.regexp_replace(t, rf" [^\p{{L}}\p{{N}}\s]*(?:\p{{N}}[\p{{N}}.,:/]*(?:st|nd|rd|th)?|{either(NUMBER_WORDS)})[^\p{{L}}\p{{N}}\s]*(?= )", " " + NUMBER)
     t = F.regexp_replace(t, rf" \{{n\}} [^\p{{L}}\p{{N}}\s]*{either(UNITS)}[^\p{{L}}\p{{N}}\s]*(?= )", f" {NUMBER} {UNIT}")
-    # punctuation goes: ASCII first, then what else is no letter, mark or digit
+    return _without_punctuation(t)
+
+
+def lower_words(raw: Column) -> Column:
+    """The plain word of every word of an array, in place: lower-cased, no placeholders."""
+    t = F.lower(F.array_join(raw, " "))
+    return _without_punctuation(F.replace(F.replace(t, F.lit("{"), F.lit("")), F.lit("}"), F.lit("")))
+
+
+def _without_punctuation(t: Column) -> Column:
+    """The words of a text: ASCII punctuation goes first, then what else is no letter,
+    mark or digit; braces stay, as placeholders have them."""
     t = F.regexp_replace(t, r"[\x00-\x1F!-/:-@\[-`|~\x7F]+|[^\x00-\x7F\p{L}\p{M}\p{N}]+", "")
     return F.filter(F.split(t, " "), lambda w: w != "")
 
@@ -97,7 +113,7 @@ def run_hashes(hashes: Column, size: int) -> Column:
 
 
 def windows(template: Column, size: int) -> Column:
-    """``array<struct<pos, hash>>`` of all windows of ``size`` template words."""
+    """``array<struct<pos, hash>>`` of all windows of ``size`` words."""
     def of(hashes: Column) -> Column:
         runs = F.when(F.size(hashes) >= size, run_hashes(hashes, size)).otherwise(F.array().cast("array<bigint>"))
         return F.transform(runs, lambda v, i: F.struct(i.alias("pos"), F.xxhash64(v, F.lit(size)).alias("hash")))
@@ -118,6 +134,18 @@ def item_windows(template: Column, size: int, min_literals: int, full: int) -> C
     return F.filter(windows(template, size), lambda w: literals(w) >= asked)
 
 
+def document_windows(template: Column, plain: Column, size: int) -> Column:
+    """``array<struct<pos, hash, plain>>``: the template windows, and the plain windows
+    that differ from the template window at their place (it holds a placeholder)."""
+    marked = lambda w, kind: F.struct(w["pos"].alias("pos"), w["hash"].alias("hash"), F.lit(kind).alias("plain"))
+
+    def of(w: Column) -> Column:
+        others = F.filter(F.zip_with(w["t"], w["p"], lambda x, y: F.when(x["hash"] != y["hash"], marked(y, True))), lambda x: x.isNotNull())
+        return F.concat(F.transform(w["t"], lambda x: marked(x, False)), others)
+
+    return let(F.struct(windows(template, size).alias("t"), windows(plain, size).alias("p")), of)
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = 8, min_literals: int = 5, min_words: int = 13, min_share: float = 0.8, broadcast_rows: int = 1_000_000,
@@ -126,26 +154,37 @@ def leaks(
     item_words, n_slots, kind`` of the best diagonal; ``kind`` is ``verbatim`` or
     ``reparameterised``.  ``text_hash`` tells repeated ids with other texts apart."""
     bench = items.select(F.col(item_id).alias("item_id"), plain_words(F.col(item_text)).alias("raw")).where("size(raw) > 0")
-    bench = bench.select("item_id", "raw", template_words(F.col("raw")).alias("template"))
+    bench = bench.select("item_id", "raw", template_words(F.col("raw")).alias("template"), lower_words(F.col("raw")).alias("plain"))
     bench = bench.withColumn("size", F.least(F.lit(window), F.size("template")))
     sizes = sorted(r[0] for r in bench.select("size").distinct().collect()) or [window]  # at most `window` numbers
     none = F.array().cast("array<struct<pos:int,hash:bigint>>")
-    of_size = [F.when(F.col("size") == n, item_windows(F.col("template"), n, min_literals, window)).otherwise(none) for n in sizes]
-    keys = bench.select("item_id", "size", F.explode(F.concat(*of_size)).alias("w"))
-    keys = keys.select("item_id", "size", F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"))
+
+    def keys_of(kind: str, of) -> DataFrame:
+        arrays = [F.when(F.col("size") == n, of(n)).otherwise(none) for n in sizes]
+        return bench.select("item_id", "size", F.explode(F.concat(*arrays)).alias("w")).select("item_id", "size", F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"), F.lit(kind).alias("kind"))
+
+    keys = keys_of("template", lambda n: item_windows(F.col("template"), n, min_literals, window)).union(keys_of("plain", lambda n: windows(F.col("plain"), n)))
+    keys = keys.groupBy("item_id", "size", "item_pos", "hash").agg(F.max(F.col("kind") == "template").alias("by_template"))
     small = keys.count() <= broadcast_rows
 
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).cast("string").alias("text"))
+    split = let(plain_words(F.col("text")), lambda raw: F.struct(template_words(raw).alias("template"), lower_words(raw).alias("plain")))
     found = narrow.select(
         "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.explode(let(template_words(plain_words(F.col("text"))), lambda t: F.concat(*(windows(t, n) for n in sizes)))).alias("w"),
-    ).select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
+        F.explode(let(split, lambda w: F.concat(*(document_windows(w["template"], w["plain"], n) for n in sizes)))).alias("w"),
+    ).select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.plain").alias("plain"))
     met = found.join(F.broadcast(keys) if small else keys, "hash")
-    # matched windows per diagonal; repeated windows of an item count once each.  Read
+    # the stretch of a diagonal that windows matched by template span, and the one of all
+    # windows: plain windows add to what templates find and take nothing from it.  Read
     # twice below, so written once: the pass over all texts runs once
+    by_template = F.col("by_template") & ~F.col("plain")
+    end = F.col("item_pos") + F.col("size")
     diagonals = met.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.count_distinct("item_pos").alias("hits"), F.min("item_pos").alias("lo"), F.max(F.col("item_pos") + F.col("size")).alias("hi")
+        F.struct(F.min("item_pos").alias("lo"), F.max(end).alias("hi")).alias("all"),
+        F.struct(F.min(F.when(by_template, F.col("item_pos"))).alias("lo"), F.max(F.when(by_template, end)).alias("hi")).alias("matched"),
     )
+    stretches = F.array_distinct(F.filter(F.array("all", "matched"), lambda x: x["lo"].isNotNull()))
+    diagonals = diagonals.select("doc_id", "text_hash", "item_id", "shift", F.explode(stretches).alias("x")).select("doc_id", "text_hash", "item_id", "shift", "x.lo", "x.hi")
     diagonals = written(diagonals, "diagonals")
     # one copy of each text that met an item, cut to its words
     wanted = diagonals.select("doc_id", "text_hash").distinct()

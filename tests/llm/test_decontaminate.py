@@ -57,3 +57,40 @@ def test_words_stay_aligned(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(d.plain_words(F.col("t")).alias("raw"))
     for r in df.select("raw", d.template_words(F.col("raw")).alias("template")).collect():
         assert len(r.raw) == len(r.template), (r.raw, r.template)
+
+
+#: Under 5 of any 8 words are no placeholders.
+DENSE = "12 kg 7 cm 95 mi 1804 31 may 1804 14 oz 66 lb 203 km 8 ft 451 mm 1999 2001 17 g"
+
+
+def test_verbatim_copies_of_dense_items_are_found(spark):
+    other = DENSE.replace("1804", "1805").replace("95", "96").replace("203", "204").replace("14", "15").replace("451", "452")
+    titled = "Anna Berg, Carl Dahl, Emil Falk, Greta Holm, Ida Juhl, Karl Lund, Maja Nord, Olof Palm"
+    docs = rows(FILL + DENSE + " " + FILL, FILL + other, FILL + "we met " + titled + " there", FILL + titled.lower() + " " + FILL, FILL)
+    for how in ({}, {"broadcast_rows": 0}):
+        got = leaks(spark, docs, items=[(1, DENSE), (2, titled)], **how)[1]
+        assert {k for k in got} == {(0, 1), (2, 2), (3, 2)} and set(got.values()) == {"verbatim"}
+
+
+def test_case_of_a_copy_does_not_matter(spark):
+    lower = "yesterday morning the old farmer asked whether the new barn built last summer would hold enough hay for every cow"
+    named = "We know that Robert Smith asked Susan Jones whether Peter Brown would visit Paris with Maria and Carla before Easter Sunday"
+    docs = rows(FILL + lower.title(), FILL + named.lower(), FILL + named.upper(), FILL + named, FILL)
+    got = leaks(spark, docs, items=[(1, lower), (2, named)])[1]
+    assert got == {(0, 1): "verbatim", (1, 2): "verbatim", (2, 2): "verbatim", (3, 2): "verbatim"}
+
+
+def test_plain_windows_take_nothing_from_what_templates_find(spark):
+    # only plain windows reach the dense head; its 7 stays, the 7 of the rest is refilled
+    item = "7 cm 95 mi 8 ft 66 lb the farmer took apples from the small market near the old river and then paid 7 dollars for the long walk home that night"
+    assert leaks(spark, rows(FILL + item.replace("paid 7", "paid 9")), items=[(1, item)])[1] == {(0, 1): "reparameterised"}
+
+
+def test_plain_words_stay_aligned(spark):
+    from pyspark.sql import functions as F
+
+    texts = [ITEM, "a | b -- c {d} e} {n} 3.5kg 7 km/h (Anna's) Mr. Old-Smith 1st, ..., x", "", "Ünïcode Žena šla 3 m. ² İ ① x\x1fy"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(d.plain_words(F.col("t")).alias("raw"))
+    for r in df.select("raw", d.lower_words(F.col("raw")).alias("plain"), d.template_words(F.col("raw")).alias("template")).collect():
+        assert len(r.raw) == len(r.plain) == len(r.template), (r.raw, r.plain)
+        assert not {*d.PLACEHOLDERS} & {*r.plain}

@@ -66,3 +66,24 @@ def test_empty(spark):
 def test_shapes(spark):
     got = spark.createDataFrame([(x,) for x in ["12", "12.html", "deadbeef01", "a1-b2", "en", "", ".html"]], "s string").select(u.shape(F.col("s"))).collect()
     assert [r[0] for r in got] == ["{num}", "{num}.html", "{hex}", "{id}", "en", "", ".html"]
+
+
+def verdicts(spark, sections):
+    """Verdicts of pages by section: 40 labelled pages each, the last section purely bad."""
+    rows = [(100 * i + j, f"http://s.net/{x}/{j}", None, None) for i, x in enumerate(sections) for j in range(40)]
+    labels = spark.createDataFrame([(r[0], 1, int(r[0] // 100 == len(sections) - 1)) for r in rows], "doc_id long, quality int, toxic int")
+    df = pages(spark, rows)
+    out = u.judge(df, u.templates(df, labels), []).collect()
+    return {v: {r.page_id // 100 for r in out if r.verdict == v} for v in ("allow", "block")}
+
+
+def test_bad_section_is_blocked_among_any_number_of_sections(spark):
+    for n in (50, 51, 120):
+        names = [f"s{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n)]
+        assert verdicts(spark, names) == {"allow": set(range(n - 1)), "block": {n - 1}}
+
+
+def test_branches_differ_at_any_depth(spark):
+    for deep in (4, 7):
+        names = ["/".join("abcdefgh"[:deep]) + f"/{x}" for x in ("good", "fine", "bad")]
+        assert verdicts(spark, names) == {"allow": {0, 1}, "block": {2}}

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, lbl, mixing, quality_rules, shards, simhash, suffix_dedup, token_count, url_filter
+from . import chat_format, decontaminate, embeddings, lbl, mixing, quality_rules, resample, runs, shards, simhash, suffix_dedup, token_count, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,3 +138,98 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_lbl_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resample.resample(docs, target, percent=10, min_words=20, ngram=1, buckets=10_000, seed=2024)
+
+
+#: CRC-32 of UTF-8 text by its definition: 256 remainders of the polynomial, then a byte at a time.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"""
+
+
+def crc_sql(text: str) -> str:
+    byte = f"('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT"
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode({text}))), lambda k: {byte})),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+
+def _folded(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+ORACLE["op11_resample"] = rf"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, unnest(regexp_extract_all({_folded("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+q AS (SELECT unnest(regexp_extract_all({_folded("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+b AS (SELECT w, {crc_sql("w")} % 10000 AS bucket FROM (SELECT w FROM d UNION SELECT w FROM q) AS x, crc),
+s AS (SELECT bucket, count(*) AS n FROM d JOIN b USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM q JOIN b USING (w) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE)
+    / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+m AS (SELECT doc_id, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM d JOIN b USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN m USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * able // 100 THEN rank END AS rank FROM scored LEFT JOIN r USING (doc_id)"""
+
+
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Fixed by the contract of op12: in a tenth of the documents the words from some place on repeat."""
+    if doc_id is None or not words:
+        return words
+    h = crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    whole, rest = divmod(n - a, p)
+    cycle = words[a : a + p]
+    return words[:a] + cycle * whole + cycle[:rest]
+
+
+@query
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(table(spark, sf_dir, "documents"), min_length=6, times=4, change=repeated_tail)
+
+
+# Every run has at least five words in a row that equal those one period on.  Stretches of such
+# pairs at one distance are its candidates; of equal stretches the smallest period counts.
+ORACLE["op12_runs"] = rf"""
+WITH {CRC_TABLE},
+o AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS o, {crc_sql("doc_id::VARCHAR")} AS h FROM documents, crc),
+p AS (SELECT *, len(o) AS n, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) ELSE len(o) END AS a FROM o),
+d AS (SELECT doc_id, n, CASE WHEN a = n THEN o ELSE list_concat(o[:a], list_transform(range(a, n), lambda i: o[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1])) END AS w FROM p),
+g AS (SELECT doc_id, i, hash(w[i + 1], w[i + 2], w[i + 3], w[i + 4], w[i + 5]) AS k FROM (SELECT doc_id, w, unnest(range(n - 4)) AS i FROM d WHERE n > 4) AS x),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM g AS x JOIN g AS y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i),
+isl AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS isle FROM pairs),
+cand AS (SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length FROM isl GROUP BY doc_id, q, isle HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM cand GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+sets AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+a AS (SELECT doc_id, count(*) AS n_runs, arg_max(struct_pack(s := start, l := length, p := period), struct_pack(x := length::DOUBLE / period, y := -start, z := -period)) AS b,
+  sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256 FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.p AS period, 1000 * b.l // b.p AS exponent_milli,
+  coalesce(runs_sha256, sha256('')) AS runs_sha256,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(range(n), lambda i: NOT list_contains(gone, i)), lambda i: w[i + 1]) END, ' '), '')) AS collapsed_sha256
+FROM d LEFT JOIN a USING (doc_id) LEFT JOIN sets USING (doc_id)"""
+
+
+@query
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+ORACLE["op13_embedding_dedup"] = """
+WITH RECURSIVE e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+ok AS (SELECT * FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok AS a JOIN ok AS b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.9::DOUBLE),
+r AS (SELECT vec_id, vec_id AS root FROM e UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id WHERE r.root < l.b),
+c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c"""

@@ -1,207 +1,22 @@
 """Record linkage: similarity join, title retrieval, cascade match.
 
-Similarity is the Ratcliff-Obershelp ratio ``2M/(n1+n2)`` (S8).  The join
-never compares all pairs: lossless filters derived from the threshold cut
-the candidates first, and only the survivors reach the Python ratio.
-
-For ratio >= t with lengths n1, n2 and M matched characters:
-  (a) 2*min(n1, n2) >= t*(n1 + n2)                       (M <= min)
-  (b) multiset character overlap >= t*(n1 + n2)/2        (M <= overlap)
-  (c) indel distance k <= (1-t)(n1+n2), so by the q-gram lemma the two keys
-      share at least max(n1, n2) - 1 - 2k numbered 2-grams.
-Prefix filters: order all numbered 2-grams rarest first; two keys sharing at
-least ``need`` grams must share one of the first ``|G| - need + 1`` grams of
-each key, where ``need`` is the smallest bound over every partner length the
-band allows.  The same argument over numbered characters and bound (b) gives
-a second, short prefix that a candidate must also share.  At thresholds where
-(c) does not force a shared 2-gram, the character prefix alone is used.  Keys
-too short to carry a 2-gram can only reach a threshold above 2/3 against an
-identical key, so there they join by equality.
-
-Layout on the cluster: per-key signatures are computed once per distinct key
-(duplicates on either side cost one key) and checkpointed; the prefix join
-emits each pair once (on its first shared prefix gram); grams present in very
-many right-side prefixes are salted so no single task enumerates their pairs.
+The similarity join itself, with its lossless filters, is in ``simjoin``; here
+keys are made from titles, duplicates are collapsed to one key on both sides,
+and the results are attached back to rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from biblink.functions.common import ColumnOrName, col_of
 from biblink.functions.ids import doi_norm
-from biblink.functions.similarity import ratio, ratio_from
+from biblink.functions.similarity import ratio
 from biblink.functions.text import title_key_ascii, title_key_unicode
-from biblink.session import ensure_checkpoint_dir
-
-EPS = 1e-9
-# salting of hot prefix grams: right keys per (gram, bucket), and the most buckets per gram
-SALT_BUCKET = 50_000
-SALT_MAX = 4096
-
-
-def _k_max(n1: Column, n2: Column, t: float) -> Column:
-    return F.floor((F.lit(1.0 - t) * (n1 + n2)) + F.lit(EPS))
-
-
-def _need(n1: Column, n2: Column, t: float) -> Column:
-    """Smallest number of shared numbered 2-grams for ratio >= t (bound c)."""
-    return F.greatest(n1, n2) - 1 - 2 * _k_max(n1, n2, t)
-
-
-def _band(n: Column, t: float) -> tuple[Column, Column]:
-    lo = F.ceil(n * F.lit(t / (2.0 - t)) - F.lit(EPS))
-    hi = F.floor(n * F.lit((2.0 - t) / t) + F.lit(EPS))
-    return lo.cast("int"), hi.cast("int")
-
-
-def _min_need(n: Column, t: float) -> Column:
-    lo, hi = _band(n, t)
-    lo = F.greatest(lo, F.lit(2))
-    return F.array_min(F.transform(F.sequence(lo, F.greatest(hi, lo)), lambda m: _need(n, m, t)))
-
-
-# A numbered gram is one 64-bit code: two code points (21 bits each) and the
-# occurrence number (low 21 bits); a numbered character likewise.  Higher
-# occurrence numbers (keys of over 2^21 characters) get a negative hash code.
-# Integer arrays keep the join key and the array_intersect checks primitive.
-_OCC_BITS = 21
-
-
-def _numbered(codes) -> list[int]:
-    seen: Counter[int] = Counter()
-    out = []
-    for c in codes:
-        seen[c] += 1
-        n = seen[c]
-        out.append(c << _OCC_BITS | n if n < 1 << _OCC_BITS else ~(hash((c, n)) & ((1 << 62) - 1)))
-    return out
-
-
-@F.pandas_udf(ArrayType(LongType()))
-def _numbered_grams(keys: pd.Series) -> pd.Series:
-    return keys.map(lambda k: None if k is None else _numbered(ord(a) << 21 | ord(b) for a, b in zip(k, k[1:])))
-
-
-@F.pandas_udf(ArrayType(LongType()))
-def _numbered_chars(keys: pd.Series) -> pd.Series:
-    return keys.map(lambda k: None if k is None else _numbered(map(ord, k)))
-
-
-def _min_shared_chars(n: Column, t: float) -> Column:
-    """Smallest bound (b) over every partner length the band allows: ceil(t(n+m)/2)."""
-    lo, hi = _band(n, t)
-    lo = F.greatest(lo, F.lit(1))
-    return F.array_min(F.transform(F.sequence(lo, F.greatest(hi, lo)),
-                                   lambda m: F.ceil(F.lit(t) * (n + m) / 2 - F.lit(EPS))))
-
-
-def numbered_grams(key: Column) -> Column:
-    """2-grams of a key tagged with their occurrence number, as 64-bit codes (multiset as a set)."""
-    return _numbered_grams(key)
-
-
-def numbered_chars(key: Column) -> Column:
-    """Characters of a key tagged with their occurrence number, as 64-bit codes."""
-    return _numbered_chars(key)
-
-
-def _grams_decide(t: float) -> bool:
-    """Whether bound (c) forces every pair of keys of two or more characters to share a
-    2-gram at threshold ``t``; below that the numbered characters alone are the prefix."""
-    if t <= 2.0 / 3.0:
-        return False
-    for n in range(2, 400):
-        lo = max(2, -(-int(n * t / (2 - t) * 1e6) // 1_000_000))
-        hi = int(n * (2 - t) / t + EPS)
-        if min(max(n, m) - 1 - 2 * int((1 - t) * (n + m) + EPS) for m in range(lo, max(hi, lo) + 1)) < 1:
-            return False
-    return True
-
-
-def similarity_key_join(left_keys: DataFrame, right_keys: DataFrame, t: float) -> DataFrame:
-    """All pairs of *distinct* non-empty keys with ratio(lkey, rkey) >= t, for 0 < t <= 1.
-
-    ``left_keys``/``right_keys``: one column ``key`` each (duplicates are
-    collapsed here).  Returns (lkey, rkey, ratio).  An empty key says nothing
-    about its title, so it pairs with nothing.
-    """
-    if not 0.0 < t <= 1.0:
-        raise ValueError("similarity threshold must be in (0, 1]")
-    grams = _grams_decide(t)
-    lk = left_keys.select(F.col("key")).where(F.col("key") != "").distinct()
-    rk = right_keys.select(F.col("key")).where(F.col("key") != "").distinct()
-
-    def prep(df: DataFrame, side: str) -> DataFrame:
-        return df.where(F.length("key") >= (2 if grams else 1)).select(
-            F.lit(side).alias("side"), "key", F.length("key").alias("n"),
-            numbered_grams(F.col("key")).alias("grams"), numbered_chars(F.col("key")).alias("chars"),
-        )
-
-    # signatures are computed once per distinct key and read by several branches below:
-    # they are written once to the shared checkpoint folder (lineage cut, survives executor loss)
-    ensure_checkpoint_dir(lk.sparkSession)
-    sig = prep(lk, "L").unionByName(prep(rk, "R")).checkpoint(eager=True)
-    exploded = sig.select("side", "key", F.explode("grams" if grams else "chars").alias("tok"))
-    # global rarest-first order of numbered grams over both sides (partial counts map-side)
-    freq = exploded.groupBy("tok").agg(
-        F.count(F.lit(1)).alias("df"), F.count(F.when(F.col("side") == "R", 1)).alias("df_r"))
-    # hot grams: a gram in many right-side prefixes is split into salt buckets of about
-    # SALT_BUCKET right keys; only that gram's left rows are repeated once per bucket
-    nsalt = F.least(F.lit(SALT_MAX), F.greatest(F.lit(1), F.ceil(F.col("df_r") / SALT_BUCKET))).cast("int")
-    order = (
-        exploded.join(freq.select("tok", "df", nsalt.alias("salts")), "tok")
-        .groupBy("side", "key")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "tok", "salts"))).alias("ordered"))
-    )
-    # a second, independent prefix over numbered characters (bound b): a pair must share a token
-    # of both prefixes, and the character prefix is short (about (1 - t) of the key)
-    cex = sig.select("side", "key", F.explode("chars").alias("tok"))
-    cfreq = cex.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    corder = cex.join(cfreq, "tok").groupBy("side", "key").agg(
-        F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("cordered"))
-    pref_len = F.col("n") - (_min_need if grams else _min_shared_chars)(F.col("n"), t) + (0 if grams else 1)
-    cpref_len = F.col("n") - _min_shared_chars(F.col("n"), t) + 1
-    prefixed = sig.join(order, ["side", "key"]).join(corder, ["side", "key"]).select(
-        "side", "key", "n", "grams", "chars", F.slice("ordered", 1, pref_len.cast("int")).alias("pre"),
-        F.transform(F.slice("cordered", 1, cpref_len.cast("int")), lambda x: x["tok"]).alias("cpre"),
-    ).checkpoint(eager=True)
-
-    def side_rows(name: str, suffix: str, nname: str):
-        return prefixed.where(F.col("side") == name).select(
-            F.col("key").alias(f"{suffix}key"), F.col("n").alias(nname),
-            F.col("grams").alias(f"{suffix}grams"), F.col("chars").alias(f"{suffix}chars"),
-            F.transform("pre", lambda x: x["tok"]).alias(f"{suffix}prefix"), F.col("cpre").alias(f"{suffix}cpre"),
-            F.explode("pre").alias("_p"),
-        ).select("*", F.col("_p.tok").alias("tok"), F.col("_p.salts").alias("salts")).drop("_p")
-
-    lp = side_rows("L", "l", "n1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    rp = side_rows("R", "r", "n2").withColumn("salt", F.pmod(F.xxhash64("rkey"), F.col("salts")).cast("int")).drop("salts")
-    lo, hi = _band(F.col("n1"), t)
-    cand = lp.join(rp, (lp["tok"] == rp["tok"]) & (lp["salt"] == rp["salt"]) & (F.col("n2") >= lo) & (F.col("n2") <= hi))
-    # emit each pair once: only on its first shared prefix gram (no shuffle needed)
-    cand = cand.where(F.element_at(F.array_intersect("lprefix", "rprefix"), 1) == lp["tok"])
-    cand = cand.where(F.arrays_overlap("lcpre", "rcpre"))
-    # (c) shared numbered 2-grams, then (b) shared numbered characters
-    if grams:
-        cand = cand.where(F.size(F.array_intersect("lgrams", "rgrams")) >= _need(F.col("n1"), F.col("n2"), t))
-    overlap = F.size(F.array_intersect("lchars", "rchars"))
-    cand = cand.where(overlap * 2 >= F.lit(t) * (F.col("n1") + F.col("n2")) - F.lit(EPS))
-    pairs = cand.select("lkey", "rkey").withColumn(
-        "ratio", F.when(F.col("lkey") == F.col("rkey"), F.lit(1.0)).otherwise(ratio_from("lkey", "rkey", t))
-    ).where(F.col("ratio") >= F.lit(t))
-    if not grams:
-        return pairs
-
-    # keys of length 1: only an identical key reaches t > 2/3
-    short_l = lk.where(F.length("key") <= 1).select(F.col("key").alias("lkey"))
-    short_r = rk.where(F.length("key") <= 1).select(F.col("key").alias("rkey"))
-    short = short_l.join(short_r, short_l["lkey"] == short_r["rkey"]).select("lkey", "rkey", F.lit(1.0).alias("ratio"))
-    return pairs.unionByName(short)
+from biblink.operators.simjoin import PrefixTable, best_records, key_id, ladder, prefix_table, similarity_key_join
+from biblink.session import partitions, staged
 
 
 def similarity_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, t: float,
@@ -225,40 +40,40 @@ def retrieval_key(title: ColumnOrName) -> Column:
     return F.when(k != "", k).otherwise(title_key_unicode(title))
 
 
-def title_match(queries: DataFrame, papers: DataFrame, near: float = 0.9, floor: float = 0.6, query_id: str = "qid",
-                query_title: str = "title", key_fn=retrieval_key) -> DataFrame:
-    """Best single record per query title (ours: the service ranks remotely).
+class TitleIndex(NamedTuple):
+    """Records to match titles with: ``keys`` (key, id, paperId), and prefix tables by threshold."""
+
+    keys: DataFrame
+    tables: dict[float, PrefixTable]
 
-    Candidates are all records whose ratio reaches ``near`` (lossless join J12)
-    and all records that share the title's rarest word; the best S8 ratio of at
-    least ``floor`` wins, ties go to the smallest paperId, and without a
-    candidate there is no row.  So a title that is close but not close enough
-    for a check is still found and can be judged.  Titles whose key is empty
-    retrieve nothing.  Duplicate titles on either side are collapsed to one key
-    first, so a title held by a third of all records costs one key.
+
+def title_index(papers: DataFrame, key_fn=retrieval_key, keep: float | None = None) -> TitleIndex:
+    """One row per title key, the record with the smallest paperId.  ``keep``
+    (a floor) writes the prefix tables of the ladder too, for many calls."""
+    r = papers.where(F.col("title") != "").select("paperId", key_fn(F.col("title")).alias("key")).where(F.col("key") != "")
+    r = r.repartition(partitions(papers.sparkSession), "key").groupBy("key").agg(F.min("paperId").alias("paperId"))
+    keys = staged(r.select("key", key_id(F.col("key")).alias("id"), "paperId"), "records")
+    return TitleIndex(keys, {t: prefix_table(keys, t, keep=True) for t in ladder(keep)} if keep is not None else {})
+
+
+def title_match(queries: DataFrame, papers: DataFrame | None, floor: float = 0.6, query_id: str = "qid",
+                query_title: str = "title", key_fn=retrieval_key, index: TitleIndex | None = None) -> DataFrame:
+    """The best record of every query title (ours: the service ranks remotely).
+
+    The record with the greatest S8 ratio of at least ``floor`` wins, ties go to
+    the smallest paperId, and without one there is no row.  Nothing is lost: every
+    record at or above the floor can win, whatever words it shares with the title.
+    Titles whose key is empty retrieve nothing.  Duplicate
+    titles on either side are collapsed to one key first, so a title held by a
+    third of all records costs one key.  ``index``: a ``title_index`` kept from
+    an earlier call, instead of ``papers``.  Starts Spark jobs when called.
     """
     q = queries.select(F.col(query_id).alias("qid"), key_fn(F.col(query_title)).alias("lkey")).where(F.col("lkey") != "")
-    r = papers.where(F.col("title") != "").select("paperId", key_fn(F.col("title")).alias("rkey")).where(F.col("rkey") != "")
-    rep = r.groupBy("rkey").agg(F.min("paperId").alias("paperId"))
-    qkeys = q.select("lkey").distinct()
+    rep, tables = title_index(papers, key_fn) if index is None else index
     # ratio 1.0 is the maximum and only an identical key reaches it: equal keys settle first
-    exact = qkeys.join(rep, qkeys["lkey"] == rep["rkey"]).select("lkey", "paperId", F.lit(1.0).alias("ratio"))
-    residual = qkeys.join(rep.select(F.col("rkey").alias("lkey")), "lkey", "left_anti")
-    close = similarity_key_join(residual.select(F.col("lkey").alias("key")), rep.select(F.col("rkey").alias("key")), near)
-    # the rarest word of a title among those that records hold
-    lwords = residual.select("lkey", F.explode(F.array_distinct(F.split("lkey", " "))).alias("word"))
-    rwords = rep.select("rkey", F.explode(F.array_distinct(F.split("rkey", " "))).alias("word"))
-    df = rwords.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    rarest = lwords.join(df, "word").groupBy("lkey").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
-    shared = rarest.join(rwords, "word").select("lkey", "rkey").where(
-        2 * F.least(F.length("lkey"), F.length("rkey")) >= F.lit(floor) * (F.length("lkey") + F.length("rkey")) - F.lit(EPS))
-    shared = shared.withColumn("ratio", ratio_from("lkey", "rkey", floor)).where(F.col("ratio") >= F.lit(floor))
-    best = (
-        close.unionByName(shared).join(rep, "rkey")
-        .groupBy("lkey")
-        .agg(F.min_by(F.struct("paperId", "ratio"), F.struct(-F.col("ratio"), F.col("paperId"))).alias("b"))
-        .select("lkey", F.col("b.paperId").alias("paperId"), F.col("b.ratio").alias("ratio"))
-    )
+    qkeys = staged(q.select(F.col("lkey").alias("key")).distinct(), "titles")
+    exact = staged(qkeys.join(rep.select("key", "paperId"), "key").select(F.col("key").alias("lkey"), "paperId", F.lit(1.0).alias("ratio")), "titles")
+    best = best_records(qkeys.join(exact.select(F.col("lkey").alias("key")), "key", "left_anti"), rep, floor, tables)
     return q.join(exact.unionByName(best), "lkey").select(F.col("qid").alias(query_id), "paperId", "ratio")
 
 
@@ -277,15 +92,27 @@ def _entry_keys(entries: DataFrame) -> DataFrame:
     )
 
 
-def _record_index(papers: DataFrame) -> DataFrame:
-    """(scheme, value) -> the one record a lookup returns (smallest paperId)."""
+class RecordIndex(NamedTuple):
+    """What the cascade looks records up in: ``ids`` (scheme, value, paper_id) and ``titles``."""
+
+    ids: DataFrame
+    titles: TitleIndex
+
+
+def record_index(papers: DataFrame, floor: float = 0.6) -> RecordIndex:
+    """An index of ``papers`` for many calls (T3), written once to the shared folder: identifier
+    to the one record a lookup returns (smallest paperId), and a ``title_index``."""
+    return RecordIndex(staged(_first_ids(papers), "ids"), title_index(papers, keep=floor))
+
+
+def _first_ids(papers: DataFrame) -> DataFrame:
     from biblink.operators.lookup import id_table
 
     ids = id_table(papers).where(F.col("scheme").isin("doi", "url"))
     return ids.groupBy("scheme", "value").agg(F.min("paper_id").alias("paper_id"))
 
 
-def cascade_match(entries: DataFrame, papers: DataFrame, near: float = 0.9, floor: float = 0.6) -> DataFrame:
+def cascade_match(entries: DataFrame, papers: DataFrame | None, floor: float = 0.6, index: RecordIndex | None = None) -> DataFrame:
     """DOI -> URL -> title fallback chain, one row per entry.
 
     DOI present: DOI lookup only; a miss is an ``error`` (never falls back).
@@ -293,19 +120,24 @@ def cascade_match(entries: DataFrame, papers: DataFrame, near: float = 0.9, floo
     ``missing-title``; a title without a record -> ``title-not-found``.
     Adds ``source``, ``paper_id``, ``error`` and ``degenerate_key`` (the title
     has no ASCII letter or digit, so its S2 key is empty) to the entry columns.
+    ``index``: a kept ``record_index``, instead of ``papers``.
     """
     e = _entry_keys(entries)
-    idx = _record_index(papers)
+    ids = _first_ids(papers) if index is None else index.ids
     by_doi, by_url = F.col("_doi").isNotNull(), F.col("_url").isNotNull()
-    # one join resolves both branches; entries with neither get a key of their own, so
-    # they spread over all tasks instead of meeting at the null key
     e = e.withColumn("_scheme", F.when(by_doi, "doi").when(by_url, "url").otherwise("none")).withColumn(
-        "_value", F.when(by_doi, F.lower("_doi")).when(by_url, F.col("_url")).otherwise(F.concat_ws(":", "file", "ordinal")))
-    looked = e.join(idx, (e["_scheme"] == idx["scheme"]) & (e["_value"] == idx["value"]), "left").drop("scheme", "value")
-    looked = looked.withColumn("_ask", F.col("paper_id").isNull() & (F.col("_scheme") != "doi") & F.col("_has_title"))
+        "_value", F.when(by_doi, F.lower("_doi")).when(by_url, F.col("_url")))
+    # one join resolves both branches: the distinct identifiers asked for meet the index, and only
+    # what they hit comes back to the entries; entries without an identifier pass by the joins
+    asked = e.where("_value is not null").select("_scheme", "_value").distinct()
+    hits = asked.join(ids, (F.col("_scheme") == F.col("scheme")) & (F.col("_value") == F.col("value"))).select("scheme", "value", "paper_id")
+    with_id = e.where("_value is not null").join(hits, (F.col("_scheme") == F.col("scheme")) & (F.col("_value") == F.col("value")), "left").drop("scheme", "value")
+    looked = with_id.unionByName(e.where("_value is null").withColumn("paper_id", F.lit(None).cast("string")))
+    looked = staged(looked.withColumn("_ask", F.col("paper_id").isNull() & (F.col("_scheme") != "doi") & F.col("_has_title")), "entries")
     asked = looked.where("_ask").select(F.struct("file", "ordinal").alias("_qid"), F.col("_title").alias("title"))
-    found = title_match(asked, papers, near, floor, query_id="_qid").select("_qid", F.col("paperId").alias("_by_title"))
-    out = looked.join(found, F.struct("file", "ordinal") == F.col("_qid"), "left")
+    found = title_match(asked, None if index else papers, floor, query_id="_qid", index=index and index.titles).select("_qid", F.col("paperId").alias("_by_title"))
+    by_title = looked.where("_ask").join(found, F.struct("file", "ordinal") == F.col("_qid"), "left").drop("_qid")
+    out = by_title.unionByName(looked.where("not _ask").withColumn("_by_title", F.lit(None).cast("string")))
     hit, doi = F.col("paper_id").isNotNull(), F.col("_scheme") == "doi"
     source = (
         F.when(doi, F.when(hit, "doi").otherwise("error")).when(hit, "url").when(~F.col("_has_title"), "missing-title")

@@ -39,23 +39,25 @@ c0 AS (
 
 
 def title_match_ctes(asked: str, near: float = 0.9, floor: float = 0.6) -> str:
-    """CTEs ending in ``tm`` (k, paper_id, ratio): J11 for the keys ``k`` of ``asked``."""
+    """CTEs ending in ``tm`` (k, paper_id, ratio): J11 for the keys ``k`` of ``asked``, the best of
+    all records at or above ``floor``; keys with a record at ``near`` need no lower pair."""
+
+    def best(pairs: str, ratios: str, low: float) -> str:
+        return f"""(SELECT p.a, arg_min(struct_pack(p := rep.paper_id, r := ratio), struct_pack(r := -ratio, p := rep.paper_id)) AS best
+       FROM {pairs} p JOIN {ratios} t ON t.a = p.a AND t.b = p.b JOIN rep ON rep.b = p.b WHERE ratio >= {low} GROUP BY p.a)"""
+
     return f"""
 rep AS MATERIALIZED (SELECT {X.retrieval_key('title')} AS b, min(paper_id) AS paper_id FROM fx_papers WHERE title <> '' GROUP BY 1 HAVING b <> ''),
 ask AS (SELECT DISTINCT k FROM {asked} WHERE k <> ''),
 res AS MATERIALIZED (SELECT k AS a FROM ask WHERE k NOT IN (SELECT b FROM rep)),
 {X.near_pairs('res', 'rep', near)},
-rw AS MATERIALIZED (SELECT DISTINCT b, unnest(string_split(b, ' ')) AS w FROM rep),
-df AS (SELECT w, count(*) AS n FROM rw GROUP BY w),
-lw AS (SELECT a, arg_min(w, struct_pack(n := n, w := w)) AS w FROM (SELECT DISTINCT a, unnest(string_split(a, ' ')) AS w FROM res) JOIN df USING (w) GROUP BY a),
-sp AS (SELECT a, b FROM lw JOIN rw USING (w)),
-cp AS MATERIALIZED (SELECT a, b, false AS by_word FROM np UNION ALL SELECT a, b, true FROM sp),
-{X.ratio_ctes('cp')},
-bt AS (SELECT cp.a, arg_min(struct_pack(p := rep.paper_id, r := ratio), struct_pack(r := -ratio, p := rep.paper_id)) AS best
-       FROM cp JOIN rt ON rt.a = cp.a AND rt.b = cp.b JOIN rep ON rep.b = cp.b
-       WHERE ratio >= {near} OR (by_word AND ratio >= {floor}) GROUP BY cp.a),
+{X.ratio_ctes('np')},
+bt AS MATERIALIZED {best('np', 'rt', near)},
+low AS MATERIALIZED (SELECT a FROM res WHERE a NOT IN (SELECT a FROM bt)),
+{X.near_pairs('low', 'rep', floor, 'lp')},
+{X.ratio_ctes('lp', 'lt')},
 tm AS MATERIALIZED (SELECT b AS k, paper_id, CAST(1.0 AS DOUBLE) AS ratio FROM rep WHERE b IN (SELECT k FROM ask)
-       UNION ALL SELECT a, best.p, best.r FROM bt)"""
+       UNION ALL SELECT a, best.p, best.r FROM bt UNION ALL SELECT a, best.p, best.r FROM {best('lp', 'lt', floor)})"""
 
 
 _FULL = _E + title_match_ctes("(SELECT k FROM c0 WHERE src = 'title')") + f""",

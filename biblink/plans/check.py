@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from biblink.functions.ids import doi_ok, record_doi, updates_map, year_ok
 from biblink.functions.similarity import ratio, round3
 from biblink.functions.text import title_key_ascii
-from biblink.operators.linkage import cascade_match
+from biblink.operators.linkage import RecordIndex, cascade_match
+from biblink.session import staged
 
 # Fixed values of the check: statuses, the invalid ones, report order.
 STATUSES = ("matched", "mismatch", "not_found", "error")
@@ -16,7 +17,7 @@ VERIFY_FIELDS = ("paperId", "title", "year", "externalIds", "url")
 
 
 def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similarity: float = 0.9,
-                       retrieval_floor: float = 0.6) -> DataFrame:
+                       retrieval_floor: float = 0.6, index: RecordIndex | None = None) -> DataFrame:
     """M6: look up, compare and enrich every entry; one result row per entry.
 
     ``entries``: (file, ordinal, entry_type, key, fields map).  ``papers``:
@@ -28,11 +29,14 @@ def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similari
     year_matches, updates, paper_id, paper_title, error, and ``fields_out``
     (fields with the updates applied, U2).  A failing entry never stops the
     batch: a DOI miss is an ``error`` row.  ``degenerate_key`` flags titles
-    without ASCII letters or digits, whose similarity says nothing.
+    without ASCII letters or digits, whose similarity says nothing.  ``index``: a
+    kept ``record_index`` of ``papers``, for many calls.  Starts Spark jobs when called.
     """
-    matched = cascade_match(entries, papers, floor=retrieval_floor)
+    matched = cascade_match(entries, papers, floor=retrieval_floor, index=index)
     p = papers.select(*VERIFY_FIELDS)
-    j = matched.join(p, matched["paper_id"] == p["paperId"], "left")
+    # entries without a record pass by the join
+    hit = matched.where("paper_id is not null")
+    j = hit.join(p, hit["paper_id"] == p["paperId"], "left").unionByName(matched.where("paper_id is null"), allowMissingColumns=True)
     has_paper = F.col("paper_id").isNotNull()
     ptitle = F.coalesce(F.col("title"), F.lit(""))
     etitle = F.col("_title")
@@ -109,7 +113,10 @@ def invalid_list(results: DataFrame) -> DataFrame:
 
 
 def write_check_report(results: DataFrame, path: str) -> None:
-    """I8: report as three parts under ``path``: summary, invalid and entries (JSON lines)."""
+    """I8: report as three parts under ``path``: summary, invalid and entries (JSON lines).
+
+    The results are written once first, so the check behind them runs once."""
+    results = staged(results, "results")
     summary = summarize(results).orderBy("pos")
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
     invalid_list(results).write.mode("overwrite").json(f"{path}/invalid")

@@ -7,8 +7,9 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library's results depend on (ANSI arithmetic, UTC wall clock,
 # last-wins map keys for U2) plus the adaptive-execution switches that let
@@ -68,3 +69,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: several readers share one
+    computation, lineage is cut, and a lost executor costs nothing."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/biblink-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def partitions(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions, for work that its bytes do not show."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

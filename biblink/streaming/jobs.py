@@ -77,11 +77,17 @@ def stream_check(entries_stream: DataFrame, papers: DataFrame, output: str, chec
     Every micro-batch runs the batch check (M6: joins for DOI/URL, the
     similarity join for titles) and writes its results to the partition
     ``epoch=<n>`` of ``output``; a replayed batch replaces its own partition.
+    The record index is built and written once, when the stream starts; a
+    micro-batch meets it with inner joins on its own few keys, so the records
+    are scanned, not exchanged.
     """
+    from biblink.operators.linkage import record_index
     from biblink.plans.check import check_bibliography
 
+    index = record_index(papers)
+
     def apply(batch: DataFrame, epoch: int) -> None:
-        res = check_bibliography(batch, papers, min_title_similarity)
+        res = check_bibliography(batch, papers, min_title_similarity, index=index)
         res.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
 
     w = entries_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

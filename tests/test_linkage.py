@@ -1,5 +1,7 @@
 """Similarity joins and title retrieval against brute force (difflib over all pairs)."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import golden as G
@@ -46,30 +48,73 @@ def test_empty_keys_pair_with_nothing(spark):
 
 
 def test_salted_prefix_join_equals_brute_force(spark, fx, monkeypatch):
-    """Force hot-gram salting (tiny buckets) and check that no pair is lost or duplicated."""
-    import biblink.operators.linkage as LKmod
+    """Force the grid of hot tokens (tiny cells) and check that no pair is lost or duplicated."""
+    from biblink.operators import simjoin
 
-    monkeypatch.setattr(LKmod, "SALT_BUCKET", 3)
+    monkeypatch.setattr(simjoin, "CELL", 3)
     left, right = _sides(fx)
     got = [(r.lid, r.rid, round(r.ratio, 9)) for r in similarity_join(left, right, "title", "title", 0.9).collect()]
     assert len(got) == len(set(got))
     assert set(got) == _brute(_keyed(left, title_key_ascii), _keyed(right, title_key_ascii), 0.9)
 
 
-def test_title_match_is_the_best_candidate(spark, fx):
+def _best(key, papers, floor=0.6):
+    scored = [(-r, p) for p, k in papers if k and key for r in [1.0 if k == key else G.ratio(key, k)] if r >= floor]
+    return (min(scored)[1], round(-min(scored)[0], 9)) if scored else None
+
+
+@pytest.mark.parametrize("pairs", [-1, 1 << 23])
+def test_title_match_is_the_best_of_all_records(spark, fx, monkeypatch, pairs):
     q = fx.fx_bib.where("title is not null").select(F.col("entry_key").alias("qid"), "title")
+    from biblink.operators import simjoin
+
+    monkeypatch.setattr(simjoin, "BLOCK_PAIRS", pairs)
     got = {r.qid: (r.paperId, round(r.ratio, 9)) for r in title_match(q, fx.papers).collect()}
     papers = _keyed(fx.fx_papers.select("paper_id", "title"), retrieval_key)
-    words = {p: set(k.split()) for p, k in papers}
-    df = {}
-    for w in {k: w for _, k in papers for w in [set(k.split())]}.values():
-        for x in w:
-            df[x] = df.get(x, 0) + 1
     for qid, key in _keyed(q, retrieval_key):
-        known = sorted((df[w], w) for w in set(key.split()) if w in df)
-        rare = known[0][1] if known else None
-        scored = [(-r, p) for p, k in papers for r in [G.ratio(key, k)] if r >= 0.9 or (r >= 0.6 and rare in words[p])]
-        assert got.get(qid) == ((min(scored)[1], round(-min(scored)[0], 9)) if scored else None), qid
+        assert got.get(qid) == _best(key, papers), qid
+
+
+@pytest.mark.parametrize("floor", [0.6, 0.3, 0.95])
+def test_title_match_does_not_need_the_rarest_word(spark, monkeypatch, floor):
+    """The rarest word of a title may be the wrong one, and another record may hold it."""
+    from biblink.operators import simjoin
+
+    monkeypatch.setattr(simjoin, "BLOCK_PAIRS", -1)
+    monkeypatch.setattr(simjoin, "BLOCK_LEFT", 3)
+    monkeypatch.setattr(simjoin, "BLOCK_RIGHT", 5)
+    titles = ["deep learning for graph zyx", "zyx", "learning deep graphs", "a", "éa b", "graph data", "quantum", "x" * 250 + " graph", "deep learning for graph", "深層学習", "d"]
+    records = ["deep learning for graph data", "zyx", "deep learning of graphs", "zyx of something else", "a b", "b", "quantum mechanics made easy", "x" * 249 + "  graph", "deep learning for graph mata", "深層学習入門", ""]
+    records += [f"survey {i} of topic {i % 7} deep" for i in range(40)]
+    q = spark.createDataFrame(list(enumerate(titles)), "qid int, title string")
+    p = spark.createDataFrame([(f"p{i:02d}", t) for i, t in enumerate(records)], "paperId string, title string")
+    got = {r.qid: (r.paperId, round(r.ratio, 9)) for r in title_match(q, p, floor=floor).collect()}
+    keyed = _keyed(p, retrieval_key)
+    assert got == {i: b for i, k in _keyed(q, retrieval_key) if (b := _best(k, keyed, floor))}
+    if floor == 0.6:
+        assert got[0] == ("p00", round(G.ratio(titles[0], records[0]), 9))
+
+
+def test_prefix_join_exchanges_no_keys(spark, fx):
+    """Only tokens, ids and numbers pass through the exchanges of the prefix join."""
+    from biblink.operators import simjoin
+
+    keys = fx.fx_papers.select(retrieval_key("title").alias("key")).distinct().withColumn("id", simjoin.key_id(F.col("key")))
+    pairs = simjoin.candidates(keys, simjoin.prefix_table(keys, 0.9))
+    assert pairs.dtypes == [("lid", "bigint"), ("rid", "bigint")]
+    cols = {c for df in (simjoin._prefix_rows(keys, 0.9, True, np.zeros(simjoin.CLASSES, int), left) for left in (True, False)) for c in df.columns}
+    assert cols == {"tok", "class", "cls", "row", "id", "n", "pos", "shared"}
+
+
+def test_one_id_for_two_keys_loses_nothing(spark, monkeypatch):
+    """An id is a hash: keys that share one are all compared."""
+    from biblink.operators import simjoin
+
+    monkeypatch.setattr(simjoin, "key_id", lambda k: F.pmod(F.length(k), F.lit(3)).cast("long"))
+    left = ["alpha beta gamma", "alpha beta gamna", "delta epsilon zeta", "delta epsilom zeta"]
+    df = spark.createDataFrame([(x,) for x in left], "key string")
+    got = {(r.lkey, r.rkey) for r in simjoin.similarity_key_join(df, df, 0.9).collect()}
+    assert got == {(a, b) for a in left for b in left if a == b or G.ratio(a, b) >= 0.9}
 
 
 def test_titles_without_ascii_letters_retrieve_by_their_unicode_key(spark):

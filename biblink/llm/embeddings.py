@@ -51,7 +51,7 @@ CODE_BITS, BLOCK_BITS = 64, 16
 #: Bits that a block of a candidate may differ in.
 RADIUS = 2
 #: Codes of candidates differ in at most this share of their bits (random vectors: half).
-FAR = 0.3125
+FAR = 0.25
 #: Rows of a group on average, and at most before it is cut into slices.
 GROUP, TILE = 2048, 8192
 #: Pairs compared at once.

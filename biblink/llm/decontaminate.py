@@ -6,12 +6,14 @@ is lower-cased and stripped of punctuation.  Windows of template words are
 hashed and joined with the windows of the benchmark.  Matches on one diagonal
 (document position minus item position) are then checked word by word: the
 slots of an item must be refilled consistently, that is, one item value always
-by the same document value.  So a question with other numbers or names is
-caught, and a chance meeting of placeholders is not.
+by the same document value.  Where two slots contradict each other the diagonal
+is split: every longest stretch without a contradiction is judged on its own.
+So a question with other numbers or names is caught, a chance meeting of
+placeholders is not, and one slot changed in a copy does not hide the rest.
 
 A template window must hold ``min_literals`` words that are not placeholders (a shorter
-one as large a share), and a document leaks an item when the matched windows of a diagonal cover
-``min_words`` words or ``min_share`` of the item.  Items shorter than a window
+one as large a share), and a document leaks an item when ``min_words`` words or ``min_share``
+of the item agree in a consistent stretch of a diagonal.  Items shorter than a window
 are matched as one window of their own length.
 
 Beside them the windows of the plain words, lower-cased and without punctuation
@@ -24,8 +26,10 @@ broadcast, more are joined by a shuffle of the document windows' hashes.
 
 Nulls: null texts have no words; a null id is carried like any other.  Items
 without words match nothing.  Equal items are all reported.  Repeated rows of
-a document are told apart by their text and judged alike.  Empty tables give
-empty results.  Other columns of the inputs are not read.
+a document are told apart by their text and judged alike.  A very long text is one
+row and one array of hashes in its task; its windows are rows of their own.  Ties
+between stretches go to the first position.  Empty tables give empty results.
+Other columns of the inputs are not read.
 """
 
 from __future__ import annotations
@@ -77,25 +81,36 @@ def template_words(raw: Column) -> Column:
     """
     t = F.concat(F.lit(" "), F.array_join(raw, " "), F.lit(" "))
     t = F.replace(F.replace(t, F.lit("{"), F.lit("")), F.lit("}"), F.lit(""))
-    # names: capitalised, not all capitals, and the word before does not end a sentence
-    t = F.regexp_replace(t, r" (?<=[^\s.!?:] )[^\p{L}\p{N}\s]*\p{Lu}[\p{Ll}\p{M}]+(?:['’-]\p{L}+)*[^\p{L}\p{N}\s]*(?= )", " " + NAME)
+    # names: capitalised, not all capitals, and the word before does not end a sentence.  The
+    # first test of each pattern only refuses early what the rest would refuse
+    t = F.regexp_replace(t, r" (?![a-z])(?<=[^\s.!?:] )[^\p{L}\p{N}\s]*\p{Lu}[\p{Ll}\p{M}]+(?:['’-]\p{L}+)*[^\p{L}\p{N}\s]*(?= )", " " + NAME)
     t = F.lower(t)
-    t = F.regexp_replace(t, rf" [^\p{{L}}\p{{N}}\s]*(?:\p{{N}}[\p{{N}}.,:/]*(?:st|nd|rd|th)?|{either(NUMBER_WORDS)})[^\p{{L}}\p{{N}}\s]*(?= )", " " + NUMBER)
+    others = "".join(c for c in "abcdefghijklmnopqrstuvwxyz" if c not in {w[0] for w in NUMBER_WORDS})
+    t = F.regexp_replace(t, rf" (?![{others}])[^\p{{L}}\p{{N}}\s]*(?:\p{{N}}[\p{{N}}.,:/]*(?:st|nd|rd|th)?|{either(NUMBER_WORDS)})[^\p{{L}}\p{{N}}\s]*(?= )", " " + NUMBER)
     t = F.regexp_replace(t, rf" \{{n\}} [^\p{{L}}\p{{N}}\s]*{either(UNITS)}[^\p{{L}}\p{{N}}\s]*(?= )", f" {NUMBER} {UNIT}")
-    return _without_punctuation(t)
+    return F.filter(F.split(_bare(t), " "), lambda w: w != "")
+
+
+def lower_word(raw: Column) -> Column:
+    """The plain word of one raw word: lower-cased, no placeholder."""
+    return _bare(F.translate(F.lower(raw), "{}", ""))
 
 
 def lower_words(raw: Column) -> Column:
-    """The plain word of every word of an array, in place: lower-cased, no placeholders."""
-    t = F.lower(F.array_join(raw, " "))
-    return _without_punctuation(F.replace(F.replace(t, F.lit("{"), F.lit("")), F.lit("}"), F.lit("")))
+    """The plain word of every word of an array, in place."""
+    return F.filter(F.split(lower_word(F.array_join(raw, " ")), " "), lambda w: w != "")
+
 
+#: A class of ASCII control characters and punctuation but braces, which placeholders have.
+#: Each is named: single characters are one table for the regex engine, ranges are tests.
+_MARKS = "".join(f"\\x{c:02x}" for c in [*range(32), *range(33, 48), *range(58, 65), *range(91, 97), 124, 126, 127])
 
-def _without_punctuation(t: Column) -> Column:
-    """The words of a text: ASCII punctuation goes first, then what else is no letter,
-    mark or digit; braces stay, as placeholders have them."""
-    t = F.regexp_replace(t, r"[\x00-\x1F!-/:-@\[-`|~\x7F]+|[^\x00-\x7F\p{L}\p{M}\p{N}]+", "")
-    return F.filter(F.split(t, " "), lambda w: w != "")
+
+def _bare(t: Column) -> Column:
+    """A text without ASCII punctuation and without what else is no letter, mark, digit or space."""
+    # only a text with other than ASCII characters can hold any of the rest
+    rest = lambda t: F.when(F.octet_length(t) == F.length(t), t).otherwise(F.regexp_replace(t, r"[^\x00-\x7F\p{L}\p{M}\p{N}]+", ""))
+    return let(F.regexp_replace(t, rf"[{_MARKS}]+", ""), rest)
 
 
 def run_hashes(hashes: Column, size: int) -> Column:
@@ -112,13 +127,21 @@ def run_hashes(hashes: Column, size: int) -> Column:
     return let(run_hashes(hashes, size - back), join)
 
 
+def window_hashes(hashes: Column, size: int) -> Column:
+    """The hash of the window of ``size`` words at every position; none in a shorter text."""
+    return F.when(F.size(hashes) >= size, run_hashes(hashes, size)).otherwise(F.array().cast("array<bigint>"))
+
+
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def windows(template: Column, size: int) -> Column:
     """``array<struct<pos, hash>>`` of all windows of ``size`` words."""
     def of(hashes: Column) -> Column:
-        runs = F.when(F.size(hashes) >= size, run_hashes(hashes, size)).otherwise(F.array().cast("array<bigint>"))
-        return F.transform(runs, lambda v, i: F.struct(i.alias("pos"), F.xxhash64(v, F.lit(size)).alias("hash")))
+        return F.transform(window_hashes(hashes, size), lambda v, i: F.struct(i.alias("pos"), v.alias("hash")))
 
-    return let(F.transform(template, lambda w: F.xxhash64(w)), of)
+    return let(word_hashes(template), of)
 
 
 def item_windows(template: Column, size: int, min_literals: int, full: int) -> Column:
@@ -134,16 +157,51 @@ def item_windows(template: Column, size: int, min_literals: int, full: int) -> C
     return F.filter(windows(template, size), lambda w: literals(w) >= asked)
 
 
-def document_windows(template: Column, plain: Column, size: int) -> Column:
-    """``array<struct<pos, hash, plain>>``: the template windows, and the plain windows
-    that differ from the template window at their place (it holds a placeholder)."""
-    marked = lambda w, kind: F.struct(w["pos"].alias("pos"), w["hash"].alias("hash"), F.lit(kind).alias("plain"))
+def document_windows(raw: Column, sizes: list[int]) -> Column:
+    """``struct<n, hashes>`` per size: the hashes of all template windows, ``n`` of them, then in
+    the same order those of the plain windows, null where a window holds no placeholder (it is
+    the template window there).  Plain words are made and hashed only at the placeholders."""
+
+    def of(t: Column) -> Column:
+        marked = F.zip_with(t, raw, lambda x, r: F.when(x.isin(*PLACEHOLDERS), F.xxhash64(lower_word(r))))
+        return let(F.struct(word_hashes(t).alias("t"), marked.alias("m")), both)
+
+    def both(h: Column) -> Column:
+        plain = F.zip_with(h["m"], h["t"], lambda m, x: F.coalesce(m, x))
+        return let(F.struct(h["t"].alias("t"), F.when(F.exists(h["m"], lambda m: m.isNotNull()), plain).alias("p")), lambda x: F.array(*(sized(x, n) for n in sizes)))
+
+    def sized(h: Column, size: int) -> Column:
+        def joined(w: Column) -> Column:
+            others = F.zip_with(w["p"], w["t"], lambda p, t: F.when(p != t, p))
+            return F.struct(F.size(w["t"]).alias("n"), F.concat(w["t"], F.coalesce(others, F.array().cast("array<bigint>"))).alias("hashes"))
+
+        return let(F.struct(window_hashes(h["t"], size).alias("t"), F.when(h["p"].isNotNull(), window_hashes(h["p"], size)).alias("p")), joined)
+
+    return let(template_words(raw), of)
+
+
+def consistent_stretches(pairs: Column) -> Column:
+    """``array<struct<first, last>>``: the longest stretches (last excluded) of word pairs
+    ``template, item, doc`` in which no item value of a slot has two document values."""
+    slots = F.filter(F.transform(pairs, lambda p, i: F.when(p["template"].isin(*PLACEHOLDERS), F.struct(i.alias("at"), p["template"].alias("t"), p["item"].alias("item"), p["doc"].alias("doc")))), lambda x: x.isNotNull())
+
+    def of(slots: Column) -> Column:
+        def against(s: Column) -> Column:  # the last slot before that contradicts this one
+            other = F.filter(slots, lambda o: (o["at"] < s["at"]) & (o["t"] == s["t"]) & (o["item"] == s["item"]) & (o["doc"] != s["doc"]))
+            return F.struct(s["at"].alias("at"), F.array_max(F.transform(other, lambda o: o["at"])).alias("other"))
+
+        return let(F.filter(F.transform(slots, against), lambda c: c["other"].isNotNull()), ranges)
+
+    def ranges(clashes: Column) -> Column:
+        starts = F.array_distinct(F.concat(F.array(F.lit(0)), F.transform(clashes, lambda c: c["other"] + 1)))
+
+        def upto(first: Column) -> Column:
+            ends = F.transform(F.filter(clashes, lambda c: c["other"] >= first), lambda c: c["at"])
+            return F.struct(first.alias("first"), F.coalesce(F.array_min(ends), F.size(pairs)).alias("last"))
 
-    def of(w: Column) -> Column:
-        others = F.filter(F.zip_with(w["t"], w["p"], lambda x, y: F.when(x["hash"] != y["hash"], marked(y, True))), lambda x: x.isNotNull())
-        return F.concat(F.transform(w["t"], lambda x: marked(x, False)), others)
+        return F.transform(starts, upto)
 
-    return let(F.struct(windows(template, size).alias("t"), windows(plain, size).alias("p")), of)
+    return let(slots, of)
 
 
 def leaks(
@@ -168,11 +226,10 @@ def leaks(
     small = keys.count() <= broadcast_rows
 
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).cast("string").alias("text"))
-    split = let(plain_words(F.col("text")), lambda raw: F.struct(template_words(raw).alias("template"), lower_words(raw).alias("plain")))
-    found = narrow.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.explode(let(split, lambda w: F.concat(*(document_windows(w["template"], w["plain"], n) for n in sizes)))).alias("w"),
-    ).select("doc_id", "text_hash", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.plain").alias("plain"))
+    found = narrow.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(let(plain_words(F.col("text")), lambda raw: document_windows(raw, sizes))).alias("w"))
+    found = found.select("doc_id", "text_hash", F.col("w.n").alias("n"), F.posexplode("w.hashes").alias("pos", "hash"))
+    plain = F.col("pos") >= F.col("n")
+    found = found.select("doc_id", "text_hash", F.when(plain, F.col("pos") - F.col("n")).otherwise(F.col("pos")).alias("pos"), "hash", plain.alias("plain"))
     met = found.join(F.broadcast(keys) if small else keys, "hash")
     # the stretch of a diagonal that windows matched by template span, and the one of all
     # windows: plain windows add to what templates find and take nothing from it.  Read
@@ -202,15 +259,15 @@ def leaks(
     bare = lambda w: F.regexp_replace(F.lower(w), r"[^\p{L}\p{N}]+", "")
     paired = F.arrays_zip("template", F.transform("raw", bare).alias("item"), F.transform("doc_raw", bare).alias("doc"))
     checked = sides.select("doc_id", "text_hash", "item_id", "shift", "lo", "hi", "item_words", F.explode(F.array(paired)).alias("pairs"))
-    slot = F.filter("pairs", lambda p: p["template"].isin(*PLACEHOLDERS))
-    fills = F.array_distinct(F.transform(slot, lambda p: F.struct(p["template"].alias("t"), p["item"].alias("item"), p["doc"].alias("doc"))))
-    values = F.array_distinct(F.transform(slot, lambda p: F.struct(p["template"].alias("t"), p["item"].alias("item"))))
+    split = checked.select("doc_id", "text_hash", "item_id", "shift", "lo", "item_words", "pairs", F.explode(consistent_stretches(F.col("pairs"))).alias("s"))
+    part = split.select("doc_id", "text_hash", "item_id", "item_words", (F.col("shift") + F.col("lo") + F.col("s.first")).alias("position"),
+                        F.explode(F.array(F.slice("pairs", F.col("s.first") + 1, F.col("s.last") - F.col("s.first")))).alias("pairs"))
     same_words = F.size(F.filter("pairs", lambda p: p["template"].isin(*PLACEHOLDERS) | (p["item"] == p["doc"])))
     changed = F.exists("pairs", lambda p: ~p["item"].eqNullSafe(p["doc"]))
-    judged = checked.select(
-        "doc_id", "text_hash", "item_id", "item_words", (F.col("shift") + F.col("lo")).alias("position"), same_words.alias("n_words"), F.size(slot).alias("n_slots"),
-        (F.size(fills) == F.size(values)).alias("consistent"), F.when(changed, "reparameterised").otherwise("verbatim").alias("kind"),
-    ).where("consistent").where((F.col("n_words") >= min_words) | (F.col("n_words") >= min_share * F.col("item_words")))
+    judged = part.select(
+        "doc_id", "text_hash", "item_id", "item_words", "position", same_words.alias("n_words"), F.size(F.filter("pairs", lambda p: p["template"].isin(*PLACEHOLDERS))).alias("n_slots"),
+        F.when(changed, "reparameterised").otherwise("verbatim").alias("kind"),
+    ).where((F.col("n_words") >= min_words) | (F.col("n_words") >= min_share * F.col("item_words")))
     best = F.max_by(F.struct("position", "n_words", "item_words", "n_slots", "kind"), F.struct("n_words", -F.col("position")))
     return judged.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*", "text_hash")
 

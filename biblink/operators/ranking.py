@@ -6,16 +6,17 @@ published; the definitions here are ours and say so.
 
 from __future__ import annotations
 
-import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple, Union
 
 import regex
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from biblink.functions.common import ColumnOrName, col_of
 from biblink.operators.records import SEARCH_LIMIT, clamp
+from biblink.session import staged
 
 # Fixed values of our BM25 (standard Okapi constants).
 BM25_K1 = 1.2
@@ -30,51 +31,93 @@ def tokens(text: ColumnOrName) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(col_of(text), F.lit(""))), TOKEN_SPLIT), lambda t: t != "")
 
 
+class Leaf(NamedTuple):
+    """Consecutive tokens that a query asks for; ``prefix``: the last is only a beginning."""
+
+    words: tuple[str, ...]
+    prefix: bool = False
+
+
+def _split(text: str) -> list[str]:
+    return [t for t in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if t]
+
+
 def query_terms(query: str) -> list[str]:
     if not query or not query.strip():
         raise ValueError("query is required")
-    seen: list[str] = []
-    for t in regex.split(r"[^\p{L}\p{N}]+", query.lower()):
-        if t and t not in seen:
-            seen.append(t)
+    seen = list(dict.fromkeys(_split(query)))
     if not seen:
         raise ValueError("query has no terms")
     return seen
 
 
-def _equals(q: str):
-    return lambda x: x == q
+def is_boolean(query: str) -> bool:
+    """Whether a query uses the syntax of P11: ``AND``, ``OR``, a ``"phrase"`` or ``prefix*``."""
+    return bool(re.search(r'(^|[\s()])(AND|OR)(?=[\s()]|$)|"[^"]*"|\w\*', query or ""))
 
 
-def bm25(docs: DataFrame, id_col: str, text: ColumnOrName, query: str) -> DataFrame:
-    """Score every document against the query terms (ours: Okapi BM25, k1 1.2, b 0.75).
+def read_query(query: str) -> tuple[Node | None, list[Leaf]]:
+    """Condition (None: any word will do) and leaves of a search query."""
+    if is_boolean(query):
+        return parse_boolean(query)
+    return None, [Leaf((t,)) for t in query_terms(query)]
+
 
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); documents without a query term
-    score 0 and are dropped.  Term counts are per-row array expressions; the
-    only global work is one pass for N, the mean length and df.
+def occurrences(toks: Column, leaf: Leaf) -> Column:
+    """How often a token array holds a leaf."""
+    *head, last = leaf.words
+    at_last = (lambda x: x.startswith(last)) if leaf.prefix else (lambda x: x == last)
+    if not head:
+        return F.size(F.filter(toks, at_last))
+
+    def here(i: Column) -> Column:
+        hit = at_last(F.get(toks, i + len(head)))
+        for k, w in enumerate(head):
+            hit = (F.get(toks, i + k) == w) & hit
+        return hit
+
+    places = F.sequence(F.lit(0), F.size(toks) - len(leaf.words))
+    return F.when(F.size(toks) >= len(leaf.words), F.size(F.filter(places, here))).otherwise(F.lit(0))
+
+
+def _idf(n: float, df: Column) -> Column:
+    return F.ln(F.lit(1.0) + (F.lit(float(n)) - df + 0.5) / (df + 0.5))
+
+
+def bm25(docs: DataFrame, id_col: str, text: ColumnOrName, query: str) -> DataFrame:
+    """Score documents against a query (ours: Okapi BM25, k1 1.2, b 0.75).
+
+    The leaves of the query are words, or with the syntax of P11 also prefixes and
+    phrases; each is scored like a word that occurs as often as the leaf does.  idf =
+    ln(1 + (N - df + 0.5) / (df + 0.5)).  Returned are the documents that meet the
+    boolean condition, or hold any word of a plain query.  Every document is
+    tokenised once: the pass that writes the matching ones (their counts, not their
+    texts) also observes N, the mean length and the df of every leaf.
     """
-    terms = query_terms(query)
-    hits = [F.size(F.filter("_t", _equals(q))) for q in terms]
-    # a generator keeps the token array from being computed again for every term
+    tree, leaves = read_query(query)
+    # a generator keeps the token array from being computed again for every leaf
     counted = docs.select(id_col, F.explode(F.array(tokens(text))).alias("_t")).select(
-        id_col, F.size("_t").alias("_dl"), F.explode(F.array(F.array(*hits))).alias("_tf"))
-    tf = [F.get("_tf", F.lit(i)) for i in range(len(terms))]
-    stats = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("_dl").alias("avgdl"), F.array(*[F.count_if(x > 0) for x in tf]).alias("df"))
-    idf = F.transform("df", lambda d: F.ln(F.lit(1.0) + (F.col("n") - d + 0.5) / (d + 0.5)))
-    stats = stats.select(F.when(F.col("avgdl") > 0, F.col("avgdl")).otherwise(F.lit(1.0)).alias("_avg"), idf.alias("_idf"))
-    hit = F.exists("_tf", lambda x: x > 0)
+        id_col, F.size("_t").alias("_dl"), F.explode(F.array(F.array(*(occurrences(F.col("_t"), x) for x in leaves)))).alias("_tf"))
+    tf = [F.get("_tf", F.lit(i)) for i in range(len(leaves))]
+    seen = Observation()
+    watched = counted.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("_dl").alias("length"), *(F.count_if(x > 0).alias(f"df{i}") for i, x in enumerate(tf)))
+    held = F.exists("_tf", lambda x: x > 0) if tree is None else condition(tree, lambda i: tf[i] > 0)
+    hits = staged(watched.where(held), "hits")
+    stats = seen.get
+    avg = (stats["length"] or 0) / max(1, stats["n"]) or 1.0
     score = F.lit(0.0)
     for i, x in enumerate(tf):
-        norm = F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("_dl") / F.col("_avg"))
-        score = score + F.when(x > 0, F.get("_idf", F.lit(i)) * x * F.lit(BM25_K1 + 1.0) / (x + norm)).otherwise(F.lit(0.0))
-    # the statistics are one row
-    return counted.where(hit).join(F.broadcast(stats)).select(id_col, score.alias("score"))
+        norm = F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("_dl") / F.lit(avg))
+        score = score + F.when(x > 0, _idf(stats["n"], F.lit(stats[f"df{i}"])) * x * F.lit(BM25_K1 + 1.0) / (x + norm)).otherwise(F.lit(0.0))
+    return hits.select(id_col, score.alias("score"))
 
 
 def search(docs: DataFrame, id_col: str, text: ColumnOrName, query: str, offset: int = 0,
            limit: int | None = 10, where: Column | None = None) -> DataFrame:
     """L1: relevance-ordered page (score desc, then id); limit clamped to 1..100.
 
+    ``query``: words, or a boolean query with the syntax of P11.
+
     The final order/offset/limit is a map-side top-k (TakeOrderedAndProject).
     """
     base = docs if where is None else docs.where(where)
@@ -108,47 +151,44 @@ def _lex(expr: str) -> list[str]:
     return out
 
 
-def boolean_query(expr: str, toks: Column) -> Column:
+#: A leaf by its number, or ("and" | "or", left, right).
+Node = Union[int, tuple[str, "Node", "Node"]]
+
+
+def parse_boolean(expr: str) -> tuple[Node, list[Leaf]]:
     """P11 (ours): AND/OR with parentheses over ``word``, ``prefix*`` and ``"a phrase"``.
 
     AND binds tighter than OR; juxtaposed terms mean AND.  Words match whole
     tokens (case-insensitive), ``prefix*`` any token starting so, a phrase the
-    consecutive tokens.
+    consecutive tokens; a word of several tokens (``state-of-the-art``) is a phrase.
     """
-    items = _lex(expr)
+    items, leaves, pos = _lex(expr), [], 0
     if not items:
         raise ValueError("query is required")
-    pos = 0
-    padded = F.concat(F.lit(" "), F.array_join(toks, " "), F.lit(" "))
-
-    def term(tok: str) -> Column:
-        if tok.startswith('"'):
-            words = [w for w in regex.split(r"[^\p{L}\p{N}]+", tok.strip('"').lower()) if w]
-            return padded.contains(" " + " ".join(words) + " ") if words else F.lit(False)
-        t = tok.lower()
-        if t.endswith("*"):
-            p = t[:-1]
-            return F.exists(toks, lambda x: x.startswith(p))
-        return F.array_contains(toks, t)
-
-    def parse_or() -> Column:
+
+    def leaf(tok: str) -> Node:
+        prefix = not tok.startswith('"') and tok.endswith("*")
+        leaves.append(Leaf(tuple(_split(tok)) or ("",), prefix))
+        return len(leaves) - 1
+
+    def parse_or() -> Node:
         nonlocal pos
         left = parse_and()
         while pos < len(items) and items[pos].upper() == "OR":
             pos += 1
-            left = left | parse_and()
+            left = ("or", left, parse_and())
         return left
 
-    def parse_and() -> Column:
+    def parse_and() -> Node:
         nonlocal pos
         left = parse_atom()
         while pos < len(items) and items[pos] != ")" and items[pos].upper() != "OR":
             if items[pos].upper() == "AND":
                 pos += 1
-            left = left & parse_atom()
+            left = ("and", left, parse_atom())
         return left
 
-    def parse_atom() -> Column:
+    def parse_atom() -> Node:
         nonlocal pos
         if pos >= len(items):
             raise ValueError("query ends too early")
@@ -162,12 +202,33 @@ def boolean_query(expr: str, toks: Column) -> Column:
             return inner
         if tok == ")" or tok.upper() in ("AND", "OR"):
             raise ValueError(f"unexpected {tok}")
-        return term(tok)
+        return leaf(tok)
 
     out = parse_or()
     if pos != len(items):
         raise ValueError(f"unexpected {items[pos]}")
-    return out
+    return out, leaves
+
+
+def condition(node: Node, of: Callable[[int], Column]) -> Column:
+    """A parsed query as a condition, given that of each leaf."""
+    if isinstance(node, int):
+        return of(node)
+    how, left, right = node
+    return condition(left, of) & condition(right, of) if how == "and" else condition(left, of) | condition(right, of)
+
+
+def boolean_query(expr: str, toks: Column) -> Column:
+    """Whether a token array meets a boolean query (``parse_boolean``)."""
+    tree, leaves = parse_boolean(expr)
+
+    def holds(i: int) -> Column:
+        words, prefix = leaves[i]
+        if len(words) == 1 and not prefix:
+            return F.array_contains(toks, words[0])
+        return F.exists(toks, lambda x: x.startswith(words[0])) if len(words) == 1 else occurrences(toks, leaves[i]) > 0
+
+    return condition(tree, holds)
 
 
 # ---- J20 / L5 / U5: recommendations

@@ -10,7 +10,7 @@ from biblink.plans import check as CK
 from biblink.plans.catalog import register
 from biblink.plans.catalog import sqlx as X
 from biblink.plans.catalog.bib import _ENTRY_LIST, _WITHX, map_text
-from biblink.plans.catalog.ranking import _bm25_sql
+from biblink.plans.catalog.ranking import _bm25_sql, _boolean_bm25_sql, _phrase, _starts, _word
 from biblink.plans.fixtures import Fixtures, oracle_with
 from biblink.sources import bibtex as B
 from biblink.sources import records as S
@@ -45,6 +45,18 @@ def q_f1(spark, sf):
     return api.search(Fixtures(spark, sf).papers, _QUERY, "paperId,title", limit=25, text_cols=("title",))
 
 
+_BOOLEAN = '(econ* OR promo*) AND ("red ring" OR "blue bolt" OR anvil)'
+_BOOLEAN_LEAVES = {"econ": _starts("econ"), "promo": _starts("promo"), "redring": _phrase("red", "ring"), "bluebolt": _phrase("blue", "bolt"), "anvil": _word("anvil")}
+
+
+@register("f1_boolean_search", _P + ", hits AS (" + _boolean_bm25_sql(
+    "fx_papers", "paper_id", "title", _BOOLEAN_LEAVES, "(econ > 0 OR promo > 0) AND (redring > 0 OR bluebolt > 0 OR anvil > 0)", 25, "WITH") + """)
+SELECT paper_id AS "paperId", title FROM fx_papers WHERE paper_id IN (SELECT paper_id FROM hits)""")
+def q_f1_boolean(spark, sf):
+    """first page of a boolean title search (AND, OR, prefixes, phrases)."""
+    return api.search(Fixtures(spark, sf).papers, _BOOLEAN, "paperId,title", limit=25, text_cols=("title",))
+
+
 @register("f2_get", _P + """ SELECT paper_id AS "paperId", title, year FROM fx_papers WHERE paper_id = 'p12'""")
 def q_f2(spark, sf):
     """one record with a field mask."""

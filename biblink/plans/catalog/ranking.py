@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from biblink.operators import ranking as RK
+from biblink.operators.textindex import build_text_index, search_many
 from biblink.plans.catalog import register
 from biblink.plans.fixtures import Fixtures, oracle_with
+from biblink.streaming.jobs import scratch_dir
 
 _TK = r"list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '')"
 
@@ -39,6 +41,31 @@ def q_l1(spark, sf):
     return RK.search(d, "doc_id", F.col("text"), _L1_QUERY, limit=100)
 
 
+#: The first words of every benchmark item: one job for all of them.
+_MANY = f"""
+q AS (SELECT item_id AS qid, list_distinct({_TK.format(x='text')}[:4]) AS words FROM benchmark),
+qt AS (SELECT qid, unnest(words) AS w FROM q),
+t AS (SELECT doc_id, {_TK.format(x='text')} AS tk FROM documents),
+s AS (SELECT count(*) AS n, avg(len(tk)) AS avgdl FROM t),
+o AS (SELECT doc_id, len(tk) AS dl, unnest(tk) AS w FROM t),
+f AS (SELECT doc_id, dl, w, count(*) AS tf FROM o WHERE w IN (SELECT w FROM qt) GROUP BY ALL),
+d AS (SELECT w, ln(1 + (s.n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM f, s GROUP BY w, s.n),
+x AS (SELECT qid, doc_id, sum(idf * tf * {RK.BM25_K1 + 1} / (tf + {RK.BM25_K1} * ({1 - RK.BM25_B} + {RK.BM25_B} * dl / avgdl))) AS score
+      FROM qt JOIN f USING (w) JOIN d USING (w), s GROUP BY qid, doc_id)
+SELECT qid, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id) AS rank FROM x) WHERE rank <= 10"""
+
+
+@register("l1_search_many", "WITH" + _MANY)
+def q_l1_many(spark, sf):
+    """L1: top 10 for the first four words of every benchmark item, from a stored index, in one job."""
+    f = Fixtures(spark, sf)
+    path = scratch_dir(spark, "text-index")
+    build_text_index(f.documents, "doc_id", F.col("text"), path, range_docs=256)
+    words = F.array_join(F.slice(RK.tokens("text"), 1, 4), " ")
+    queries = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("qid"), words.alias("query"))
+    return search_many(spark, path, queries, limit=10).select("qid", F.col("id").alias("doc_id"), "score")
+
+
 _L4_QUERY = "Supplier#000000007 supplier"
 
 
@@ -69,6 +96,39 @@ def q_p11(spark, sf):
     return d.select("doc_id", t.alias("tk")).where(RK.boolean_query(_P11, F.col("tk"))).select("doc_id")
 
 
+def _boolean_bm25_sql(table: str, id_col: str, text: str, leaves: dict[str, str], cond: str, limit: int, prefix: str) -> str:
+    """BM25 of the documents that meet ``cond``; ``leaves``: name to its number of occurrences in ``tk``."""
+    norm = f"{RK.BM25_K1} * ({1 - RK.BM25_B} + {RK.BM25_B} * f.dl / s.avgdl)"
+    parts = [f"CASE WHEN f.{k} > 0 THEN ln(1 + (s.n - s.d_{k} + 0.5) / (s.d_{k} + 0.5)) * f.{k} * {RK.BM25_K1 + 1} / (f.{k} + {norm}) ELSE 0 END" for k in leaves]
+    return prefix + f"""
+t AS (SELECT {id_col}, {_TK.format(x=text)} AS tk FROM {table}),
+f AS (SELECT {id_col}, len(tk) AS dl, {', '.join(f'{v} AS {k}' for k, v in leaves.items())} FROM t),
+s AS (SELECT count(*) AS n, avg(dl) AS avgdl, {', '.join(f'count(*) FILTER (WHERE {k} > 0) AS d_{k}' for k in leaves)} FROM f)
+SELECT {id_col}, {' + '.join(parts)} AS score FROM f, s WHERE {cond} ORDER BY score DESC, {id_col} LIMIT {limit}"""
+
+
+def _word(w: str) -> str:
+    return f"len(list_filter(tk, lambda x: x = '{w}'))"
+
+
+def _starts(w: str) -> str:
+    return f"len(list_filter(tk, lambda x: starts_with(x, '{w}')))"
+
+
+def _phrase(a: str, b: str) -> str:
+    return f"len(list_filter(range(1, len(tk)), lambda i: tk[i] = '{a}' AND tk[i + 1] = '{b}'))"
+
+
+_L1_BOOLEAN = '(ret* OR interp*) AND ("on the" OR enier) an*'
+_LEAVES = {"ret": _starts("ret"), "interp": _starts("interp"), "onthe": _phrase("on", "the"), "enier": _word("enier"), "an": _starts("an")}
+
+
+@register("l1_boolean_search", _boolean_bm25_sql("documents", "doc_id", "text", _LEAVES, "(ret > 0 OR interp > 0) AND (onthe > 0 OR enier > 0) AND an > 0", 100, "WITH"))
+def q_l1_boolean(spark, sf):
+    """L1: BM25 top 100 of the documents that meet a boolean query with prefixes and a phrase."""
+    return RK.search(Fixtures(spark, sf).documents, "doc_id", F.col("text"), _L1_BOOLEAN, limit=100)
+
+
 _J20_SQL = """
 WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 n AS (SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda y: y * y))) AS nrm FROM v),

@@ -173,10 +173,10 @@ def library_match(targets: DataFrame, manifest: DataFrame, threshold: float = 0.
     Pass 1: equal lower-case DOI, first manifest row in manifest order.
     Pass 2 (targets without a DOI hit): best title similarity strictly above
     the threshold on the S3 key, first in manifest order on ties.
-    Returns (tid, path, via) for matched targets.
+    Returns (tid, path, via) for matched targets.  Starts Spark jobs when called.
     """
-    p1 = library_by_doi(targets, manifest).withColumn("via", F.lit("doi"))
-    rest = targets.join(p1.select("tid"), "tid", "left_anti").where(F.col("title").isNotNull() & (F.col("title") != ""))
+    p1 = staged(library_by_doi(targets, manifest).withColumn("via", F.lit("doi")), "library")
+    rest = staged(targets.join(p1.select("tid"), "tid", "left_anti").where(F.col("title").isNotNull() & (F.col("title") != "")), "library")
     lib = manifest.where(F.col("title").isNotNull() & (F.col("title") != "")).withColumn("_k", title_key_unicode("title"))
     # one row per key on both sides: a title held by many files costs one key
     first = lib.where(F.col("_k") != "").groupBy(F.col("_k").alias("rkey")).agg(F.min("ordinal").alias("ordinal"))

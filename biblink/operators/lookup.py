@@ -60,6 +60,15 @@ def parse_id(c: ColumnOrName) -> Column:
     return F.struct(scheme.alias("scheme"), value.alias("value"))
 
 
+def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left outer join on ``key``; rows of ``left`` without a key are dealt by a hash of their
+    other columns, so they do not meet in one task at the null key."""
+    plain = [F.col(f"`{c}`") for c, t in left.dtypes if "map<" not in t and "variant" not in t]
+    # no row of `right` has another value than 0 (written so that it is not folded away)
+    mine = left.withColumn("_spread", F.when(F.col(key).isNull(), F.xxhash64(*plain)).otherwise(F.lit(0)))
+    return mine.join(right.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(1))), [key, "_spread"], "left").drop("_spread")
+
+
 def _first_per_id(ids: DataFrame) -> DataFrame:
     """One record per (scheme, value): the smallest paper_id wins (deterministic)."""
     return ids.groupBy("scheme", "value").agg(F.min("paper_id").alias("paper_id"))
@@ -75,8 +84,9 @@ def get_batch(papers: DataFrame, requests: DataFrame, id_col: str = "request_id"
     req = requests.select(ordinal_col, id_col, parse_id(id_col).alias("_id")).select(
         ordinal_col, id_col, F.col("_id.scheme").alias("scheme"), F.col("_id.value").alias("value")
     )
-    hit = req.join(_first_per_id(id_table(papers)), ["scheme", "value"], "left")
-    return hit.join(papers, hit["paper_id"] == papers["paperId"], "left").drop("paper_id", "scheme", "value")
+    hit = req.join(_first_per_id(id_table(papers)), ["scheme", "value"], "left").withColumn("_key", F.col("paper_id"))
+    records = papers.withColumn("_key", F.col("paperId"))
+    return left_join_known(hit, records, "_key").drop("_key", "paper_id", "scheme", "value")
 
 
 def get(papers: DataFrame, identifier: str) -> DataFrame:
@@ -112,7 +122,7 @@ def match_doi(entries: DataFrame, papers: DataFrame, doi_col: ColumnOrName) -> D
         F.col("value").alias("_k"), "paper_id"
     )
     e = entries.withColumn("_k", F.lower(doi_norm(col_of(doi_col))))
-    return e.join(ids, "_k", "left").drop("_k")
+    return left_join_known(e, ids, "_k").drop("_k")
 
 
 def match_url(entries: DataFrame, papers: DataFrame, url_col: ColumnOrName) -> DataFrame:
@@ -121,13 +131,13 @@ def match_url(entries: DataFrame, papers: DataFrame, url_col: ColumnOrName) -> D
         F.col("value").alias("_k"), "paper_id"
     )
     e = entries.withColumn("_k", strip_ws(col_of(url_col)))
-    return e.join(ids, "_k", "left").drop("_k")
+    return left_join_known(e, ids, "_k").drop("_k")
 
 
 def pmc_join(dois: DataFrame, idmap: DataFrame, doi_col: str = "doi") -> DataFrame:
     """DOI -> PMCID through a landed id-converter table (doi, pmcid); left outer."""
     m = idmap.select(F.lower(F.col("doi")).alias("_k"), "pmcid").groupBy("_k").agg(F.min("pmcid").alias("pmcid"))
-    return dois.withColumn("_k", F.lower(F.col(doi_col))).join(m, "_k", "left").drop("_k")
+    return left_join_known(dois.withColumn("_k", F.lower(F.col(doi_col))), m, "_k").drop("_k")
 
 
 def unfetched(requests: DataFrame, responses: DataFrame, key: str = "request_key") -> DataFrame:

@@ -20,6 +20,8 @@ from biblink.functions.ids import (
     url_host,
 )
 from biblink.operators.corpus import document_metadata, extract_text, pdf_link
+from biblink.operators.lookup import left_join_known
+from biblink.session import staged
 
 # Candidate strategies in the order they are tried.
 STRATEGIES = ("open_access_pdf", "landing_page", "arxiv_metadata", "arxiv_doi", "oa_registry", "pmc", "doi_landing")
@@ -123,12 +125,12 @@ def pdf_candidates(papers: DataFrame, oa: DataFrame | None = None, idmap: DataFr
     ids = resolve_ids(papers)
     if oa is not None:
         o = parse_oa_locations(oa).where(F.col("oa_url").isNotNull()).groupBy(F.lower("doi").alias("_d")).agg(F.min("oa_url").alias("oa_url"))
-        ids = ids.join(o, F.lower(ids["doi"]) == o["_d"], "left").drop("_d")
+        ids = left_join_known(ids.withColumn("_d", F.lower("doi")), o, "_d").drop("_d")
     else:
         ids = ids.withColumn("oa_url", F.lit(None).cast("string"))
     if idmap is not None:
         m = parse_idconv(idmap).where(F.col("pmcid").isNotNull()).groupBy(F.lower("doi").alias("_d")).agg(F.min("pmcid").alias("pmcid"))
-        ids = ids.join(m, F.lower(ids["doi"]) == m["_d"], "left").drop("_d")
+        ids = left_join_known(ids.withColumn("_d", F.lower("doi")), m, "_d").drop("_d")
     else:
         ids = ids.withColumn("pmcid", F.lit(None).cast("string"))
     a_doi = arxiv_from_doi(F.col("doi"))
@@ -215,13 +217,18 @@ def resolve_crawl(candidates: DataFrame, crawl: DataFrame) -> DataFrame:
 def resolve_papers(requests: DataFrame, papers: DataFrame, crawl: DataFrame, page_text: DataFrame,
                    oa: DataFrame | None = None, idmap: DataFrame | None = None,
                    download_domain: str | None = None, artifacts: DataFrame | None = None,
-                   library: DataFrame | None = None) -> DataFrame:
+                   library: DataFrame | None = None, artifact_text: DataFrame | None = None,
+                   library_text: DataFrame | None = None) -> DataFrame:
     """M7: for every requested id: artifact name, where the PDF comes from, and its cleaned text.
 
     ``requests``: (request_id).  Steps: J2-style lookup and P2; artifacts that
     still validate are reused (J19); else a local library match (J13); else
-    the ordered candidates (U1) against the landed crawl (J17).  The text of
-    the chosen PDF is M3 over ``page_text`` (url, page_no, text).
+    the ordered candidates (U1) against the landed crawl (J17).  ``source`` is
+    ``existing``, ``library:doi``, ``library:title``, ``crawl`` or ``failed``, and
+    ``pdf_url`` the stored name, library path or URL of the file.  The text is the
+    stored one of an artifact, ``artifact_text`` (name, text), as it is, or M3 over
+    the pages of the file: ``library_text`` (path, page_no, text) or ``page_text``
+    (url, page_no, text).  A file without text has a null text.
     """
     from biblink.operators.linkage import existing_valid, library_match
     from biblink.operators.lookup import get_batch
@@ -234,16 +241,18 @@ def resolve_papers(requests: DataFrame, papers: DataFrame, crawl: DataFrame, pag
     base = found.select("request_id", "title").join(ids, "request_id", "left")
     base = base.withColumn("doi", F.coalesce("doi", doi_extract(F.col("request_id"))))
     base = base.withColumn("name", artifact_name(F.col("paper_id"), F.col("doi"), F.col("request_id")))
-    todo = base
+    # every later step reads the looked-up requests: they are written once, as are the matches
+    base = todo = staged(base, "requests")
     parts = []
     if artifacts is not None:
         chk = existing_valid(base.select("name", F.col("doi").alias("expected_doi"), F.col("title").alias("expected_title")), artifacts)
-        reuse = chk.where("reuse").select("name")
+        reuse = staged(chk.where("reuse").select("name").distinct(), "reused")
         parts.append(base.join(reuse, "name", "left_semi").select("request_id", "name", F.lit("existing").alias("source"),
                                                                    F.col("name").alias("pdf_url"), F.lit(None).cast("string").alias("strategy")))
         todo = todo.join(reuse, "name", "left_anti")
     if library is not None:
-        lm = library_match(todo.select(F.col("request_id").alias("tid"), "doi", "title"), library)
+        todo = staged(todo, "requests")
+        lm = staged(library_match(todo.select(F.col("request_id").alias("tid"), "doi", "title"), library), "library")
         parts.append(lm.select(F.col("tid").alias("request_id"), "path", "via").join(todo.select("request_id", "name"), "request_id")
                      .select("request_id", "name", F.concat(F.lit("library:"), F.col("via")).alias("source"),
                              F.col("path").alias("pdf_url"), F.lit(None).cast("string").alias("strategy")))
@@ -266,7 +275,20 @@ def resolve_papers(requests: DataFrame, papers: DataFrame, crawl: DataFrame, pag
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    # only the pages of chosen files are cleaned
-    chosen = out.where(F.col("pdf_url").isNotNull()).select("pdf_url").distinct()
-    texts = extract_text(page_text.withColumnRenamed("url", "pdf_url").join(chosen, "pdf_url", "left_semi"), doc="pdf_url")
-    return asked.select("request_id").join(out, "request_id").join(texts, "pdf_url", "left")
+    out = staged(out, "files")
+    # one key per file, whatever it comes from; only the pages of chosen files are cleaned
+    kind = F.when(F.col("source") == "existing", "existing").when(F.col("source").startswith("library"), "library").otherwise("crawl")
+    out = out.withColumn("_file", F.concat(kind, F.lit(":"), F.col("pdf_url")))
+    chosen = out.where(F.col("_file").isNotNull()).select("_file").distinct()
+    pages = _file_rows(page_text, "crawl", "url", "page_no", "text")
+    if library_text is not None:
+        pages = pages.unionByName(_file_rows(library_text, "library", "path", "page_no", "text"))
+    texts = extract_text(pages.join(chosen, "_file", "left_semi"), doc="_file")
+    if artifact_text is not None:
+        texts = texts.unionByName(_file_rows(artifact_text, "existing", "name", "text"))
+    answers = left_join_known(out, texts, "_file").drop("_file")
+    return asked.select("request_id").join(answers, "request_id").select("pdf_url", "request_id", "name", "source", "strategy", "text")
+
+
+def _file_rows(df: DataFrame, kind: str, key: str, *cols: str) -> DataFrame:
+    return df.select(F.concat(F.lit(kind + ":"), F.col(key)).alias("_file"), *cols)

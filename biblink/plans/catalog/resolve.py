@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from biblink.functions.ids import doi_norm
+from biblink.functions.ids import doi_norm, doi_path
 from biblink.functions.text import alnum
 from biblink.operators import linkage as LK
 from biblink.operators import lookup as K
@@ -233,6 +233,26 @@ jx AS (SELECT paper_id, count(pdf_url) > 0 AS found, min(rank) FILTER (WHERE pdf
          arg_min(strategy, rank) FILTER (WHERE pdf_url IS NOT NULL) AS strategy, arg_min(pdf_url, rank) FILTER (WHERE pdf_url IS NOT NULL) AS pdf_url
        FROM tr GROUP BY paper_id)
 """
+#: The same with a mirror that answers for every fourth record.
+_MIRROR_SQL = _J17_SQL.replace("AND u1.strategy <> 'doi_landing'", "").replace(
+    "FROM lk WHERE pdf_url IS NOT NULL AND pdf_url NOT IN (SELECT url FROM fx_crawl) GROUP BY pdf_url)",
+    f"FROM lk WHERE pdf_url IS NOT NULL AND pdf_url NOT IN (SELECT url FROM fx_crawl) GROUP BY pdf_url "
+    f"UNION ALL SELECT 'http://{DOMAIN}/' || replace(url_encode(doi), '%2F', '/'), 200, 'application/pdf' FROM fx_papers WHERE pk % 4 = 1 AND doi IS NOT NULL)")
+
+
+def _mirrored(spark, sf):
+    p = fx(spark, sf).fx_papers.where((F.col("pk") % 4 == 1) & F.col("doi").isNotNull())
+    rows = p.select(F.concat(F.lit(f"http://{DOMAIN}/"), doi_path("doi")).alias("url"), F.lit(200).alias("status"),
+                    F.lit("application/pdf").alias("content_type"), F.lit(None).cast("string").alias("body"))
+    return crawl(spark, sf).unionByName(rows)
+
+
+@register("j17_resolve_mirror", _MIRROR_SQL + "SELECT paper_id, found, rank, strategy, pdf_url FROM jx")
+def q_j17_mirror(spark, sf):
+    """J17 with a configured host: DOI landing pages on a mirror are the last resort."""
+    f = fx(spark, sf)
+    out = RS.resolve_crawl(RS.pdf_candidates(f.papers, f.fx_oa, f.fx_idconv, DOMAIN), _mirrored(spark, sf))
+    return out.select("paper_id", "found", "rank", "strategy", "pdf_url")
 
 
 @register("j17_resolve_crawl", _J17_SQL + "SELECT paper_id, found, rank, strategy, pdf_url FROM jx")
@@ -246,19 +266,50 @@ def q_j17(spark, sf):
 
 @register("m7_resolve_papers", _J17_SQL + f""",
 tx AS (SELECT 'https://example.org/pdf/' || CAST(doc_id * 4 AS VARCHAR) || '.pdf' AS pdf_url,
-         length({_sql_clean("string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY page_no)")}) AS text_chars FROM fx_doc_pages GROUP BY doc_id)
+         sha256({_sql_clean("string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY page_no)")}) AS text_sha256 FROM fx_doc_pages GROUP BY doc_id)
 SELECT CASE WHEN p.doi IS NOT NULL THEN 'DOI:' || p.doi ELSE p.paper_id END AS request_id, p.paper_id AS name,
-  CASE WHEN found THEN 'crawl' ELSE 'failed' END AS source, jx.strategy, jx.pdf_url, tx.text_chars
+  CASE WHEN found THEN 'crawl' ELSE 'failed' END AS source, jx.strategy, jx.pdf_url, tx.text_sha256
 FROM fx_papers p JOIN jx USING (paper_id) LEFT JOIN tx ON tx.pdf_url = jx.pdf_url""")
 def q_m7(spark, sf):
     """M7: every record requested by DOI (or bare id) resolved to a PDF source and its cleaned text."""
     f = fx(spark, sf)
-    req = f.fx_papers.select(F.when(F.col("doi").isNotNull(), F.concat(F.lit("DOI:"), F.col("doi")))
-                             .otherwise(F.col("paper_id")).alias("request_id"))
-    texts = f.fx_doc_pages.select(F.concat(F.lit("https://example.org/pdf/"), (F.col("doc_id") * 4).cast("string"),
-                                           F.lit(".pdf")).alias("url"), "page_no", "text")
-    out = RS.resolve_papers(req, f.papers, crawl(spark, sf), texts, f.fx_oa, f.fx_idconv)
-    return out.select("request_id", "name", "source", "strategy", "pdf_url", F.length("text").alias("text_chars"))
+    out = RS.resolve_papers(_requests(f), f.papers, crawl(spark, sf), _crawl_text(f), f.fx_oa, f.fx_idconv)
+    return out.select("request_id", "name", "source", "strategy", "pdf_url", F.sha2("text", 256).alias("text_sha256"))
+
+
+def _requests(f):
+    return f.fx_papers.select(F.when(F.col("doi").isNotNull(), F.concat(F.lit("DOI:"), F.col("doi"))).otherwise(F.col("paper_id")).alias("request_id"))
+
+
+def _crawl_text(f):
+    return f.fx_doc_pages.select(F.concat(F.lit("https://example.org/pdf/"), (F.col("doc_id") * 4).cast("string"), F.lit(".pdf")).alias("url"), "page_no", "text")
+
+
+@register("m7_resolve_all_sources", _MIRROR_SQL + f""",
+tx AS (SELECT 'https://example.org/pdf/' || CAST(doc_id * 4 AS VARCHAR) || '.pdf' AS pdf_url,
+         {_sql_clean("string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY page_no)")} AS text FROM fx_doc_pages GROUP BY doc_id),
+ex AS (SELECT paper_id, 'existing' AS source, paper_id AS pdf_url, 'Stored text: ' || title AS text FROM fx_papers WHERE pk % 6 = 0 AND doi IS NOT NULL),
+li AS (SELECT lower(doi) AS d, arg_min('lib/' || paper_id || '.pdf', pk) AS path, arg_min(title, pk) AS title FROM fx_papers WHERE pk % 3 = 0 AND doi IS NOT NULL GROUP BY 1),
+lb AS (SELECT p.paper_id, 'library:doi' AS source, path AS pdf_url, {_sql_clean("'The library holds a copy of ' || li.title || chr(10) || chr(10) || 'It is the second page of ' || li.title")} AS text
+       FROM fx_papers p JOIN li ON lower(p.doi) = li.d WHERE p.paper_id NOT IN (SELECT paper_id FROM ex)),
+al AS (SELECT *, NULL AS strategy FROM ex UNION ALL SELECT *, NULL FROM lb
+       UNION ALL SELECT jx.paper_id, CASE WHEN found THEN 'crawl' ELSE 'failed' END, jx.pdf_url, tx.text, jx.strategy FROM jx LEFT JOIN tx ON tx.pdf_url = jx.pdf_url
+       WHERE jx.paper_id NOT IN (SELECT paper_id FROM ex) AND jx.paper_id NOT IN (SELECT paper_id FROM lb))
+SELECT CASE WHEN p.doi IS NOT NULL THEN 'DOI:' || p.doi ELSE p.paper_id END AS request_id, paper_id AS name, source, strategy, pdf_url, sha256(text) AS text_sha256
+FROM fx_papers p JOIN al USING (paper_id)""")
+def q_m7_all(spark, sf):
+    """M7 with every step: stored files that still validate, the local library, the crawl and a mirror, each with its text."""
+    f = fx(spark, sf)
+    p = f.fx_papers
+    artifacts = p.where("pk % 6 < 2").select(F.col("paper_id").alias("name"), F.when(F.col("pk") % 6 == 0, F.upper("doi")).otherwise("10.0/other").alias("doi"),
+                                             F.lit(None).cast("string").alias("title"))
+    stored = p.select(F.col("paper_id").alias("name"), F.concat(F.lit("Stored text: "), "title").alias("text"))
+    path = F.concat(F.lit("lib/"), "paper_id", F.lit(".pdf"))
+    library = p.where("pk % 3 = 0").select(F.col("pk").alias("ordinal"), path.alias("path"), "doi", F.lit(None).cast("string").alias("title"))
+    pages = p.select(path.alias("path"), F.posexplode(F.array(F.concat(F.lit("The library holds a copy of "), "title"), F.concat(F.lit("It is the second page of "), "title"))).alias("page_no", "text"))
+    out = RS.resolve_papers(_requests(f), f.papers, _mirrored(spark, sf), _crawl_text(f), f.fx_oa, f.fx_idconv, download_domain=DOMAIN,
+                            artifacts=artifacts, library=library, artifact_text=stored, library_text=pages)
+    return out.select("request_id", "name", "source", "strategy", "pdf_url", F.sha2("text", 256).alias("text_sha256"))
 
 
 def _library(spark, sf):

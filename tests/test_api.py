@@ -80,3 +80,48 @@ def test_repeated_requests_are_answered_once_each(spark, fx):
     crawl = spark.createDataFrame([], "url string, status int, content_type string, body string")
     text = spark.createDataFrame([], "url string, page_no int, text string")
     assert sorted(r.request_id for r in resolve_papers(req, fx.papers, crawl, text).collect()) == ["p1", "p1", "p2"]
+
+
+def test_text_of_every_kind_of_file(spark):
+    """M7: a stored file that validates, a library file by title, a crawled file; a failed one."""
+    from biblink.operators.resolve import resolve_papers
+
+    schema = "paperId string, title string, url string, externalIds map<string,string>, openAccessPdf struct<url:string>"
+    papers = spark.createDataFrame([
+        ("a", "Rivers of the north", None, {"DOI": "10.1/a"}, None), ("b", "Stones and their names", None, {}, None),
+        ("c", "A short walk", None, {}, ("https://x.org/c.pdf",)), ("d", "Lost", None, {}, None)], schema)
+    requests = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("unknown",)], "request_id string")
+    crawl = spark.createDataFrame([("https://x.org/c.pdf", 200, "application/pdf", None)], "url string, status int, content_type string, body string")
+    pages = spark.createDataFrame([("https://x.org/c.pdf", 2, "the second page of the walk"), ("https://x.org/c.pdf", 1, "the first page of the walk"), ("a", 1, "no crawl page")], "url string, page_no int, text string")
+    artifacts = spark.createDataFrame([("a", "10.1/A", None), ("b", None, "Something else entirely")], "name string, doi string, title string")
+    library = spark.createDataFrame([(1, "lib/b.pdf", None, "Stones and their name")], "ordinal int, path string, doi string, title string")
+    library_text = spark.createDataFrame([("lib/b.pdf", 1, "all about the names of stones")], "path string, page_no int, text string")
+    stored = spark.createDataFrame([("a", "the stored text\n"), ("b", "stale")], "name string, text string")
+    out = resolve_papers(requests, papers, crawl, pages, artifacts=artifacts, library=library, artifact_text=stored, library_text=library_text)
+    got = {r.request_id: (r.source, r.pdf_url, r.text) for r in out.collect()}
+    assert got == {
+        "a": ("existing", "a", "the stored text\n"), "b": ("library:title", "lib/b.pdf", "all about the names of stones"),
+        "c": ("crawl", "https://x.org/c.pdf", "the first page of the walk\nthe second page of the walk"),
+        "d": ("failed", None, None), "unknown": ("failed", None, None)}
+
+
+def test_rows_without_a_key_are_spread(spark):
+    """Nine of ten rows have no DOI: they are dealt evenly over the tasks of the join."""
+    from pyspark.sql import functions as F
+
+    from biblink.operators.lookup import pmc_join
+
+    dois = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, F.concat(F.lit("10.1/X"), F.col("id"))).alias("doi"))
+    idmap = spark.createDataFrame([("10.1/x0", "PMC1"), ("10.1/x990", "PMC2"), (None, "PMC3")], "doi string, pmcid string")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = pmc_join(dois, idmap)
+        assert out.count() == 1000 and {r.id: r.pmcid for r in out.where("pmcid is not null").collect()} == {0: "PMC1", 990: "PMC2"}
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) == 8 and max(tasks) < 200
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -9,8 +9,11 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import biblink
+
 # Settings the library's results depend on (ANSI arithmetic, UTC wall clock,
 # last-wins map keys for U2) plus the adaptive-execution switches that let
 # Spark re-plan joins and coalesce partitions at runtime.
@@ -26,7 +29,10 @@ REQUIRED_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators assume to an existing session."""
+    """Apply the runtime settings the operators assume to an existing session, and let the
+    package's Python functions travel to the executors inside the tasks, so that it need not
+    be installed there."""
+    cloudpickle.register_pickle_by_value(biblink)
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -44,7 +50,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -65,7 +71,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="biblink-ckpt-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path

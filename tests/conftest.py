@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -22,8 +21,6 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="biblink-test-ckpt-"))
     ensure_checkpoint_dir(s)
     yield s
 

@@ -38,6 +38,48 @@ def test_inventory_manifest_versions(spark, tmp_path):
         T.read_manifest_version(spark, path).count()
 
 
+def _bytes(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_inventory_writes_only_changes_and_compacts(spark, tmp_path, monkeypatch):
+    """Bytes follow the batch; replay and a crash in mid-compaction change nothing."""
+    from biblink.streaming import jobs as T
+
+    monkeypatch.setattr(T, "COMPACT_EVERY", 3)
+    text = spark.createDataFrame([], "path string, page_no int, text string, meta map<string,string>")
+    path, src = tmp_path / "manifest", tmp_path / "in"
+    want, sizes = {}, []
+    batches = [[(f"p{i:05d}", 1) for i in range(5000)], [("p00001", 2), ("new", 1)], [("p00001", 2)], [("p00001", 3), ("p00002", 2)], [("new", 2)], [("new", 2), ("x", 1)], [("y", 1)], [("z", 1)]]
+
+    def run():
+        T.stream_inventory(spark.readStream.schema("path string, mtime bigint").parquet(str(src)), text, str(path), str(tmp_path / "ck")).awaitTermination()
+
+    def table(**how):
+        return {r.path: r.mtime for r in T.read_manifest_version(spark, str(path), **how).collect()}
+
+    for epoch, rows in enumerate(batches):
+        spark.createDataFrame(rows, "path string, mtime bigint").coalesce(1).write.mode("append").parquet(str(src))
+        run()
+        want |= dict(rows)
+        assert table() == want, epoch
+        delta = path / f"delta={epoch:012d}"
+        sizes.append(_bytes(delta) if delta.exists() else 0)
+        # a replay of the batch: the stream forgets that it was done
+        for f in (tmp_path / "ck" / "commits").glob(f"*{epoch}*"):
+            f.unlink()
+        run()
+        assert table() == want, epoch
+    assert max(sizes[1:]) * 5 < sizes[0]
+    assert sorted(p.name for p in path.iterdir() if p.is_dir()) == [*(f"delta={n:012d}" for n in (3, 4, 5, 6, 7)), "version=000000000002", "version=000000000005"]
+    # a compaction that died: its folder has no _SUCCESS
+    T.compact_manifest(spark, str(path), 7)
+    (path / "version=000000000007" / "_SUCCESS").unlink()
+    for f in list((path / "version=000000000007").glob("*.parquet"))[1:]:
+        f.unlink()
+    assert (path / "delta=000000000006").exists() and table() == want
+
+
 def test_replayed_check_batch_writes_once(spark, tmp_path, fx):
     from biblink.streaming import jobs as T
 

@@ -10,9 +10,13 @@ import re
 from collections.abc import Callable, Sequence
 from typing import NamedTuple, Union
 
+import numpy as np
+import pyarrow as pa
 import regex
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from biblink.functions.common import ColumnOrName, col_of
 from biblink.operators.records import SEARCH_LIMIT, clamp
@@ -273,3 +277,81 @@ def recommend(vectors: DataFrame, positives: DataFrame, negatives: DataFrame | N
     cand = cand.join(seeds.select(id_col), id_col, "left_anti").select(id_col, F.col(vec_col).cast("array<double>").alias("_v"))
     scored = cand.select(id_col, F.when(norm > 0, dot / norm).otherwise(F.lit(0.0)).alias("score"))
     return scored.orderBy(F.col("score").desc(), F.col(id_col)).limit(int(limit))
+
+
+#: Numbers of all requests' weight vectors that one pass over the candidates may carry.
+REQUEST_VALUES = 1 << 22
+
+
+def recommend_many(vectors: DataFrame, seeds: DataFrame, limit: int = RECOMMEND_DEFAULT,
+                   id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """J20 for a table of requests: ``rid, <id_col>, score, rank``.
+
+    ``seeds``: (rid, <id_col>, side), side 1 for positive and -1 for negative seeds.
+    Each request reduces to one weight vector, as in ``recommend``; a block of
+    candidates is multiplied with the matrix of all of them, every task keeps the
+    ``limit`` best of each request, and these are merged.  Scores are rounded to 12
+    places.  One pass over the
+    candidates for every ``REQUEST_VALUES`` numbers of weights.  Requests without a
+    positive seed vector have no rows.  Starts Spark jobs when called.
+    """
+    if not 0 < int(limit) <= RECOMMEND_MAX:
+        raise ValueError(f"limit must be 1..{RECOMMEND_MAX}")
+    spark, id_type = vectors.sparkSession, vectors.schema[id_col].dataType.simpleString()
+    wanted = staged(seeds.select("rid", F.col(id_col).alias("id"), F.col("side").cast("int").alias("side")).distinct(), "seeds")
+    cand = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    units = cand.join(wanted, "id").select("rid", "side", _norm(F.col("v")).alias("n"), F.posexplode("v").alias("i", "x")).where("n > 0")
+    means = units.groupBy("rid", "side", "i").agg(F.avg(F.col("x") / F.col("n")).alias("m"))
+    weights = means.groupBy("rid", "i").agg(F.sum(F.col("side") * F.col("m")).alias("w"), F.max("side").alias("side"))
+    weights = weights.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("w"), F.max("side").alias("side"))
+    weights = staged(weights.where("side = 1").select("rid", F.transform("w", lambda x: x["w"]).alias("w")), "weights")
+    requests, dims = weights.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("w")), F.lit(1))).first()
+    rid_type = seeds.schema["rid"].dataType.simpleString()
+    best = spark.createDataFrame([], f"rid {rid_type}, id {id_type}, score double")
+    passes = -(-requests * dims // REQUEST_VALUES)
+    for p in range(passes):
+        mine = weights.where(F.pmod(F.xxhash64("rid"), F.lit(passes)) == p)
+        asked = mine.join(wanted.groupBy("rid").agg(F.collect_list("id").alias("seeds")), "rid").collect()
+        if asked:
+            kinds = to_arrow_schema(best.schema)
+            best = best.unionByName(cand.mapInArrow(_top_of(asked, dims, int(limit), kinds), best.schema))
+    order = Window.partitionBy("rid").orderBy(F.col("score").desc(), "id")
+    out = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(limit))
+    return out.select("rid", F.col("id").alias(id_col), "score", "rank")
+
+
+def _top_of(asked: list, dims: int, limit: int, kinds: pa.Schema) -> Callable:
+    """Task of ``recommend_many``: rows (id, v) to the best of each request in the task."""
+    matrix = np.zeros((dims, len(asked)))
+    own: dict = {}
+    for r, row in enumerate(asked):
+        matrix[: len(row["w"]), r] = row["w"]
+        for s in row["seeds"]:
+            own.setdefault(s, []).append(r)
+    rids = [row["rid"] for row in asked]
+
+    def run(batches):
+        kept = [([], []) for _ in rids]  # ids and scores
+        for batch in batches:
+            ids, v = batch.column("id").to_pylist(), batch.column("v").to_pylist()
+            x = np.zeros((len(ids), dims))
+            for k, row in enumerate(v):
+                if row is not None and len(row) == dims and None not in row:
+                    x[k] = row
+            norm = np.linalg.norm(x, axis=1, keepdims=True)
+            # rounded, so that equal vectors tie whatever block they are in
+            scores = np.round(np.divide(x, norm, out=np.zeros_like(x), where=norm > 0) @ matrix, 12)
+            for k, i in enumerate(ids):
+                if i in own:
+                    scores[k, own[i]] = -np.inf  # a request's seeds are no candidates (U5)
+            for r, (old_ids, old) in enumerate(kept):
+                mine = scores[:, r]
+                enough = len(mine) > limit
+                least = np.partition(mine, -limit)[-limit] if enough else -np.inf
+                at = np.flatnonzero((mine >= least) & (mine > -np.inf))  # all ties of the last place
+                both = sorted([*zip((-mine[at]).tolist(), [ids[k] for k in at.tolist()]), *zip(old, old_ids)])[:limit]
+                kept[r] = [i for _, i in both], [s for s, _ in both]
+        rows = [(rid, i, -s) for rid, (found, old) in zip(rids, kept) for s, i in zip(old, found)]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], f.type) for k, f in enumerate(kinds)], schema=pa.schema([f.with_nullable(True) for f in kinds]))
+
+    return run

@@ -104,6 +104,11 @@ def recommendations(vectors: DataFrame, paper_id: str | None = None, positives:
     return records.select_fields(out, [*records._field_list(fields, ()), "score"])
 
 
+def recommendations_many(vectors: DataFrame, seeds: DataFrame, limit: int = 100, id_col: str = "vec_id") -> DataFrame:
+    """F5 for a table of requests ``seeds`` (rid, <id_col>, side): all answered in one pass."""
+    return ranking.recommend_many(vectors, seeds, limit, id_col=id_col)
+
+
 def resolve_and_extract(spark: SparkSession, ids: Sequence[str] | DataFrame, papers: DataFrame, crawl: DataFrame,
                         page_text: DataFrame, **kw) -> DataFrame:
     """resolve ids to a PDF source and extract its text (M7)."""

@@ -148,3 +148,18 @@ def q_j20(spark, sf):
     pos = e.where(F.col("label") == 3).select("vec_id")
     neg = e.where(F.col("label") == 7).select("vec_id")
     return RK.recommend(e, pos, neg, limit=100)
+
+
+@register("j20_recommend_many", """
+WITH n AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, label, list_transform(e, lambda y: y / sqrt(list_sum(list_transform(e, lambda z: z * z)))) AS e FROM n),
+s AS (SELECT a.vec_id % 100 AS rid, a.vec_id, CASE WHEN a.vec_id % 3 = 0 THEN -1 ELSE 1 END AS side FROM u a WHERE a.vec_id < 300),
+p AS (SELECT s.rid, c.vec_id, coalesce(avg(list_dot_product(c.e, v.e)) FILTER (WHERE side = 1), 0) - coalesce(avg(list_dot_product(c.e, v.e)) FILTER (WHERE side = -1), 0) AS score
+      FROM s JOIN u v ON v.vec_id = s.vec_id, u c GROUP BY 1, 2)
+SELECT rid, vec_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM p
+  WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.rid = p.rid AND s.vec_id = p.vec_id)) WHERE rank <= 10""")
+def q_j20_many(spark, sf):
+    """J20 for a hundred requests of three seeds each, positive and negative, in one pass."""
+    e = Fixtures(spark, sf).embeddings
+    seeds = e.where("vec_id < 300").select((F.col("vec_id") % 100).alias("rid"), "vec_id", F.when(F.col("vec_id") % 3 == 0, -1).otherwise(1).alias("side"))
+    return RK.recommend_many(e, seeds, limit=10)

@@ -116,3 +116,24 @@ def test_empty_corpus(spark, tmp_path):
     build_text_index(none, "id", "text", str(tmp_path / "ix"))
     assert search_many(spark, str(tmp_path / "ix"), spark.createDataFrame([(1, "a")], "qid int, query string")).collect() == []
     assert RK.search(none, "id", "text", "a OR b").collect() == []
+
+
+@pytest.mark.parametrize("values", [1 << 22, 20])
+def test_many_recommendations_equal_single_ones(spark, monkeypatch, values):
+    import random
+
+    monkeypatch.setattr(RK, "REQUEST_VALUES", values)
+    rng = random.Random(1)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(120)] + [(200, [0.0] * 8), (201, None), (202, [1.0] * 8), (203, [1.0] * 8)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    asked = [(f"r{k}", rng.randrange(120), rng.choice([1, 1, -1])) for k in range(7) for _ in range(4)] + [("only negative", 3, -1), ("unknown", 999, 1), ("ones", 202, 1)]
+    seeds = spark.createDataFrame(asked, "rid string, vec_id long, side int")
+    got = {}
+    for r in RK.recommend_many(v, seeds, limit=6).collect():
+        got.setdefault(r.rid, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    want = {}
+    for rid in {a[0] for a in asked if a[2] == 1 and a[1] != 999}:
+        side = lambda s: seeds.where((F.col("rid") == rid) & (F.col("side") == s)).select("vec_id").distinct()  # noqa: B023, E731
+        one = RK.recommend(v, side(1), side(-1), limit=6).collect()
+        want[rid] = [(k + 1, r.vec_id, round(r.score, 9)) for k, r in enumerate(one)]
+    assert {k: sorted(x) for k, x in got.items()} == want

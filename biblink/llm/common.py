@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -58,7 +60,8 @@ def shared_folder(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 

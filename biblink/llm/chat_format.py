@@ -81,16 +81,21 @@ def common_prefix(a: str, b: str) -> int:
 
 
 def locate(render: Render, messages: Messages) -> tuple[str, list[tuple[int, int, int, int]], list[int]]:
-    """Output, (start, text start, text end, end) of each turn, numbers of rewritten turns."""
+    """Output, (start, text start, text end, end) of each turn, numbers of rewritten turns: those
+    whose text holds, or comes after, the first place where a later turn changes the output."""
     spans: list[tuple[int, int, int, int]] = []
-    rewritten: list[int] = []
-    before, start, text_end = "", 0, 0
+    first = len(messages)  # turns from here on are rewritten, up to the last that has a successor
+    last, before, start = 0, "", 0
     for k in range(len(messages)):
         out = render(messages[: k + 1])
         if k:
             same = common_prefix(before, out)
-            if same < text_end:
-                rewritten.append(k - 1)
+            # texts end in order: go back over those that end behind the first difference
+            j = min(k, first)
+            while j and spans[j - 1][2] > same:
+                j -= 1
+            if j < min(k, first) or (first < k and spans[k - 1][2] > same):
+                first, last = j, k
             spans[-1] = (*spans[-1][:3], same)
             start = same
         probe = render([*messages[:k], (messages[k][0], PROBE)])
@@ -101,6 +106,7 @@ def locate(render: Render, messages: Messages) -> tuple[str, list[tuple[int, int
             text_start, text_end = at, len(out) - (len(probe) - at - 1)
         spans.append((start, text_start, text_end, len(out)))
         before = out
+    rewritten = list(range(first, last))
     return before, [] if rewritten else spans, rewritten
 
 

@@ -58,3 +58,27 @@ def test_trailer_and_rewriting_templates():
     # numbers the turns from the end
     counts_down = lambda ms: "".join(f"{len(ms) - i}{t}" for i, (_, t) in enumerate(ms))
     assert cf.locate(counts_down, [("u", "a"), ("u", "b"), ("u", "c")])[2] == [0, 1]
+    # a header that counts the turns moves every text; turn 0 is rewritten only when turn 3 comes
+    counts = lambda ms: f"{len(ms)} turns\n" + "".join(t for _, t in ms)
+    assert cf.locate(counts, [("u", "a"), ("u", "b"), ("u", "c")])[2] == [0, 1]
+    late = lambda ms: "".join("cut|" if i == 0 and len(ms) > 3 else t + "|" for i, (_, t) in enumerate(ms))
+    assert cf.locate(late, [("u", "one"), ("u", "two"), ("u", "three")])[2] == []
+    assert cf.locate(late, [("u", "one"), ("u", "two"), ("u", "three"), ("u", "four"), ("u", "five")])[2] == [0, 1, 2]
+
+
+@given(st.integers(0, 5), st.integers(0, 5), st.lists(st.sampled_from(["a", "bb", "ccc", ""]), min_size=1, max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_rewritten_turns_equal_a_comparison_of_all_renderings(when, which, texts):
+    messages = [("u", t) for t in texts]
+    render = lambda ms: "".join(("X" if i == which and len(ms) > when else "") + t + "|" for i, (_, t) in enumerate(ms))
+    bad = set()
+    for k in range(1, len(messages)):
+        a, b = render(messages[:k]), render(messages[: k + 1])
+        same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        end = 0
+        for j in range(k):
+            end += ("X" if j == which and k > when else "").__len__() + len(texts[j])
+            if end > same:
+                bad.add(j)
+            end += 1
+    assert cf.locate(render, messages)[2] == sorted(bad)

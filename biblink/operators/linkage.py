@@ -125,19 +125,20 @@ def cascade_match(entries: DataFrame, papers: DataFrame | None, floor: float = 0
     e = _entry_keys(entries)
     ids = _first_ids(papers) if index is None else index.ids
     by_doi, by_url = F.col("_doi").isNotNull(), F.col("_url").isNotNull()
+    # entries without an identifier get a value of their own, so they do not meet at null
     e = e.withColumn("_scheme", F.when(by_doi, "doi").when(by_url, "url").otherwise("none")).withColumn(
-        "_value", F.when(by_doi, F.lower("_doi")).when(by_url, F.col("_url")))
-    # one join resolves both branches: the distinct identifiers asked for meet the index, and only
-    # what they hit comes back to the entries; entries without an identifier pass by the joins
-    asked = e.where("_value is not null").select("_scheme", "_value").distinct()
-    hits = asked.join(ids, (F.col("_scheme") == F.col("scheme")) & (F.col("_value") == F.col("value"))).select("scheme", "value", "paper_id")
-    with_id = e.where("_value is not null").join(hits, (F.col("_scheme") == F.col("scheme")) & (F.col("_value") == F.col("value")), "left").drop("scheme", "value")
-    looked = with_id.unionByName(e.where("_value is null").withColumn("paper_id", F.lit(None).cast("string")))
+        "_value", F.when(by_doi, F.lower("_doi")).when(by_url, F.col("_url")).otherwise(F.concat_ws(":", "file", "ordinal")))
+    # read twice, so written once: the entries may come from a parser
+    e = staged(e, "entries")
+    # one join resolves both branches: the distinct identifiers asked for meet the index, and
+    # only what they hit comes back to the entries
+    asked = e.where("_scheme <> 'none'").select("_scheme", "_value").distinct()
+    hits = asked.join(ids, (F.col("_scheme") == F.col("scheme")) & (F.col("_value") == F.col("value"))).select("_scheme", "_value", "paper_id")
+    looked = e.join(hits, ["_scheme", "_value"], "left")
     looked = staged(looked.withColumn("_ask", F.col("paper_id").isNull() & (F.col("_scheme") != "doi") & F.col("_has_title")), "entries")
     asked = looked.where("_ask").select(F.struct("file", "ordinal").alias("_qid"), F.col("_title").alias("title"))
     found = title_match(asked, None if index else papers, floor, query_id="_qid", index=index and index.titles).select("_qid", F.col("paperId").alias("_by_title"))
-    by_title = looked.where("_ask").join(found, F.struct("file", "ordinal") == F.col("_qid"), "left").drop("_qid")
-    out = by_title.unionByName(looked.where("not _ask").withColumn("_by_title", F.lit(None).cast("string")))
+    out = looked.join(found, F.struct("file", "ordinal") == F.col("_qid"), "left")
     hit, doi = F.col("paper_id").isNotNull(), F.col("_scheme") == "doi"
     source = (
         F.when(doi, F.when(hit, "doi").otherwise("error")).when(hit, "url").when(~F.col("_has_title"), "missing-title")

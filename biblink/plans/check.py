@@ -8,6 +8,7 @@ from biblink.functions.ids import doi_ok, record_doi, updates_map, year_ok
 from biblink.functions.similarity import ratio, round3
 from biblink.functions.text import title_key_ascii
 from biblink.operators.linkage import RecordIndex, cascade_match
+from biblink.operators.lookup import left_join_known
 from biblink.session import staged
 
 # Fixed values of the check: statuses, the invalid ones, report order.
@@ -34,9 +35,8 @@ def check_bibliography(entries: DataFrame, papers: DataFrame, min_title_similari
     """
     matched = cascade_match(entries, papers, floor=retrieval_floor, index=index)
     p = papers.select(*VERIFY_FIELDS)
-    # entries without a record pass by the join
-    hit = matched.where("paper_id is not null")
-    j = hit.join(p, hit["paper_id"] == p["paperId"], "left").unionByName(matched.where("paper_id is null"), allowMissingColumns=True)
+    # entries without a record do not meet in one task
+    j = left_join_known(matched.withColumn("_key", F.col("paper_id")), p.withColumn("_key", F.col("paperId")), "_key").drop("_key")
     has_paper = F.col("paper_id").isNotNull()
     ptitle = F.coalesce(F.col("title"), F.lit(""))
     etitle = F.col("_title")

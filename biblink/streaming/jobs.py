@@ -123,8 +123,8 @@ def stream_check(entries_stream: DataFrame, papers: DataFrame, output: str, chec
     similarity join for titles) and writes its results to the partition
     ``epoch=<n>`` of ``output``; a replayed batch replaces its own partition.
     The record index is built and written once, when the stream starts; a
-    micro-batch meets it with inner joins on its own few keys, so the records
-    are scanned, not exchanged.
+    micro-batch meets it with inner joins on its own few keys, which Spark can
+    broadcast to a scan of the records.
     """
     from biblink.operators.linkage import record_index
     from biblink.plans.check import check_bibliography

@@ -98,8 +98,11 @@ def q_f7(spark, sf):
     return api.check_bibliography_files(spark, f"{path}/source=*", f.papers).select("status", "n")
 
 
-@register("i4_write_bibtex", oracle_with("fx_bib") + f"""
-SELECT entry_key AS key, 'article' AS entry_type, {X.sorted_map_text(_ENTRY_LIST)} AS fields FROM fx_bib""")
+_RENDERED = oracle_with("fx_bib") + f"""
+SELECT entry_key AS key, 'article' AS entry_type, {X.sorted_map_text(_ENTRY_LIST)} AS fields FROM fx_bib"""
+
+
+@register("i4_write_bibtex", _RENDERED)
 def q_i4(spark, sf):
     """I4: the written files hold every entry; read back by I3."""
     path = scratch_dir(spark, "bib")
@@ -107,6 +110,15 @@ def q_i4(spark, sf):
     return B.read_bibtex(spark, f"{path}/source=*").select("key", "entry_type", map_text("fields").alias("fields"))
 
 
+@register("i3_read_bibtex_pieces", _RENDERED)
+def q_i3_pieces(spark, sf):
+    """Every written file read by pieces of lines that may cut entries."""
+    path = scratch_dir(spark, "bib")
+    B.write_bibtex(Fixtures(spark, sf).entries, path)
+    entries = B.read_bibtex(spark, f"{path}/source=*", split=True, piece_chars=1 << 16)
+    return entries.select("key", "entry_type", map_text("fields").alias("fields"))
+
+
 @register("i6_manifest", oracle_with("fx_manifest") + " SELECT path, CAST(mtime AS DOUBLE) AS mtime FROM fx_manifest")
 def q_i6(spark, sf):
     """Manifest objects read from JSON, written as a table and read back."""

@@ -5,14 +5,21 @@ closed form ``a_i = i*s + max_{j<=i}(t_j - j*s)`` with i counted from 0 in
 (t, id) order per endpoint class.  A class can hold most of the log, so the
 scan is not a window over the class: rows are cut into time buckets of fixed
 width, each bucket computes local indexes and maxima, and a table of bucket
-totals carries the prefix across bucket borders.
+totals carries the prefix across bucket borders.  The spacing check needs the
+previous row only and cuts the log into ranges of equal row counts instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from biblink.functions.ids import endpoint_class, min_spacing
+from biblink.session import partitions, staged
 
 
 def _micros(ts_col: str):
@@ -54,26 +61,47 @@ def paced_schedule(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoin
     return out.withColumn("wait_us", F.col("send_us") - F.col("t_us"))
 
 
-def spacing_violations(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoint", rid: str = "event_id",
-                       bucket_s: int = 3600) -> DataFrame:
+def _previous_in_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (endpoint_class, t_us): add the time of the row before in the same class
+    (``_prev``), the task's number (``_run``) and whether the row is the first of its class here."""
+    run = TaskContext.get().partitionId()
+    kind, time = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kinds, times = batch["endpoint_class"], batch["t_us"]
+        before = pa.concat_arrays([pa.array([kind], kinds.type), kinds.slice(0, batch.num_rows - 1)])
+        same = pc.fill_null(pc.equal(kinds, before), False)
+        prev = pa.concat_arrays([pa.array([time], times.type), times.slice(0, batch.num_rows - 1)])
+        kind, time = kinds[-1].as_py(), times[-1].as_py()
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pc.if_else(same, prev, pa.scalar(None, times.type)), pa.array([run] * batch.num_rows, pa.int32()), pc.invert(same)],
+            names=[*batch.schema.names, "_prev", "_run", "_first"])
+
+
+def spacing_violations(requests: DataFrame, ts: str = "ts", endpoint: str = "endpoint", rid: str = "event_id") -> DataFrame:
     """Every request with the gap to the previous call of its class (null for the first) and a flag.
 
-    ``violates`` is true when the gap is below the class spacing.  The
-    previous call of a bucket's first row comes from the last row of the
-    buckets before it (a table of bucket ends), not from a window over the
-    whole class.
+    ``violates`` is true when the gap is below the class spacing.  Requests are
+    cut into ranges of (class, time, id) with about equal row counts, so a burst
+    spreads over as many tasks as its rows fill, whatever its length in time.
+    The previous call of the first row of a range is the last row of the ranges
+    before it: a table with one row per range and class, which is broadcast.
+    Writes the scanned rows to the shared folder once (starts jobs).  Requests
+    without a time have a null gap and are nobody's previous call.
     """
     base = requests.select("*", endpoint_class(F.col(endpoint)).alias("endpoint_class"), _micros(ts).alias("t_us"))
     base = base.withColumn("_s", (min_spacing(F.col("endpoint_class")) * F.lit(1_000_000)).cast("long"))
-    scanned = _bucket_scan(base, "endpoint_class", "t_us", rid, bucket_s)
-    w = Window.partitionBy("endpoint_class", "_pid").orderBy("t_us", rid)
-    scanned = scanned.withColumn("_lag", F.lag("t_us").over(w))
-    last = scanned.groupBy("_pid", "endpoint_class").agg(F.max_by("t_us", F.struct("t_us", rid)).alias("_last"))
-    wp = Window.partitionBy("endpoint_class").orderBy("_pid")
-    last = last.withColumn("_before", F.last("_last").over(wp.rowsBetween(Window.unboundedPreceding, -1)))
-    j = scanned.join(last.select("_pid", "endpoint_class", "_before"), ["_pid", "endpoint_class"])
-    prev = F.when(F.col("_k") == 0, F.col("_before")).otherwise(F.col("_lag"))
-    gap = F.col("t_us") - prev
+    order = ["endpoint_class", "t_us", rid]
+    # a fixed number of ranges: they are not merged again by their bytes
+    ranged = base.repartitionByRange(partitions(requests.sparkSession), *order).sortWithinPartitions(*order)
+    schema = T.StructType([*base.schema.fields, T.StructField("_prev", T.LongType()), T.StructField("_run", T.IntegerType()), T.StructField("_first", T.BooleanType())])
+    scanned = staged(ranged.mapInArrow(_previous_in_run, schema), "spacing")
+    ends = scanned.groupBy("endpoint_class", "_run").agg(F.max("t_us").alias("_last"))
+    runs = Window.partitionBy("endpoint_class").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select("endpoint_class", "_run", F.last("_last", ignorenulls=True).over(runs).alias("_before"))
+    j = scanned.join(F.broadcast(before), ["endpoint_class", "_run"])
+    gap = F.col("t_us") - F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_prev"))
     return j.select(*requests.columns, "endpoint_class", "t_us", gap.alias("gap_us"),
                     F.coalesce(gap < F.col("_s"), F.lit(False)).alias("violates"))
 

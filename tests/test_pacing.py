@@ -37,7 +37,7 @@ def test_paced_schedule_equals_loop(spark, fx):
 
 
 def test_spacing_violations(spark, fx):
-    out = {r.event_id: r for r in spacing_violations(fx.fx_requests, bucket_s=7200).collect()}
+    out = {r.event_id: r for r in spacing_violations(fx.fx_requests).collect()}
     t_of = {r.event_id: (r.t, r.endpoint) for r in fx.fx_requests.selectExpr("event_id", "endpoint", "unix_micros(CAST(ts AS TIMESTAMP)) AS t").collect()}
     groups = defaultdict(list)
     for eid, (t, e) in t_of.items():
@@ -50,3 +50,27 @@ def test_spacing_violations(spark, fx):
             assert out[eid].gap_us == gap
             assert out[eid].violates == (gap is not None and gap < _spacing_us(cls))
             prev = t
+
+
+def test_burst_is_spread_and_gaps_equal_the_window(spark, monkeypatch):
+    from biblink.operators import pacing
+
+    # 90 % of the log within one second, most of that at one instant; repeated ids; requests without a time
+    df = spark.range(20_000).selectExpr(
+        "id % 15000 AS event_id", "CASE WHEN id % 4 = 0 THEN '/paper/search' ELSE '/other' END AS endpoint",
+        "timestamp_micros(CASE WHEN id % 10 = 0 THEN id * 7000000 WHEN id % 10 < 7 THEN 500000000 ELSE 500000000 + id * 13 % 1000000 END) AS ts", "id AS n")
+    nothing = spark.createDataFrame([(1, "/other", None, -1), (2, None, None, -2)], "event_id long, endpoint string, ts timestamp, n long")
+    kept = []
+    monkeypatch.setattr(pacing, "staged", lambda rows, name: kept.append(rows.persist()) or kept[-1])
+    got = spacing_violations(df.union(nothing))
+    rows = {r.n: (r.gap_us, r.violates) for r in got.collect()}
+    sizes = [r["count"] for r in kept[0].groupBy("_run").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    assert rows[-1] == rows[-2] == (None, False) and len(rows) == 20_002
+    # equal (time, id) rows may follow each other in either order: compare gaps as multisets per (class, time, id)
+    got.select("n", "event_id", "endpoint_class", "t_us").where("n >= 0").createOrReplaceTempView("timed")
+    want = spark.sql("SELECT endpoint_class, t_us, event_id, t_us - lag(t_us) OVER (PARTITION BY endpoint_class ORDER BY t_us, event_id) AS gap_us FROM timed")
+    mine = got.where("n >= 0").select("endpoint_class", "t_us", "event_id", "gap_us")
+    assert mine.exceptAll(want).isEmpty() and want.exceptAll(mine).isEmpty()
+    kept[0].unpersist()
+    assert spacing_violations(df.limit(0)).isEmpty()

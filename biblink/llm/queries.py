@@ -92,7 +92,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_count.token_counts(table(spark, sf_dir, "documents"), token_count.read_vocabulary())
+    inside, final = token_count.read_marked_vocabulary()
+    return token_count.token_counts(table(spark, sf_dir, "documents"), inside, final=final)
 
 
 def topic() -> F.Column:

@@ -37,3 +37,38 @@ def test_long_word_equals_greedy():
     vocab = {b"x", b"xx", b"xxx", b"xy"}
     word = b"x" * 1001 + b"y"
     assert t.count_words(t.build(vocab), [word]).tolist() == [greedy(word, vocab)]
+
+
+def greedy_with_ends(word, inside, final):
+    """Longest match from the left; an inner piece never ends a word, a final one only ends it."""
+    longest = max(map(len, {*inside, *final, b""}))
+    n, at = 0, 0
+    while at < len(word):
+        reach = range(min(len(word), at + longest), at, -1)
+        end = next((e for e in reach if word[at:e] in (final if e == len(word) else inside)), None)
+        if end is None:
+            return 1
+        n, at = n + 1, end
+    return n
+
+
+_PIECES = st.sets(st.text("ab", min_size=1, max_size=5).map(str.encode), max_size=10)
+
+
+@given(_PIECES, _PIECES, st.booleans(), st.lists(st.text("abc", min_size=1, max_size=14).map(str.encode), max_size=8))
+@settings(max_examples=600, deadline=None)
+def test_inner_and_final_pieces(inside, final, letters, words):
+    if letters:  # every letter in both places: nothing is left uncovered but "c"
+        inside, final = inside | {b"a", b"b"}, final | {b"a", b"b"}
+    got = t.count_words(t.build(inside, final), words)
+    assert got.tolist() == [greedy_with_ends(w, inside, final) for w in words]
+
+
+def test_marks_of_the_vocabulary_count_in_whole_texts(spark):
+    inside, final = t.read_marked_vocabulary()
+    assert {bytes([b]) for b in range(256)} <= {*inside} & {*final}  # every word can be covered
+    texts = ["The Theorem thermo\u00a0x", "\u00e9t\u00e9 \x00 na\u00efve \u4e1c\u4eac", "x" * 50_000 + " " + "abcde" * 3001, None, "\t"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [sum(greedy_with_ends(w, set(inside), set(final)) for w in (x or "").encode().lower().split()) for x in texts]
+    assert [r.n_tokens for r in t.token_counts(df, inside, final=final).orderBy("doc_id").collect()] == want
+    assert want[0] == sum(greedy_with_ends(w, set(inside), set(final)) for w in (b"the", b"theorem", b"thermo\xc2\xa0x")) > 3

@@ -23,35 +23,42 @@ def _ids(spark, ids, name: str) -> DataFrame:
     return spark.createDataFrame([(i,) for i in ids], f"{name} string")
 
 
+def _listed(edges: DataFrame, parents: DataFrame, parent: str, child: str, records: DataFrame, id_col: str, offset: int, limit: int) -> DataFrame:
+    """The page of every parent with the records of its children.  Edges stay narrow until the page is
+    known: whether a child has a record is a semi join on ids, and only the page's records are fetched."""
+    rows = edges.join(parents, parent, "left_semi").join(records.select(F.col(id_col).alias("_id")), F.col(child) == F.col("_id"), "left_semi")
+    page = page_per_key(rows, parent, [child], offset, limit)
+    if child == id_col:
+        columns = [child, *(c for c in edges.columns if c != child), *(c for c in records.columns if c != child), "rank"]
+        return page.join(records, child).select(*columns)
+    return page.join(records, F.col(child) == F.col(id_col)).select(*edges.columns, *records.columns, "rank")
+
+
 def paper_authors(authorship: DataFrame, authors: DataFrame, paper_ids, offset: int = 0, limit: int = 100) -> DataFrame:
-    """Authors of each paper (paged per paper, ordered by author id)."""
+    """Authors of each paper (paged per paper, ordered by author id; ``authors`` has one row per id)."""
     ids = _ids(authorship.sparkSession, paper_ids, "paper_id")
-    rows = authorship.join(ids, "paper_id", "left_semi").join(authors, "author_id")
-    return page_per_key(rows, "paper_id", ["author_id"], offset, limit)
+    return _listed(authorship, ids, "paper_id", "author_id", authors, "author_id", offset, limit)
 
 
 def citations(edges: DataFrame, papers: DataFrame, paper_ids, offset: int = 0, limit: int = 100,
               id_col: str = "paperId") -> DataFrame:
-    """Papers citing each given paper (paged per cited paper, ordered by citing id)."""
+    """Papers citing each given paper (paged per cited paper, ordered by citing id; one row per id in ``papers``)."""
     ids = _ids(edges.sparkSession, paper_ids, "cited_id")
-    rows = edges.join(ids, "cited_id", "left_semi").join(papers, F.col("citing_id") == F.col(id_col))
-    return page_per_key(rows, "cited_id", ["citing_id"], offset, limit)
+    return _listed(edges, ids, "cited_id", "citing_id", papers, id_col, offset, limit)
 
 
 def references(edges: DataFrame, papers: DataFrame, paper_ids, offset: int = 0, limit: int = 100,
                id_col: str = "paperId") -> DataFrame:
-    """Papers each given paper cites (paged per citing paper, ordered by cited id)."""
+    """Papers each given paper cites (paged per citing paper, ordered by cited id; one row per id in ``papers``)."""
     ids = _ids(edges.sparkSession, paper_ids, "citing_id")
-    rows = edges.join(ids, "citing_id", "left_semi").join(papers, F.col("cited_id") == F.col(id_col))
-    return page_per_key(rows, "citing_id", ["cited_id"], offset, limit)
+    return _listed(edges, ids, "citing_id", "cited_id", papers, id_col, offset, limit)
 
 
 def author_papers(authorship: DataFrame, papers: DataFrame, author_ids, offset: int = 0, limit: int = 100,
                   id_col: str = "paperId") -> DataFrame:
-    """Papers of each given author (paged per author, ordered by paper id)."""
+    """Papers of each given author (paged per author, ordered by paper id; one row per id in ``papers``)."""
     ids = _ids(authorship.sparkSession, author_ids, "author_id")
-    rows = authorship.join(ids, "author_id", "left_semi").join(papers, F.col("paper_id") == F.col(id_col))
-    return page_per_key(rows, "author_id", ["paper_id"], offset, limit)
+    return _listed(authorship, ids, "author_id", "paper_id", papers, id_col, offset, limit)
 
 
 def edge_counts(papers: DataFrame, edges: DataFrame, id_col: str = "paper_id") -> DataFrame:

@@ -135,15 +135,51 @@ def page(df: DataFrame, order: Sequence[str | Column], offset: int = 0, limit: i
     return df.orderBy(*order).offset(max(0, int(offset))).limit(n)
 
 
+#: Offsets above this are found by counts; the sample of ids behind them, and the ranges cut from it (a power of 2).
+DEEP_OFFSET, ID_SAMPLE, ID_RANGES = 10_000, 16_384, 1024
+
+
+def _id_range(rows: DataFrame, col: str) -> Column:
+    """Number of the range of ids a row falls into.  The borders come from the ids of least hash, so a
+    hub that holds most rows holds most borders; collects at most ``ID_SAMPLE`` ids (a job)."""
+    named = rows.where(F.col(col).isNotNull()).select(col)
+    # the row's place among equal ids is part of the hash: a sample of rows, not of ids
+    drawn = sorted(r[0] for r in named.orderBy(F.xxhash64(col, F.monotonically_increasing_id())).limit(ID_SAMPLE).collect())
+    borders = sorted({drawn[i * len(drawn) // ID_RANGES] for i in range(1, ID_RANGES)}) if drawn else []
+    if not borders:
+        return F.lit(0)
+    table = F.array(*[F.lit(b).cast(rows.schema[col].dataType) for b in borders])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(ID_RANGES.bit_length() - 1))])
+    # binary search: how many borders are at most the id
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) <= F.col(col), at + step).otherwise(at))
+
+
+def _deep_page(df: DataFrame, key: str, col: str, o: int, n: int) -> DataFrame:
+    """Rows ``o + 1`` to ``o + n`` of every key by ``col``: rows are counted by (key, range of ids), and
+    only ranges that the page touches are numbered."""
+    ranged = df.withColumn("_range", _id_range(df, col))
+    counts = ranged.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    touched = counts.withColumn("_before", before).where((F.col("_before") < o + n) & (F.col("_before") + F.col("_n") > o))
+    right = touched.select(F.col(key).alias("_key"), F.col("_range").alias("_its"), "_before")
+    inside = ranged.join(right, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_its")))
+    number = F.col("_before") + F.row_number().over(Window.partitionBy(key, "_range").orderBy(col))
+    return inside.withColumn("rank", number.cast("long")).where((F.col("rank") > o) & (F.col("rank") <= o + n)).select(*df.columns, "rank")
+
+
 def page_per_key(df: DataFrame, key: str, order: Sequence[str | Column], offset: int = 0,
                  limit: int | None = None, bounds: tuple[int, int] = LIST_LIMIT, default: int = 100) -> DataFrame:
     """The same page taken for every key at once (row_number between offset+1 and offset+limit).
 
     The upper bound lets Spark insert a map-side group limit before the
-    shuffle, so a hub key sends at most offset+limit rows per task.
+    shuffle, so a hub key sends at most offset+limit rows per task.  Beyond
+    ``DEEP_OFFSET`` a page by one column is located by counts per range of its
+    values, so only the ranges of the page are shuffled and numbered.
     """
     n = clamp(limit, bounds, default)
     o = max(0, int(offset))
+    if o > DEEP_OFFSET and len(order) == 1 and isinstance(order[0], str):
+        return _deep_page(df, key, order[0], o, n)
     w = Window.partitionBy(key).orderBy(*order)
     return (
         df.withColumn("_rn", F.row_number().over(w))

@@ -237,35 +237,40 @@ class Within:
 
     def train(self, context: np.ndarray, target: np.ndarray, rng: np.random.Generator, memory: list[np.ndarray], seen: list[np.ndarray]) -> None:
         """One step of NCE in every class; ``memory`` holds mean squared gradients of rows, ``seen`` their examples."""
-        q = self.predict(context)
-        dq = np.zeros_like(q)
-        for rows, lo, hi in self.members(target):
-            mine, want = q[rows], target[rows]
-            noise = np.searchsorted(self.total, rng.uniform(self.total[lo], self.total[hi], MEMBERS), side="right") - 1
-            noise = np.clip(noise, lo, hi - 1)
-            log_noise = np.float32(np.log(MEMBERS))
-            up = 1 - _sigmoid((mine * self.outputs[want]).sum(1) + self.bias[want, 0] - self.share[want] - log_noise)
-            down = -_sigmoid(mine @ self.outputs[noise].T + self.bias[noise, 0] - self.share[noise] - log_noise)
-            dq[rows] = up[:, None] * self.outputs[want] + down @ self.outputs[noise]
-            ids = np.concatenate((want, noise))
-            g = np.concatenate((up[:, None] * mine, down.T @ mine))
-            g = np.column_stack((g, np.concatenate((up, down.sum(0)))))
-            ids, g, n = _summed(ids, g)
-            _adagrad(self.outputs, ids, g[:, :-1], memory[1])
-            _adagrad(self.bias, ids, g[:, -1:], memory[2])
-            seen[1][ids] += n
-            seen[2][ids] += n
-        moved = np.flatnonzero(dq.any(axis=1))
-        if not len(moved):
+        groups = list(self.members(target))
+        if not groups:
             return
-        ids = np.concatenate([context[moved, j] for j in range(CONTEXT)])
-        g = np.concatenate([dq[moved] @ self.mix[j].T for j in range(CONTEXT)])
-        mixed = np.stack([self.inputs[context[moved, j]].T @ dq[moved] for j in range(CONTEXT)])
+        order = np.concatenate([rows for rows, _, _ in groups])
+        context, want = context[order], target[order]
+        q = self.predict(context)
+        out, log_noise = self.outputs[want], np.float32(np.log(MEMBERS))
+        up = 1 - _sigmoid((q * out).sum(1) + self.bias[want, 0] - self.share[want] - log_noise)
+        dq = up[:, None] * out
+        lo, hi = (np.array([g[i] for g in groups]) for i in (1, 2))
+        drawn = rng.uniform(self.total[lo], self.total[hi], (MEMBERS, len(groups))).T
+        noise = np.clip(np.searchsorted(self.total, drawn, side="right") - 1, lo[:, None], hi[:, None] - 1)
+        embedded, offset = self.outputs[noise], self.bias[noise, 0] - self.share[noise] - log_noise
+        noise_g = np.empty((len(groups), MEMBERS, WIDTH + 1), np.float32)
+        at = 0
+        for k, (rows, _, _) in enumerate(groups):  # a class sees only its own members
+            mine = slice(at, at := at + len(rows))
+            down = -_sigmoid(q[mine] @ embedded[k].T + offset[k])
+            dq[mine] += down @ embedded[k]
+            noise_g[k, :, :WIDTH] = down.T @ q[mine]
+            noise_g[k, :, WIDTH] = down.sum(0)
+        ids, g, n = _summed(np.concatenate((want, noise.ravel())), np.concatenate((np.column_stack((up[:, None] * q, up)), noise_g.reshape(-1, WIDTH + 1))))
+        _adagrad(self.outputs, ids, g[:, :-1], memory[1])
+        _adagrad(self.bias, ids, g[:, -1:], memory[2])
+        seen[1][ids] += n
+        seen[2][ids] += n
+        ids = np.concatenate([context[:, j] for j in range(CONTEXT)])
+        g = np.concatenate([dq @ self.mix[j].T for j in range(CONTEXT)])
+        mixed = np.stack([self.inputs[context[:, j]].T @ dq for j in range(CONTEXT)])
         ids, g, n = _summed(ids, g)
         _adagrad(self.inputs, ids, g, memory[0])
         _adagrad(self.mix.reshape(CONTEXT, -1), np.arange(CONTEXT), mixed.reshape(CONTEXT, -1), memory[3])
         seen[0][ids] += n
-        seen[3] += len(moved)
+        seen[3] += len(want)
 
 
 def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -468,7 +473,7 @@ def score(df: DataFrame, *, key: str = "doc_id", text: str = "text", classes: in
                     "base": pa.array(np.add.reduceat(log_c[flat_ids], cut)), "model": pa.array(np.add.reduceat(logs, cut)),
                 })
 
-    parts = encoded.select("doc_id", "held_out", "row", "ids").mapInArrow(run, parts_type)
+    parts = written(encoded.select("doc_id", "held_out", "row", "ids").mapInArrow(run, parts_type), "parts")
     rare = encoded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("token"), F.col("r.times").alias("times"))
     looked = rare.join(counts, "token", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("logs"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known")

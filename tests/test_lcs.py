@@ -42,3 +42,14 @@ def test_blocks(a, others, low):
     at, got = Block(others).bounds(a, low)
     want = {i: bound(a, b) for i, b in enumerate(others) if bound(a, b) >= low - 1e-9}
     assert dict(zip(at.tolist(), got.round(9).tolist())) == {i: round(x, 9) for i, x in want.items()}
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(WORDS, max_size=8), st.lists(WORDS, min_size=1, max_size=12), st.sampled_from([0.6, 0.9]), st.sampled_from([2, 1 << 16]))
+def test_many_strings_go_down_a_block_together(many, others, low, front):
+    others = others + others[:2]  # equal strings share a leaf
+    lcs_module.FRONT, kept = front, lcs_module.FRONT
+    got = [(i, j, round(b, 9)) for at, places, bounds in Block(others).pairs(many, low) for i, j, b in zip(at.tolist(), places.tolist(), bounds.tolist())]
+    lcs_module.FRONT = kept
+    want = {(i, j, round(bound(a, b), 9)) for i, a in enumerate(many) for j, b in enumerate(others) if bound(a, b) >= low - 1e-9}
+    assert len(got) == len(set(got)) and set(got) == want

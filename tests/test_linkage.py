@@ -106,6 +106,25 @@ def test_prefix_join_exchanges_no_keys(spark, fx):
     assert cols == {"tok", "class", "cls", "row", "id", "n", "pos", "shared"}
 
 
+def test_serial_titles_are_compared_in_blocks(spark, monkeypatch):
+    """Keys of few different tokens would meet each other in the prefix join; the result is that of brute force."""
+    from biblink.operators import simjoin
+
+    monkeypatch.setattr(simjoin, "candidates", None)
+    monkeypatch.setattr(simjoin, "BLOCK_PAIRS", -1)
+    monkeypatch.setattr(simjoin, "FEW", 16)
+    monkeypatch.setattr(simjoin, "BLOCK_RIGHT", 50)
+    titles = [f"Brand{i % 5} large ring No {i}" for i in range(0, 400, 3)]
+    left = spark.createDataFrame([(f"l{i}", t if i % 4 else t.replace("large", "largx")) for i, t in enumerate(titles)], "lid string, title string")
+    right = spark.createDataFrame([(f"r{i:03d}", t) for i, t in enumerate(titles)], "rid string, title string")
+    sides = _keyed(left, title_key_ascii), _keyed(right, title_key_ascii)
+    got = [(r.lid, r.rid, round(r.ratio, 9)) for r in similarity_join(left, right, "title", "title", 0.9).collect()]
+    assert len(got) == len(set(got)) and set(got) == _brute(*sides, 0.9)
+    monkeypatch.setattr(simjoin, "MET_PAIRS", 1 << 40)
+    best = {r.lid: (r.paperId, round(r.ratio, 9)) for r in title_match(left, right.withColumnRenamed("rid", "paperId"), query_id="lid").collect()}
+    assert best == {i: b for i, k in sides[0] if (b := _best(k, sides[1]))}
+
+
 def test_one_id_for_two_keys_loses_nothing(spark, monkeypatch):
     """An id is a hash: keys that share one are all compared."""
     from biblink.operators import simjoin

@@ -235,6 +235,13 @@ def boolean_query(expr: str, toks: Column) -> Column:
     return condition(tree, holds)
 
 
+def boolean_search(docs: DataFrame, id_col: str, text: ColumnOrName, expr: str) -> DataFrame:
+    """Ids of the documents that meet a boolean query.  A generator keeps the token array
+    from being computed again for every leaf."""
+    toks = docs.select(id_col, F.explode(F.array(tokens(text))).alias("_t"))
+    return toks.where(boolean_query(expr, F.col("_t"))).select(id_col)
+
+
 # ---- J20 / L5 / U5: recommendations
 
 def _norm(v: Column) -> Column:

@@ -91,9 +91,7 @@ def _p11_sql() -> str:
 @register("p11_boolean_query", _p11_sql())
 def q_p11(spark, sf):
     """Documents matching a boolean query with prefixes, a phrase and implicit AND."""
-    d = Fixtures(spark, sf).documents
-    t = RK.tokens("text")
-    return d.select("doc_id", t.alias("tk")).where(RK.boolean_query(_P11, F.col("tk"))).select("doc_id")
+    return RK.boolean_search(Fixtures(spark, sf).documents, "doc_id", "text", _P11)
 
 
 def _boolean_bm25_sql(table: str, id_col: str, text: str, leaves: dict[str, str], cond: str, limit: int, prefix: str) -> str:

@@ -137,3 +137,12 @@ def test_many_recommendations_equal_single_ones(spark, monkeypatch, values):
         one = RK.recommend(v, side(1), side(-1), limit=6).collect()
         want[rid] = [(k + 1, r.vec_id, round(r.score, 9)) for k, r in enumerate(one)]
     assert {k: sorted(x) for k, x in got.items()} == want
+
+
+def test_boolean_search_splits_a_text_once(spark, capsys):
+    """The leaves of a query share one token array."""
+    d = spark.createDataFrame([(1, "On the Retrieval of answers"), (2, "the retina"), (3, "interpret an answer"), (4, None), (5, "the interpreter; an")], "id int, text string")
+    out = RK.boolean_search(d, "id", "text", '(ret* OR interp*) AND (the OR "on the") an*')
+    assert {r.id for r in out.collect()} == {1, 5}
+    out.explain("extended")
+    assert capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].count("split(") == 1

@@ -36,3 +36,21 @@ def test_deep_page_of_a_hub_numbers_few_rows(spark):
     sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
     assert len(sizes) > 1000 and max(sizes) < 200_000 / 1024 * 3
     assert citations(edges.where(F.lit(False)), papers, "hub", offset=20_000).isEmpty()
+
+
+def test_edge_counts_read_the_edges_once(spark):
+    """Each edge counts for both ends in one pass; papers without edges and ends without a paper stay right."""
+    from biblink.operators.graph import edge_counts
+
+    reads = spark.sparkContext.accumulator(0)
+    edges = spark.createDataFrame([("a", "b"), ("a", "c"), ("c", "b"), ("x", "a"), (None, "a")], "citing_id string, cited_id string")
+
+    def watched(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    papers = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "paper_id string")
+    got = {tuple(r) for r in edge_counts(papers, edges.mapInArrow(watched, edges.schema)).collect()}
+    assert got == {("a", 2, 2), ("b", 2, 0), ("c", 1, 1), ("d", 0, 0)}
+    assert reads.value == 5

@@ -1,6 +1,7 @@
 """A local session without settings: the shared folder falls back, and tasks carry the package."""
 
 import os
+import random
 import subprocess
 import sys
 
@@ -22,3 +23,26 @@ def test_use_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", CODE.format(repo=repo)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "RESULT [(1, 'a')]" in out.stdout, out.stderr[-2000:]
+
+
+def test_edge_pages_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
+    """As many tasks as the items ask for, the same rows, and the session's settings afterwards."""
+    from biblink.plans.catalog import QUERIES, load_all, records
+
+    load_all()
+    parts = [(k, f"name {k}", "Brand#1", "TYPE", 5) for k in range(300)]
+    draw = random.Random(5)
+    items = [(o, draw.randrange(300), n) for o in range(900) for n in range(6)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k) for k in settings]
+    wanted = 3 * spark.sparkContext.defaultParallelism
+    for name in ("j6_citations", "j7_references"):
+        monkeypatch.setattr(records, "EDGE_ITEMS", 10**9)
+        whole = QUERIES[name](spark, str(tmp_path)).collect()
+        monkeypatch.setattr(records, "EDGE_ITEMS", len(items) // wanted)
+        dealt = QUERIES[name](spark, str(tmp_path))
+        assert whole and sorted(dealt.collect()) == sorted(whole)
+        assert len(dealt.inputFiles()) > 2 * spark.sparkContext.defaultParallelism
+        assert [spark.conf.get(k) for k in settings] == before

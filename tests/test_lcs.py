@@ -53,3 +53,22 @@ def test_many_strings_go_down_a_block_together(many, others, low, front):
     lcs_module.FRONT = kept
     want = {(i, j, round(bound(a, b), 9)) for i, a in enumerate(many) for j, b in enumerate(others) if bound(a, b) >= low - 1e-9}
     assert len(got) == len(set(got)) and set(got) == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab01 2٣", max_size=12), max_size=8), st.lists(st.text("ab01 2٣", max_size=12), min_size=1, max_size=12), st.sampled_from([0.3, 0.6, 0.9]), st.sampled_from([2, 1 << 16]))
+def test_strings_with_digits(many, others, low, front):
+    lcs_module.FRONT, kept = front, lcs_module.FRONT
+    got = [(i, j, round(b, 9)) for at, places, bounds in Block(others).pairs(many, low) for i, j, b in zip(at.tolist(), places.tolist(), bounds.tolist())]
+    lcs_module.FRONT = kept
+    want = {(i, j, round(bound(a, b), 9)) for i, a in enumerate(many) for j, b in enumerate(others) if bound(a, b) >= low - 1e-9}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_serial_titles_meet_by_stem(monkeypatch):
+    steps = []
+    monkeypatch.setattr(lcs_module, "_descend", lambda trie, known, bits, first, n, l, *rest, run=lcs_module._descend: steps.append(len(l)) or run(trie, known, bits, first, n, l, *rest))
+    records = [f"brand{i % 7}largeblueringno{i}" for i in range(5000)]
+    titles = [f"unrelatedheading{i}" for i in range(500)]
+    assert not [x for x in Block(records).pairs(titles, 0.6)]
+    assert sum(steps) <= 10  # two titles that differ in digits alone are one row, and no number was read

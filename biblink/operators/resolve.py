@@ -21,11 +21,13 @@ from biblink.functions.ids import (
 )
 from biblink.operators.corpus import document_metadata, extract_text, pdf_link
 from biblink.operators.lookup import left_join_known
-from biblink.session import staged
+from biblink.session import shuffles_for, staged
 
 # Candidate strategies in the order they are tried.
 STRATEGIES = ("open_access_pdf", "landing_page", "arxiv_metadata", "arxiv_doi", "oa_registry", "pmc", "doi_landing")
 FAILURE = "none"
+#: Candidates of one task of the resolution (a few hundred bytes each, with both sides of a join).
+TASK_ROWS = 250_000
 
 
 def _truthy(c: Column) -> Column:
@@ -199,7 +201,15 @@ def resolve_crawl(candidates: DataFrame, crawl: DataFrame) -> DataFrame:
     looked up once more with the same rules; anything else is a success.
     What a URL leads to is decided once per URL, on narrow columns; the body of
     a landing page is read once, and only if some candidate points there.
+    The candidates are written once, as they are read twice, and give the number of
+    tasks; so is the result.  Starts Spark jobs when called.
     """
+    candidates = staged(candidates, "candidates")
+    with shuffles_for(candidates.sparkSession, candidates.count(), TASK_ROWS):
+        return staged(_resolved(candidates, crawl), "resolved")
+
+
+def _resolved(candidates: DataFrame, crawl: DataFrame) -> DataFrame:
     ctype = F.lower(F.coalesce("content_type", F.lit("")))
     answered = crawl.where((F.col("status") >= 200) & (F.col("status") < 300) & (F.col("status") != 202))
     files = answered.where(~ctype.contains("text/html")).select("url").distinct()

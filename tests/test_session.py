@@ -46,3 +46,22 @@ def test_edge_pages_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
         assert whole and sorted(dealt.collect()) == sorted(whole)
         assert len(dealt.inputFiles()) > 2 * spark.sparkContext.defaultParallelism
         assert [spark.conf.get(k) for k in settings] == before
+
+
+def test_resolution_is_dealt_by_its_candidates(spark, monkeypatch):
+    """As many tasks as the candidates ask for, the same rows, and the session's settings afterwards."""
+    from biblink.operators import resolve
+
+    tries = [(f"p{k}", r, "pmc", f"http://x/{k % 90}/{r}") for k in range(400) for r in (1, 2, 3)] + [("none", 0, "none", None)]
+    cands = spark.createDataFrame(tries, "paper_id string, rank int, strategy string, url string")
+    crawl = spark.createDataFrame([(f"http://x/{k}/{k % 4}", 200, "application/pdf", None) for k in range(90)], "url string, status int, content_type string, body string")
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k) for k in settings]
+    whole = resolve.resolve_crawl(cands, crawl)
+    monkeypatch.setattr(resolve, "TASK_ROWS", len(tries) // (3 * spark.sparkContext.defaultParallelism))
+    dealt = resolve.resolve_crawl(cands, crawl)
+    assert len(dealt.inputFiles()) > 2 * spark.sparkContext.defaultParallelism
+    rows = {r.paper_id: (r.found, r.rank, r.pdf_url) for r in dealt.collect()}
+    assert sorted(dealt.collect()) == sorted(whole.collect()) and len(rows) == 401
+    assert rows["none"] == (False, None, None) and rows["p7"] == (True, 3, "http://x/7/3") and not rows["p8"][0]
+    assert [spark.conf.get(k) for k in settings] == before

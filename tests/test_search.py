@@ -111,6 +111,42 @@ def test_only_the_blocks_of_the_terms_are_read(spark, tmp_path):
     assert {r.term: r.df for r in terms_starting(spark, path, "é").collect()} == {"étude": 1}
 
 
+@pytest.mark.parametrize("tokens, terms, words", [(1 << 22, 1 << 15, 32), (5, 2, 1)])
+def test_blocks_are_made_range_by_range(spark, tmp_path, monkeypatch, capsys, tokens, terms, words):
+    """Blocks hold the same weights and searches give the same rows however a range is cut; scores
+    of short queries are summed in columns, not in lists."""
+    from biblink.operators import textindex as TI
+
+    for name, value in (("TASK_TOKENS", tokens), ("BATCH_TERMS", terms), ("WORDS_SUMMED", words)):
+        monkeypatch.setattr(TI, name, value)
+    texts = ["a b a c", "b b d", None, "", "a", "c d e f g h a", "Étude a", "b c"] * 4
+    rows = [*enumerate(texts), (3, "a b"), (3, "a b"), (None, "a c"), (None, "b")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    path = str(tmp_path / "ix")
+    build_text_index(df, "id", "text", path, range_docs=6)
+    blocks = spark.read.parquet(f"{path}/postings").collect()
+    split = [(i, (t or "").lower().split()) for i, t in rows]
+    avg = sum(len(t) for _, t in split) / len(split)
+    want = sorted((w, i if i is not None else -1, round(t.count(w) * 2.2 / (t.count(w) + 1.2 * (0.25 + 0.75 * len(t) / avg)), 9)) for i, t in split for w in set(t))
+    assert sorted((b.term, d.id if d.id is not None else -1, round(d.w, 9)) for b in blocks for d in b.docs) == want
+    assert all(b.n == len(b.docs) and b.top == max(d.w for d in b.docs) for b in blocks)
+    assert all(len({b.r for b in blocks for d in b.docs if d.id == i}) <= 1 for i, _ in rows)
+    if tokens > 5:
+        assert len({(b.term, b.r) for b in blocks}) == len(blocks)
+    out = search_many(spark, path, spark.createDataFrame([(1, "a c"), (2, "b étude zzz"), (3, "zzz")], "qid int, query string"), limit=4)
+    idf = {w: math.log(1 + (len(rows) - n + 0.5) / (n + 0.5)) for w in "a b c étude".split() for n in [sum(x[0] == w for x in want)]}
+    for q, asked in ((1, ["a", "c"]), (2, ["b", "étude"]), (3, [])):
+        score = {}
+        for w, i, x in want:
+            if w in asked:
+                score[i] = score.get(i, 0.0) + idf[w] * x
+        best = sorted(score.items(), key=lambda x: (-round(x[1], 6), x[0]))[:4]
+        mine = sorted((r["rank"], r.id if r.id is not None else -1, round(r.score, 6)) for r in out.where(F.col("qid") == q).collect())
+        assert [(i, s) for _, i, s in mine] == [(i, round(s, 6)) for i, s in best]
+    out.explain()
+    assert ("collect_list" in capsys.readouterr().out) == (words == 1)
+
+
 def test_empty_corpus(spark, tmp_path):
     none = spark.createDataFrame([], "id int, text string")
     build_text_index(none, "id", "text", str(tmp_path / "ix"))

@@ -6,7 +6,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from biblink.functions import lcs as lcs_module
+from biblink.functions import blocks, lcs as lcs_module
 from biblink.functions.lcs import Block, pair_bounds
 
 WORDS = st.text("ab cé深\0", max_size=140)
@@ -72,3 +72,34 @@ def test_serial_titles_meet_by_stem(monkeypatch):
     titles = [f"unrelatedheading{i}" for i in range(500)]
     assert not [x for x in Block(records).pairs(titles, 0.6)]
     assert sum(steps) <= 10  # two titles that differ in digits alone are one row, and no number was read
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text("ab01 2٣", max_size=10), max_size=8), st.lists(st.text("ab01 2٣", max_size=10), min_size=1, max_size=10), st.sampled_from([0.3, 0.85, 1.0]),
+       st.sampled_from([(2, 5, 0), (512, 1 << 21, 6)]))
+def test_serial_pairs_are_those_of_stems_and_digits(a, b, low, limits):
+    names = ("CHOICES", "CELLS", "ADDRESSED", "ANYWAY")
+    kept = [getattr(lcs_module, x) for x in names]
+    for x, v in zip(names, (*limits, 0)):
+        setattr(lcs_module, x, v)
+    got = [(i, j) for x, y in lcs_module.serial_pairs(a, b, low) for i, j in zip(x.tolist(), y.tolist())]
+    for x, v in zip(names, kept):
+        setattr(lcs_module, x, v)
+    stem, digits = (lambda s: "".join(c for c in s if c not in "012")), (lambda s: "".join(c for c in s if c in "012"))
+    both = {(i, j): len(x) + len(y) for i, x in enumerate(a) for j, y in enumerate(b)}
+    want = {(i, j) for (i, j), n in both.items() if not n or 2 * (lcs(stem(a[i]), stem(b[j])) + lcs(digits(a[i]), digits(b[j]))) >= low * n - 1e-8}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(WORDS, min_size=1, max_size=6), st.lists(WORDS, min_size=1, max_size=6), st.data(), st.sampled_from([0, 1 << 23]))
+def test_ratios_are_those_of_difflib(a, b, data, table):
+    b += [x[:at] + "d" + x[at + 1 :] for x in a for at in [data.draw(st.integers(0, len(x)))]]
+    i, k = (x.ravel() for x in np.meshgrid(np.arange(len(a)), np.arange(len(b))))
+    want = np.array([1.0 if a[p] == b[q] else SequenceMatcher(None, a[p], b[q]).ratio() for p, q in zip(i, k)])
+    kept, blocks.TABLE = blocks.TABLE, table
+    ratios = blocks.Ratios(a, b)
+    blocks.TABLE = kept
+    assert (ratios.of(i, k) == want).all()
+    got = ratios.of(i, k, 0.8)
+    assert ((got == want) | ((got < 0.8) & (want < 0.8))).all()

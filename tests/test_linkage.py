@@ -152,3 +152,25 @@ def test_library_match(spark, fx):
     for tid, key in _keyed(targets.select("tid", "title"), title_key_unicode):
         scored = [(-r, o) for o, k in files if key and k for r in [G.ratio(key, k)] if r > 0.85]
         assert got.get(tid) == (paths[min(scored)[1]] if scored else None), tid
+
+
+def _serial(spark):
+    titles = [f"Brand{i % 5} large ring No {i}" for i in range(0, 400, 3)]
+    left = [(f"l{i}", t if i % 4 else t.replace("large", "largx")) for i, t in enumerate([*titles, *titles[:9]])]
+    right = [(f"r{i:03d}", t) for i, t in enumerate([*titles, *titles[4:7]])] + [(None, titles[20] + "1")]
+    return spark.createDataFrame(left, "lid string, title string"), spark.createDataFrame(right, "rid string, title string")
+
+
+def test_pairs_of_serial_titles_need_no_matcher(spark, monkeypatch):
+    """Serial titles meet by their templates, and their ratios are taken together; rows that share a title all pair."""
+    from biblink.operators import simjoin
+
+    monkeypatch.setattr(simjoin, "BLOCK_PAIRS", -1)
+    monkeypatch.setattr(simjoin, "BLOCK_RIGHT", 50)
+    monkeypatch.setattr(simjoin, "BLOCK_NEAR", 20)
+    for name in ("SequenceMatcher", "candidates"):
+        monkeypatch.setattr(simjoin, name, None, raising=False)
+    left, right = _serial(spark)
+    for keys in (True, False):
+        got = [(r.lid, r.rid, round(r.ratio, 9)) for r in similarity_join(left, right, "title", "title", 0.9, keys=keys).collect()]
+        assert len(got) == len(set(got)) and set(got) == _brute(_keyed(left, title_key_ascii), _keyed(right, title_key_ascii), 0.9)

@@ -405,5 +405,5 @@ def q_a2(spark, sf):
     f = fx(spark, sf)
     left = f.fx_bib.where(F.col("title").isNotNull()).select(F.col("entry_key").alias("lid"), "title")
     right = f.fx_papers.select(F.col("pk").alias("rid"), "title")
-    pairs = LK.similarity_join(left, right, "title", "title", 0.9).select("lid", "rid", "ratio")
+    pairs = LK.similarity_join(left, right, "title", "title", 0.9, keys=False).select("lid", "rid", "ratio")
     return LK.best_match(pairs, "lid", "rid").select("lid", "rid", "ratio")

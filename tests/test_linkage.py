@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import golden as G
 from biblink.functions.text import title_key_ascii, title_key_unicode
-from biblink.operators.linkage import library_match, retrieval_key, similarity_join, title_match
+from biblink.operators.linkage import best_match, library_match, retrieval_key, similarity_join, title_match
 
 
 def _keyed(df, key):
@@ -174,3 +174,13 @@ def test_pairs_of_serial_titles_need_no_matcher(spark, monkeypatch):
     for keys in (True, False):
         got = [(r.lid, r.rid, round(r.ratio, 9)) for r in similarity_join(left, right, "title", "title", 0.9, keys=keys).collect()]
         assert len(got) == len(set(got)) and set(got) == _brute(_keyed(left, title_key_ascii), _keyed(right, title_key_ascii), 0.9)
+
+
+def test_best_match_sorts_no_pairs(spark):
+    """The best of all pairs: numbers are aggregated by hash first, and null ordinals come first as before."""
+    rows = [("a", 3, 0.9), ("a", 1, 0.9), ("a", 0, 0.8), ("b", None, 0.7), ("b", 2, 0.7), ("c", 5, None), ("c", 4, 1.0), (None, 1, 0.5)]
+    pairs = spark.createDataFrame(rows, "lid string, rid int, ratio double")
+    best = best_match(pairs, "lid", "rid")
+    assert {tuple(r) for r in best.collect()} == {("a", 1, 0.9), ("b", None, 0.7), ("c", 5, None), (None, 1, 0.5)}
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2 and "Aggregate [lid" in plan

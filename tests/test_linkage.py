@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 import golden as G
 from biblink.functions.text import title_key_ascii, title_key_unicode
@@ -184,3 +184,27 @@ def test_best_match_sorts_no_pairs(spark):
     assert {tuple(r) for r in best.collect()} == {("a", 1, 0.9), ("b", None, 0.7), ("c", 5, None), (None, 1, 0.5)}
     plan = best._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 2 and "Aggregate [lid" in plan
+
+
+def test_library_titles_settle_at_the_highest_rung(spark, monkeypatch):
+    """A title that has a file at a higher rung does not meet all that is barely above the threshold."""
+    from biblink.operators import linkage, simjoin
+
+    met = {}
+
+    def near_keys(left, right, t, run=simjoin.near_keys):
+        met[t] = {r.key for r in left.collect()}
+        return run(left, right, t)
+
+    monkeypatch.setattr(linkage, "near_keys", near_keys)
+    monkeypatch.setattr(linkage, "BLOCK_PAIRS", -1)
+    left, right = _serial(spark)
+    lib = right.select(F.row_number().over(Window.orderBy("title", "rid")).alias("ordinal"), F.concat(F.lit("lib/"), F.coalesce("rid", F.lit("none"))).alias("path"), F.lit(None).cast("string").alias("doi"), "title")
+    targets = left.unionByName(spark.createDataFrame([("m1", "Brand1 largx rxng Nx 33"), ("m2", "another heading")], "lid string, title string"))
+    targets = targets.select(F.col("lid").alias("tid"), F.lit(None).cast("string").alias("doi"), "title")
+    got = {r.tid: r.path for r in library_match(targets, lib).collect()}
+    files, paths = sorted(_keyed(lib.select("ordinal", "title"), title_key_unicode)), {r.ordinal: r.path for r in lib.collect()}
+    for tid, key in _keyed(targets.select("tid", "title"), title_key_unicode):
+        scored = [(-r, o) for o, k in files for r in [G.ratio(key, k)] if r > 0.85]
+        assert got.get(tid) == (paths[min(scored)[1]] if scored else None), tid
+    assert sorted(met) == [0.85, 0.88, 0.92, 0.96] and "another heading" in met[0.85] and len(met[0.85]) < 4 < len(met[0.96])
